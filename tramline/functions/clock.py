@@ -33,9 +33,12 @@ def seconds_to_hhmmss(seconds: Column) -> Column:
     return F.concat_ws(":", *(F.lpad(f.cast("string"), 2, "0") for f in fields))
 
 
-def epoch_to_timestamp(epoch: Column) -> Column:
-    """Epoch seconds (integer, decimal or text) to an instant; anything else gives NULL."""
-    whole = epoch.try_cast("double").try_cast("bigint")
+def epoch_to_timestamp(epoch: Column, integral: bool = False) -> Column:
+    """Epoch seconds (integer, decimal or text) to an instant; anything else gives NULL.
+
+    `integral` says the column is an integer type already and needs no parsing.
+    """
+    whole = epoch if integral else epoch.try_cast("double").try_cast("bigint")
     return F.when(
         whole.between(FIRST_EPOCH_SECOND, LAST_EPOCH_SECOND), F.timestamp_seconds(whole)
     )

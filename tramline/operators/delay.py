@@ -23,6 +23,9 @@ from tramline.functions.clock import (
 
 EVENT_KEY = ["trip_id", "stop_sequence"]
 
+# No instant a calendar can hold.
+NO_ORIGIN = -(2**63)
+
 
 def delay_micros() -> Column:
     """Exact delay of an event in microseconds, NULL without an arrival."""
@@ -42,6 +45,26 @@ def scheduled_events(trips_updates: DataFrame, stop_times: DataFrame) -> DataFra
     )
 
 
+def trip_origins(events: DataFrame, first_stops: DataFrame) -> DataFrame:
+    """Instant, in microseconds, at which each trip's timetable second zero falls.
+
+    One row per row of the first observed stop; none where that stop lacks an
+    arrival.  The test for a missing arrival is written on the finished number,
+    over both inputs of `events`: a plain null test would be pushed into the
+    feed scan, and the feed could then no longer be shuffled once for both uses.
+    """
+    first = first_stops.select(F.col("trip_id").alias("first_trip"), "first_seq")
+    origin = F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
+    return (
+        events.join(
+            first,
+            (events.trip_id == first.first_trip) & (events.stop_sequence == first.first_seq),
+        )
+        .select("trip_id", F.coalesce(origin, F.lit(NO_ORIGIN)).alias("origin_us"))
+        .filter(F.col("origin_us") != NO_ORIGIN)
+    )
+
+
 def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Delay against the timetable shifted to the trip's first observed arrival.
 
@@ -49,24 +72,16 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     out whole; a later stop without an arrival stays, with NULL delay.
     Duplicate rows are not removed.
 
-    Only one number per trip is needed to place its timetable, the instant of
-    its second zero, so the trip-level join carries that alone.  Events are
-    joined on (trip_id, stop_sequence), which spreads one long trip over many
-    tasks, and the last join's hot partitions are split at run time.
+    Events are joined on (trip_id, stop_sequence), which spreads a long trip over
+    many tasks.  Only the origin, one number per trip, is joined on trip_id alone,
+    and adaptive execution splits a hot trip there.  A window over the trip would
+    shuffle less but put all its events in one task.
     """
     events = scheduled_events(trips_updates, stop_times)
-    first = observed_first_stops(trips_updates)
-    origins = events.join(
-        first, (events.trip_id == first.trip_id) & (events.stop_sequence == first.first_seq)
-    ).select(
-        events.trip_id,
-        (
-            F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
-        ).alias("origin_us"),
-    )
+    origins = trip_origins(events, observed_first_stops(trips_updates))
     scheduled_us = F.col("origin_us") + F.col("arrival_time_sec") * MICROS_PER_SECOND
     return (
-        events.join(origins.filter("origin_us is not null"), "trip_id")
+        events.join(origins, "trip_id")
         .withColumn("scheduled_ts_utc", F.timestamp_micros(scheduled_us))
         .select(
             *EVENT_KEY,

@@ -143,12 +143,16 @@ def vehicles_with_time(vehicle_positions: DataFrame) -> DataFrame:
 def position_bus_vehicles(vehicle_positions: DataFrame, delays: DataFrame) -> DataFrame:
     """Each vehicle position with each delay of its trip, latest first.
 
-    The result is vehicles times stop events per trip.  Sorting on all columns
-    keeps positions of one second apart, so no range partition grows without bound.
+    The result is vehicles times stop events per trip.  The left join is taken as
+    matched and unmatched vehicles: an inner join can be split on either side when
+    a trip is hot, a left join only on the left.  Sorting on all columns keeps
+    positions of one second apart, so no range partition grows without bound.
     """
-    joined = vehicles_with_time(vehicle_positions).join(
-        delays.select("trip_id", "delay_min"), "trip_id", "left"
-    )
+    vehicles = vehicles_with_time(vehicle_positions)
+    events = delays.select("trip_id", "delay_min")
+    matched = vehicles.join(events, "trip_id")
+    unmatched = vehicles.join(events.select("trip_id").distinct(), "trip_id", "left_anti")
+    joined = matched.unionByName(unmatched, allowMissingColumns=True)
     return joined.orderBy(
         F.desc_nulls_last("ts_utc"), "trip_id", "route_id", "latitude", "longitude", "delay_min"
     ).select(

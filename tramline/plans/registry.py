@@ -90,12 +90,12 @@ def trip_first_stop(r: Roles) -> DataFrame:
 
 @query
 def trip_relative_delay(r: Roles) -> DataFrame:
-    return r.delays
+    return delay.trip_relative_delays(r.trips_updates, r.stop_times)
 
 
 @query
 def service_day_delay(r: Roles) -> DataFrame:
-    return r.day_delays
+    return delay.service_day_delays(r.trips_updates, r.stop_times)
 
 
 @query

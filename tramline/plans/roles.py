@@ -8,17 +8,21 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.clock import hhmmss_to_seconds, seconds_to_hhmmss
+from tramline import scratch
+from tramline.functions.clock import seconds_to_hhmmss
 from tramline.operators.delay import service_day_delays, trip_relative_delays
 from tramline.session import prepare
+from tramline.sinks.export import read_table, replace_table
 from tramline.sources.feeds import with_update_times, with_vehicle_time
+from tramline.sources.files import matching_paths
+from tramline.sources.timetable import with_stop_seconds
 
 FIRST_SECOND = 23 * 3600
 STEP_SECONDS = 1800
@@ -40,8 +44,16 @@ def _planned_second(stop_sequence: Column) -> Column:
     return (FIRST_SECOND + (stop_sequence - 1) * STEP_SECONDS).cast("bigint")
 
 
+# Warehouse folder of each (application, test folder), so a session loads once.
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+
+
 class Roles:
-    """Lazy role tables over one folder of parquet test tables."""
+    """Role tables over one folder of parquet test tables.
+
+    The feed, the timetable and the delays are loaded into a warehouse in the
+    shared folder on first use, as a daily run does; questions read them there.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
@@ -50,6 +62,15 @@ class Roles:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Warehouse table `name`, written first if this session has not yet done so."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _WAREHOUSES:
+            _WAREHOUSES[key] = scratch.new_folder(self.spark, "warehouse")
+        if matching_paths(self.spark, f"{_WAREHOUSES[key]}/{name}/_SUCCESS"):
+            return read_table(self.spark, _WAREHOUSES[key], name)
+        return replace_table(build(), _WAREHOUSES[key], name)
+
     @cached_property
     def visits(self) -> DataFrame:
         """One row per (trip, stop_sequence); the source repeats the pair."""
@@ -73,12 +94,7 @@ class Roles:
 
     @cached_property
     def stop_times(self) -> DataFrame:
-        return self.stop_times_text.withColumns(
-            {
-                "arrival_time_sec": hhmmss_to_seconds(F.col("arrival_time")),
-                "departure_time_sec": hhmmss_to_seconds(F.col("departure_time")),
-            }
-        )
+        return self._loaded("stop_times", lambda: with_stop_seconds(self.stop_times_text))
 
     @cached_property
     def flat_updates(self) -> DataFrame:
@@ -104,7 +120,7 @@ class Roles:
 
     @cached_property
     def trips_updates(self) -> DataFrame:
-        return with_update_times(self.flat_updates)
+        return self._loaded("trips_updates", lambda: with_update_times(self.flat_updates))
 
     @cached_property
     def flat_vehicles(self) -> DataFrame:
@@ -154,11 +170,15 @@ class Roles:
 
     @cached_property
     def delays(self) -> DataFrame:
-        return trip_relative_delays(self.trips_updates, self.stop_times)
+        return self._loaded(
+            "delays", lambda: trip_relative_delays(self.trips_updates, self.stop_times)
+        )
 
     @cached_property
     def day_delays(self) -> DataFrame:
-        return service_day_delays(self.trips_updates, self.stop_times)
+        return self._loaded(
+            "day_delays", lambda: service_day_delays(self.trips_updates, self.stop_times)
+        )
 
     @cached_property
     def run_delays(self) -> DataFrame:

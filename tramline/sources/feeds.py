@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline import schemas
 from tramline.functions.clock import epoch_to_timestamp
@@ -51,20 +52,25 @@ def flatten_vehicle_positions(messages: DataFrame) -> DataFrame:
     )
 
 
+def _instant(df: DataFrame, column: str) -> Column:
+    integral = isinstance(df.schema[column].dataType, T.IntegralType)
+    return epoch_to_timestamp(F.col(column), integral)
+
+
 def with_update_times(updates: DataFrame) -> DataFrame:
     """Add arrival_dt and departure_dt; the numeric columns get their table types."""
     return updates.withColumns(
         {
             "stop_sequence": F.col("stop_sequence").try_cast("int"),
-            "arrival_dt": epoch_to_timestamp(F.col("arrival_time")),
-            "departure_dt": epoch_to_timestamp(F.col("departure_time")),
+            "arrival_dt": _instant(updates, "arrival_time"),
+            "departure_dt": _instant(updates, "departure_time"),
         }
     )
 
 
 def with_vehicle_time(vehicles: DataFrame) -> DataFrame:
     """Add timestamp_dt."""
-    return vehicles.withColumn("timestamp_dt", epoch_to_timestamp(F.col("timestamp")))
+    return vehicles.withColumn("timestamp_dt", _instant(vehicles, "timestamp"))
 
 
 def read_trip_updates_csv(spark: SparkSession, path: str) -> DataFrame:
