@@ -37,32 +37,24 @@ def observed_first_stops(trips_updates: DataFrame) -> DataFrame:
     return trips_updates.groupBy("trip_id").agg(F.min("stop_sequence").alias("first_seq"))
 
 
-def scheduled_events(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
-    """Feed rows with the timetable row of the same trip and stop_sequence."""
-    planned = stop_times.filter(F.col("arrival_time_sec").isNotNull())
-    return trips_updates.select(*EVENT_KEY, F.col("arrival_dt").alias("arrival_dt_utc")).join(
-        planned.select(*EVENT_KEY, "stop_id", "arrival_time_sec"), EVENT_KEY
-    )
+def first_observed_rows(trips_updates: DataFrame) -> DataFrame:
+    """Feed rows at the first stop of their trip; several where the feed repeats it."""
+    first = observed_first_stops(trips_updates).withColumnRenamed("trip_id", "first_trip")
+    return trips_updates.join(
+        first,
+        (trips_updates.trip_id == first.first_trip)
+        & (trips_updates.stop_sequence == first.first_seq),
+    ).drop("first_trip", "first_seq")
 
 
-def trip_origins(events: DataFrame, first_stops: DataFrame) -> DataFrame:
-    """Instant, in microseconds, at which each trip's timetable second zero falls.
+def _observed(trips_updates: DataFrame) -> DataFrame:
+    return trips_updates.select(*EVENT_KEY, F.col("arrival_dt").alias("arrival_dt_utc"))
 
-    One row per row of the first observed stop; none where that stop lacks an
-    arrival.  The test for a missing arrival is written on the finished number,
-    over both inputs of `events`: a plain null test would be pushed into the
-    feed scan, and the feed could then no longer be shuffled once for both uses.
-    """
-    first = first_stops.select(F.col("trip_id").alias("first_trip"), "first_seq")
-    origin = F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
-    return (
-        events.join(
-            first,
-            (events.trip_id == first.first_trip) & (events.stop_sequence == first.first_seq),
-        )
-        .select("trip_id", F.coalesce(origin, F.lit(NO_ORIGIN)).alias("origin_us"))
-        .filter(F.col("origin_us") != NO_ORIGIN)
-    )
+
+def _scheduled(observed: DataFrame, stop_times: DataFrame) -> DataFrame:
+    """Observed rows with the timetable row of the same trip and stop_sequence."""
+    planned = stop_times.filter(F.col("arrival_time_sec").isNotNull())
+    return observed.join(planned.select(*EVENT_KEY, "stop_id", "arrival_time_sec"), EVENT_KEY)
 
 
 def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
@@ -73,15 +65,25 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     Duplicate rows are not removed.
 
     Events are joined on (trip_id, stop_sequence), which spreads a long trip over
-    many tasks.  Only the origin, one number per trip, is joined on trip_id alone,
-    and adaptive execution splits a hot trip there.  A window over the trip would
-    shuffle less but put all its events in one task.
+    many tasks.  Only the origin, the instant in microseconds of the trip's
+    timetable second zero, is joined on trip_id alone, and adaptive execution
+    splits a hot trip there.  A window over the trip would shuffle less but put
+    all its events in one task.
     """
-    events = scheduled_events(trips_updates, stop_times)
-    origins = trip_origins(events, observed_first_stops(trips_updates))
+    observed = _observed(trips_updates)
+    origin = F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
+    # A missing arrival is tested on the finished number, which needs both inputs.
+    # A plain null test would be pushed into the feed scan, and the feed could then
+    # not be shuffled once for the events and the first stops.
+    origins = (
+        _scheduled(first_observed_rows(observed), stop_times)
+        .select("trip_id", F.coalesce(origin, F.lit(NO_ORIGIN)).alias("origin_us"))
+        .filter(F.col("origin_us") != NO_ORIGIN)
+    )
     scheduled_us = F.col("origin_us") + F.col("arrival_time_sec") * MICROS_PER_SECOND
     return (
-        events.join(origins, "trip_id")
+        _scheduled(observed, stop_times)
+        .join(origins, "trip_id")
         .withColumn("scheduled_ts_utc", F.timestamp_micros(scheduled_us))
         .select(
             *EVENT_KEY,
@@ -95,11 +97,11 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
 
 def service_day_events(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Observed events placed on the Paris calendar day of their arrival."""
-    observed = trips_updates.filter(F.col("arrival_dt").isNotNull())
+    observed = _observed(trips_updates).filter(F.col("arrival_dt_utc").isNotNull())
     day = F.to_date(paris_wall_clock(F.col("arrival_dt_utc")))
     start_of_day = F.col("local_service_day").cast("timestamp_ntz")
     return (
-        scheduled_events(observed, stop_times)
+        _scheduled(observed, stop_times)
         .withColumn("local_service_day", day)
         .withColumn(
             "scheduled_ts_utc",

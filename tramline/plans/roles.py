@@ -14,14 +14,14 @@ from functools import cached_property
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline import scratch
 from tramline.functions.clock import seconds_to_hhmmss
 from tramline.operators.delay import service_day_delays, trip_relative_delays
 from tramline.session import prepare
-from tramline.sinks.export import read_table, replace_table
+from tramline.sinks.export import replace_table
 from tramline.sources.feeds import with_update_times, with_vehicle_time
-from tramline.sources.files import matching_paths
 from tramline.sources.timetable import with_stop_seconds
 
 FIRST_SECOND = 23 * 3600
@@ -44,8 +44,8 @@ def _planned_second(stop_sequence: Column) -> Column:
     return (FIRST_SECOND + (stop_sequence - 1) * STEP_SECONDS).cast("bigint")
 
 
-# Warehouse folder of each (application, test folder), so a session loads once.
-_WAREHOUSES: dict[tuple[str, str], str] = {}
+# What a session has loaded or opened, by (application, folder, table).
+_LOADED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 class Roles:
@@ -59,17 +59,27 @@ class Roles:
         self.spark = prepare(spark)
         self.folder = folder
 
+    def _open(self, name: str, path: Callable[[], str]) -> DataFrame:
+        """Parquet table whose path and schema are found once per session."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _LOADED:
+            found = path()
+            _LOADED[key] = found, self.spark.read.parquet(found).schema
+        found, schema = _LOADED[key]
+        return self.spark.read.schema(schema).parquet(found)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open(name, lambda: f"{self.folder}/{name}.parquet")
 
     def _loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Warehouse table `name`, written first if this session has not yet done so."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _WAREHOUSES:
-            _WAREHOUSES[key] = scratch.new_folder(self.spark, "warehouse")
-        if matching_paths(self.spark, f"{_WAREHOUSES[key]}/{name}/_SUCCESS"):
-            return read_table(self.spark, _WAREHOUSES[key], name)
-        return replace_table(build(), _WAREHOUSES[key], name)
+        """Warehouse table `name`, written the first time this session needs it."""
+
+        def load() -> str:
+            warehouse = scratch.new_folder(self.spark, "warehouse")
+            replace_table(build(), warehouse, name)
+            return f"{warehouse}/{name}"
+
+        return self._open(f"warehouse/{name}", load)
 
     @cached_property
     def visits(self) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+# Own folder of each local application that names none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder named by the cluster; a local session without one gets its own."""
@@ -17,9 +20,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{SETTING} must name a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tramline-")
-    spark.conf.set(SETTING, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="tramline-")
+    return _LOCAL_ROOTS[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
