@@ -1,0 +1,93 @@
+from tests.helpers import at
+from tests.test_sources import STOP_TIMES
+from tramline import schemas
+from tramline.plans.daily import run_daily
+from tramline.sources.feeds import flatten_trip_updates, flatten_vehicle_positions
+
+EPOCH = 1757664000  # 08:00 UTC on 12 September 2025
+
+
+def write_timetable(folder):
+    folder.mkdir()
+    (folder / "stop_times.txt").write_text(STOP_TIMES)
+    (folder / "stops.txt").write_text(
+        "stop_id,stop_name,stop_lat,stop_lon\ns1,One,43.5,7\ns2,Two,43.6,7.25\ns3,Three,43.7,7.5\n"
+    )
+    (folder / "routes.txt").write_text(
+        "route_id,route_short_name,route_long_name,color\nr1,1,Line 1,red\n"
+    )
+    (folder / "trips.txt").write_text("trip_id,route_id,headsign\nA,r1,North\nC,r2,South\n")
+
+
+def feeds_of(spark, late):
+    stops = [
+        {"stop_id": "s1", "stop_sequence": 1, "arrival": {"time": EPOCH}, "departure": None},
+        {
+            "stop_id": "s2",
+            "stop_sequence": 2,
+            "arrival": {"time": EPOCH + 17 * 3600 + late},
+            "departure": None,
+        },
+    ]
+    trip = {"trip_id": "A", "route_id": "r1", "direction_id": 0}
+    update = [{"id": "1", "trip_update": {"trip": trip, "stop_time_update": stops}}]
+    vehicle = {
+        "trip": {"trip_id": "A", "route_id": "r1"},
+        "stop_id": None,
+        "position": {"latitude": 43.5, "longitude": 7.0, "bearing": None, "speed": None},
+        "timestamp": EPOCH,
+        "vehicle": {"id": "v"},
+    }
+    return (
+        flatten_trip_updates(spark.createDataFrame([(update,)], schemas.TRIP_UPDATE_FEED)),
+        flatten_vehicle_positions(
+            spark.createDataFrame([([{"id": "1", "vehicle": vehicle}],)], schemas.VEHICLE_FEED)
+        ),
+    )
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_two_runs_extend_the_history(spark, tmp_path):
+    write_timetable(tmp_path / "gtfs")
+    for stamp, late in (("20250912_100000", 120), ("20250912_150000", 600)):
+        results = run_daily(
+            spark,
+            str(tmp_path / "gtfs"),
+            *feeds_of(spark, late),
+            str(tmp_path / "warehouse"),
+            str(tmp_path / "exports"),
+            stamp=stamp,
+            as_of="2025-09-13 12:00:00",
+            watched_stops=("s2",),
+        )
+    assert rows(results["avg_delay_by_route"]) == [("r1", 5.0)]
+    assert rows(results["punctuality_rate"]) == [(2, 1, 50.0)]
+    assert rows(results["position_bus_vehicles"]) == [
+        ("A", "r1", 43.5, 7.0, at(10), 0.0),
+        ("A", "r1", 43.5, 7.0, at(10), 10.0),
+    ]
+    assert [(r.stop_id, r.avg_delay_min) for r in results["avg_delay_by_stop"].collect()] == [
+        ("s2", 10.0),
+        ("s1", 0.0),
+        ("s3", None),
+    ]
+    # The first minute is in both runs, the last stop arrives eight minutes later in the second.
+    assert rows(results["avg_delay_heatmap_Q5"]) == [
+        ("2025-09-12", "10", 0.0, 2),
+        ("2025-09-13", "03", 6.0, 2),
+    ]
+    assert rows(results["evolution_delay_by_stop_Q7"]) == [
+        ("s2", "Two", 43.6, 7.25, at(10), 2.0),
+        ("s2", "Two", 43.6, 7.25, at(15), 10.0),
+    ]
+    assert rows(results["trips_plus_routes"].orderBy("trip_id")) == [
+        ("A", "r1", "North", "1", "Line 1"),
+        ("C", "r2", "South", None, None),
+    ]
+    geometry = [r.geometry for r in results["stops_with_geom"].orderBy("stop_id").collect()]
+    assert geometry == ["POINT (7 43.5)", "POINT (7.25 43.6)", "POINT (7.5 43.7)"]
+    written = sorted(p.name for p in (tmp_path / "exports" / "avg_delay_by_route").iterdir())
+    assert written == ["stamp=20250912_100000", "stamp=20250912_150000"]

@@ -26,13 +26,6 @@ def hhmmss_to_seconds(text: Column) -> Column:
     return F.when(F.size(parts) == 3, total)
 
 
-def seconds_to_hhmmss(seconds: Column) -> Column:
-    """Seconds after midnight to 'HH:MM:SS', the inverse of `hhmmss_to_seconds`."""
-    minutes = F.call_function("div", seconds, F.lit(60))
-    fields = (F.call_function("div", minutes, F.lit(60)), minutes % 60, seconds % 60)
-    return F.concat_ws(":", *(F.lpad(f.cast("string"), 2, "0") for f in fields))
-
-
 def epoch_to_timestamp(epoch: Column, integral: bool = False) -> Column:
     """Epoch seconds (integer, decimal or text) to an instant; anything else gives NULL.
 

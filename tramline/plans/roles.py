@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline import scratch
-from tramline.functions.clock import seconds_to_hhmmss
 from tramline.operators.delay import service_day_delays, trip_relative_delays
 from tramline.session import prepare
 from tramline.sinks.export import replace_table
@@ -44,6 +43,13 @@ def _planned_second(stop_sequence: Column) -> Column:
     return (FIRST_SECOND + (stop_sequence - 1) * STEP_SECONDS).cast("bigint")
 
 
+def _time_text(seconds: Column) -> Column:
+    """Seconds after midnight as HH:MM:SS, hours up to 99."""
+    minutes = F.call_function("div", seconds, F.lit(60))
+    fields = (F.call_function("div", minutes, F.lit(60)), minutes % 60, seconds % 60)
+    return F.concat_ws(":", *(F.lpad(f.cast("string"), 2, "0") for f in fields))
+
+
 # What a session has loaded or opened, by (application, folder, table).
 _LOADED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
@@ -96,8 +102,8 @@ class Roles:
         planned = _planned_second(F.col("stop_sequence"))
         return self.visits.select(
             "trip_id",
-            seconds_to_hhmmss(planned).alias("arrival_time"),
-            seconds_to_hhmmss(planned + 30).alias("departure_time"),
+            _time_text(planned).alias("arrival_time"),
+            _time_text(planned + 30).alias("departure_time"),
             "stop_id",
             "stop_sequence",
         )

@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot trip even when that costs one more exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where every shuffled partition of a side is measured to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
