@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tramline import schemas
 from tramline.functions.clock import stamp as run_stamp
@@ -66,8 +67,9 @@ def answer_questions(
         export.write_snapshot(result, run.export_dir, name, run.stamp)
         return result
 
-    def past(name: str, schema) -> DataFrame:
-        return read_snapshots(spark, export.snapshot_glob(run.export_dir, name), schema)
+    def past(name: str, schema: T.StructType, same_header: bool) -> DataFrame:
+        pattern = export.snapshot_glob(run.export_dir, name)
+        return read_snapshots(spark, pattern, schema, same_header)
 
     trips, stops = warehouse["trips"], warehouse["stops"]
     vehicles = warehouse["vehicle_positions"]
@@ -84,11 +86,11 @@ def answer_questions(
     }
     results["avg_delay_heatmap_Q5"] = save(
         "avg_delay_heatmap_Q5",
-        history.delay_heatmap(past(BY_MINUTE, schemas.MINUTE_SNAPSHOT), as_of),
+        history.delay_heatmap(past(BY_MINUTE, schemas.MINUTE_SNAPSHOT, True), as_of),
     )
     results["evolution_delay_by_stop_Q7"] = save(
         "evolution_delay_by_stop_Q7",
-        history.stop_delay_evolution(past(BY_STOP, schemas.STOP_SNAPSHOT), watched_stops),
+        history.stop_delay_evolution(past(BY_STOP, schemas.STOP_SNAPSHOT, False), watched_stops),
     )
     if "routes" in warehouse:
         results["trips_plus_routes"] = save(

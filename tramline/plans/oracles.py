@@ -135,6 +135,10 @@ _HEATMAP = """SELECT strftime(minute_ts, '%Y-%m-%d') AS jour_date, strftime(minu
   COUNT(*) AS nb_events
 FROM minutes WHERE minute_ts IS NOT NULL AND {rows} GROUP BY 1, 2"""
 
+_BEFORE_AS_OF = (
+    f"minute_ts <= (TIMESTAMP '{AS_OF}' AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris'"
+)
+
 _POSITIONS = f"""SELECT v.trip_id, v.route_id, v.latitude, v.longitude,
   {_to_paris("v.at_sec")} AS timestamp_paris, ROUND(e.late / 60.0, 2) AS delay_min
 FROM vehicles v LEFT JOIN events_sec e ON e.trip_id = v.trip_id"""
@@ -270,6 +274,10 @@ ORDER BY avg_delay_min DESC NULLS LAST, p.stop_id LIMIT 10""",
 SELECT o.o_orderkey AS trip_id, o.o_custkey AS route_id, c.c_mktsegment AS route_short_name,
   c.c_name AS route_long_name
 FROM orders o LEFT JOIN customer c ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
+        "trips_with_known_route": """
+SELECT o.o_orderkey AS trip_id, o.o_custkey AS route_id
+FROM orders o LEFT JOIN customer c ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
+        "table_row_count": f"WITH {_SEEN} SELECT COUNT(*) AS n_rows FROM feed",
         "stops_with_geometry": f"""
 WITH {_STOPS}
 SELECT *, 'POINT (' || regexp_replace(CAST(stop_lon AS VARCHAR), '\\.0$', '') || ' '
@@ -327,7 +335,7 @@ SELECT CAST(trip_id AS VARCHAR) AS trip_id, NULLIF(route_id, 'signup') AS route_
 FROM vehicles""",
         "delay_heatmap": f"""
 WITH {_RUN_MINUTES}
-{_HEATMAP.format(rows=f"minute_ts <= (TIMESTAMP '{AS_OF}' AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris'")}""",
+{_HEATMAP.format(rows=_BEFORE_AS_OF)}""",
         "delay_heatmap_selected_runs": f"""
 WITH {_RUN_MINUTES}
 {_HEATMAP.format(rows=_SELECTED)}""",
@@ -342,6 +350,22 @@ WITH {_RUN_STOPS} SELECT * FROM stop_runs WHERE stop_id IN {WATCHED}""",
 WITH {_RUN_STOPS}
 SELECT stop_id, stop_name, MIN(avg_delay_min) AS min_delay, MAX(avg_delay_min) AS max_delay
 FROM stop_runs WHERE avg_delay_min IS NOT NULL GROUP BY stop_id, stop_name""",
+        "daily_run": f"""
+WITH {_RELATIVE}, {_VEHICLES}, {_STOPS},
+minutes AS (SELECT DISTINCT {_MINUTE} AS minute_ts FROM events_sec)
+SELECT 'avg_delay_by_minute' AS question, COUNT(*) AS n_rows FROM minutes
+UNION ALL SELECT 'avg_delay_by_stop', COUNT(*) FROM places
+UNION ALL SELECT 'position_bus_vehicles', COUNT(*)
+  FROM vehicles v LEFT JOIN events_sec e ON e.trip_id = v.trip_id
+UNION ALL SELECT 'avg_delay_by_route', COUNT(DISTINCT o_custkey)
+  FROM orders JOIN events_sec ON o_orderkey = trip_id
+UNION ALL SELECT 'punctuality_rate', 1
+UNION ALL SELECT 'avg_delay_heatmap_Q5', COUNT(DISTINCT strftime(minute_ts, '%Y-%m-%d %H'))
+  FROM minutes WHERE {_BEFORE_AS_OF}
+UNION ALL SELECT 'evolution_delay_by_stop_Q7', COUNT(*) FROM places
+  WHERE CAST(stop_id AS VARCHAR) IN {WATCHED}
+UNION ALL SELECT 'trips_plus_routes', COUNT(*) FROM orders
+UNION ALL SELECT 'stops_with_geom', COUNT(*) FROM places""",
         "stream_avg_delay_by_minute": f"""
 WITH {_RELATIVE}, newest AS (SELECT MAX(arr) AS last_arr FROM events_sec)
 SELECT {_to_paris("arr // 60 * 60")} AS minute_ts, {_AVG}

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline import schemas, scratch
+from tramline import catalog, schemas, scratch
 from tramline.functions.clock import epoch_to_timestamp, hhmmss_to_seconds
 from tramline.operators import delay, history, questions, ranking, tables
-from tramline.plans.roles import Roles, pack_archives, update_messages, vehicle_messages
+from tramline.plans import daily
+from tramline.plans.roles import STAMPS, Roles, pack_archives, update_messages, vehicle_messages
 from tramline.sinks import export
 from tramline.sources import archives, feeds, snapshots, timetable
 from tramline.streaming.minutes import stream_delay_by_minute
@@ -206,6 +208,12 @@ def trips_plus_routes(r: Roles) -> DataFrame:
     return tables.trips_plus_routes(r.trips, r.routes)
 
 
+@query
+def trips_with_known_route(r: Roles) -> DataFrame:
+    """The merge on the key alone, which brings no columns."""
+    return tables.trips_plus_routes(r.trips, r.routes, ())
+
+
 @query
 def stops_with_geometry(r: Roles) -> DataFrame:
     return tables.stops_with_geometry(r.stops)
@@ -216,6 +224,11 @@ def null_profile(r: Roles) -> DataFrame:
     return tables.null_profile(r.trips_updates)
 
 
+@query
+def table_row_count(r: Roles) -> DataFrame:
+    return catalog.row_count(r.trips_updates)
+
+
 # -- loads: written as text in the shared folder, then read with the library's readers
 
 
@@ -255,7 +268,7 @@ def expand_archives(r: Roles) -> DataFrame:
 
 @query
 def flatten_trip_updates(r: Roles) -> DataFrame:
-    return feeds.flatten_trip_updates(update_messages(r.flat_updates))
+    return feeds.flatten_trip_updates(update_messages(r.flat_updates, bare_stop=True))
 
 
 @query
@@ -278,6 +291,7 @@ def _minute_history(r: Roles, *stamps: str) -> list[DataFrame]:
             r.spark,
             export.snapshot_glob(folder, "avg_delay_by_minute", s),
             schemas.MINUTE_SNAPSHOT,
+            same_header=True,
         )
         for s in stamps or ("*",)
     ]
@@ -360,6 +374,40 @@ def stream_stop_snapshots(r: Roles) -> DataFrame:
     return r.spark.read.parquet(f"{folder}/table").drop("filename", "snapshot_day")
 
 
+# -- the whole job
+
+
+@query
+def daily_run(r: Roles) -> DataFrame:
+    """Text timetable and nested feeds through to every answer; rows written per question."""
+    folder = scratch.new_folder(r.spark, "daily")
+    for name, table in {
+        "stop_times": r.stop_times_text,
+        "stops": r.stops,
+        "trips": r.trips,
+        "routes": r.routes,
+    }.items():
+        export.export_csv(table, f"{folder}/gtfs/{name}.txt")
+    answers = daily.run_daily(
+        r.spark,
+        f"{folder}/gtfs",
+        feeds.flatten_trip_updates(update_messages(r.flat_updates)),
+        feeds.flatten_vehicle_positions(vehicle_messages(r.flat_vehicles)),
+        f"{folder}/warehouse",
+        f"{folder}/exports",
+        stamp=STAMPS[0],
+        as_of=AS_OF,
+        watched_stops=WATCHED,
+    )
+    written = [
+        r.spark.read.option("header", True)
+        .csv(export.snapshot_glob(f"{folder}/exports", name))
+        .agg(F.lit(name).alias("question"), F.count(F.lit(1)).alias("n_rows"))
+        for name in answers
+    ]
+    return reduce(DataFrame.unionByName, written)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Query) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: _plain_times(build(Roles(spark, folder)))

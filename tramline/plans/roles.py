@@ -211,11 +211,11 @@ class Roles:
         return self.stops.withColumn("stamp", F.explode(F.array(*map(F.lit, STAMPS))))
 
 
-def update_messages(updates: DataFrame) -> DataFrame:
+def update_messages(updates: DataFrame, bare_stop: bool = False) -> DataFrame:
     """Flat updates back in feed messages.
 
-    Each holds the update, a stop with nothing set, an update without stops and
-    an entity of another kind, so the flatten meets every optional part.
+    Each holds the update, an update without stops and an entity of another kind;
+    `bare_stop` adds a stop with nothing set, which reads as stop_sequence 0.
     """
     trip = F.struct(
         F.col("trip_id").cast("string").alias("trip_id"),
@@ -247,7 +247,7 @@ def update_messages(updates: DataFrame) -> DataFrame:
     def update(stops: Column) -> Column:
         return F.struct(trip.alias("trip"), stops.alias("stop_time_update"))
 
-    some = update(F.array(stop, bare))
+    some = update(F.array(stop, bare) if bare_stop else F.array(stop))
     none = update(F.filter(F.array(stop), lambda s: F.lit(False)))
     other = F.when(F.lit(False), some)
     return updates.select(
