@@ -57,7 +57,7 @@ def minute_of(wall_clock: Column) -> Column:
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:
     """Add whole seconds to an instant or a local time."""
-    return moment + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", seconds, moment)
 
 
 def micros_between(later: Column, earlier: Column) -> Column:

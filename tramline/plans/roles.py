@@ -96,47 +96,58 @@ class Roles:
             .agg(F.min("l_suppkey").alias("stop_id"), F.min("l_partkey").alias("part"))
         )
 
-    @cached_property
-    def stop_times_text(self) -> DataFrame:
-        """Timetable with its times as text; hours run past 24."""
-        planned = _planned_second(F.col("stop_sequence"))
-        return self.visits.select(
-            "trip_id",
-            _time_text(planned).alias("arrival_time"),
-            _time_text(planned + 30).alias("departure_time"),
-            "stop_id",
-            "stop_sequence",
-        )
-
     @cached_property
     def stop_times(self) -> DataFrame:
-        return self._loaded("stop_times", lambda: with_stop_seconds(self.stop_times_text))
+        """Timetable with its times as text, hours past 24, and in seconds."""
+
+        def build() -> DataFrame:
+            planned = _planned_second(F.col("stop_sequence"))
+            return with_stop_seconds(
+                self.visits.select(
+                    "trip_id",
+                    _time_text(planned).alias("arrival_time"),
+                    _time_text(planned + 30).alias("departure_time"),
+                    "stop_id",
+                    "stop_sequence",
+                )
+            )
+
+        return self._loaded("stop_times", build)
 
     @cached_property
-    def flat_updates(self) -> DataFrame:
-        """Trip updates with epoch seconds; every 17th part has no arrival."""
-        orders = self.table("orders").select(
-            F.col("o_orderkey").alias("trip_id"),
-            F.col("o_custkey").alias("route_id"),
-            (F.col("o_orderkey") % 2).cast("int").alias("direction_id"),
-            F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("day"),
-        )
-        arrival = (
-            F.col("day") + _planned_second(F.col("stop_sequence")) + F.col("part") % 1800 - 600
-        )
-        return self.visits.join(orders, "trip_id").select(
-            "trip_id",
-            "route_id",
-            "direction_id",
-            "stop_id",
-            "stop_sequence",
-            F.when(F.col("part") % 17 != 0, arrival).alias("arrival_time"),
-            F.when(F.col("part") % 13 != 0, arrival + 30).alias("departure_time"),
-        )
+    def stop_times_text(self) -> DataFrame:
+        return self.stop_times.drop("arrival_time_sec", "departure_time_sec")
 
     @cached_property
     def trips_updates(self) -> DataFrame:
-        return self._loaded("trips_updates", lambda: with_update_times(self.flat_updates))
+        """Feed with epoch seconds and instants; every 17th part has no arrival."""
+
+        def build() -> DataFrame:
+            orders = self.table("orders").select(
+                F.col("o_orderkey").alias("trip_id"),
+                F.col("o_custkey").alias("route_id"),
+                (F.col("o_orderkey") % 2).cast("int").alias("direction_id"),
+                F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("day"),
+            )
+            arrival = (
+                F.col("day") + _planned_second(F.col("stop_sequence")) + F.col("part") % 1800 - 600
+            )
+            flat = self.visits.join(orders, "trip_id").select(
+                "trip_id",
+                "route_id",
+                "direction_id",
+                "stop_id",
+                "stop_sequence",
+                F.when(F.col("part") % 17 != 0, arrival).alias("arrival_time"),
+                F.when(F.col("part") % 13 != 0, arrival + 30).alias("departure_time"),
+            )
+            return with_update_times(flat)
+
+        return self._loaded("trips_updates", build)
+
+    @cached_property
+    def flat_updates(self) -> DataFrame:
+        return self.trips_updates.drop("arrival_dt", "departure_dt")
 
     @cached_property
     def flat_vehicles(self) -> DataFrame:
