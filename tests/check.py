@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -61,6 +62,8 @@ def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else DEFAULT_DIR
     spark = build_session("tramline-check", "local[8]", **TEST_SETTINGS)
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in os.environ.get("CHECK_CONF", "").split():
+        spark.conf.set(*setting.split("=", 1))
     con, sql, failed = connect(folder), oracle_sql(), 0
     for name, build in queries().items():
         if len(sys.argv) > 2 and name not in sys.argv[2:]:

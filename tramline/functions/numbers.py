@@ -32,14 +32,20 @@ def delay_totals(micros: Column) -> list[Column]:
 
 
 def combine_totals(weight: Column | None = None) -> list[Column]:
-    """Second step over `delay_totals`, each row counted `weight` times."""
-    return [
-        F.sum(F.col(c) if weight is None else F.col(c) * weight).alias(c)
-        for c in ("sum_sec", "sum_us", "n_delay")
-    ]
+    """Second step over `delay_totals`, each row counted `weight` times.
+
+    Weighted sums are products of two counts' size and need more than a bigint.
+    """
+
+    def total(column: str) -> Column:
+        if weight is None:
+            return F.sum(column).alias(column)
+        return F.sum(F.col(column).cast("decimal(38,0)") * weight).alias(column)
+
+    return [total(c) for c in ("sum_sec", "sum_us", "n_delay")]
 
 
 def mean_minutes() -> Column:
     """Mean delay in minutes from `delay_totals`; NULL when no delay was counted."""
-    seconds = F.col("sum_sec") + F.col("sum_us") / float(MICROS_PER_SECOND)
+    seconds = F.col("sum_sec").cast("double") + F.col("sum_us").cast("double") / MICROS_PER_SECOND
     return F.try_divide(seconds, F.col("n_delay").cast("double")) / 60.0

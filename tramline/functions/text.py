@@ -24,7 +24,9 @@ def snapshot_time(path: Column) -> Column:
 
 def plain_number(value: Column) -> Column:
     """Shortest decimal text of a double, without exponent or trailing zeros."""
-    return F.regexp_replace(value.cast("double").cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    number = value.cast("double")
+    digits = F.regexp_replace(F.format_string("%.18f", number), r"\.?0+$", "")
+    return F.when(number == 0.0, "0").when(number.isNotNull(), digits)
 
 
 def wkt_point(lon: Column, lat: Column) -> Column:

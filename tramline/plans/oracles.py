@@ -201,7 +201,7 @@ WITH {_SEEN} SELECT trip_id, MIN(stop_sequence) AS first_seq FROM feed GROUP BY
         "delay_interval_top10": f"""
 WITH {_SERVICE_DAY}
 SELECT trip_id, stop_sequence, stop_id, make_timestamp(arr * 1000000) AS arrival_dt_utc,
-  local_day AS local_service_day, sec AS arrival_time_sec,
+  CAST(local_day AS VARCHAR) AS local_service_day, sec AS arrival_time_sec,
   make_timestamp(plan * 1000000) AS scheduled_ts_utc, late AS delay_duration
 FROM events_sec WHERE {_ON_DAY}
 ORDER BY late DESC, trip_id, stop_sequence, stop_id LIMIT 10""",

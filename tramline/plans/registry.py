@@ -34,9 +34,11 @@ def query(build: Query) -> Query:
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
-    """Instants as UTC wall clock, so that results compare as plain values."""
-    instants = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in instants})
+    """Instants as UTC wall clock and dates as text, so that results compare as plain values."""
+    plain = {T.TimestampType(): "timestamp_ntz", T.DateType(): "string"}
+    return df.withColumns(
+        {f.name: F.col(f.name).cast(plain[f.dataType]) for f in df.schema if f.dataType in plain}
+    )
 
 
 # -- scalar functions over whole columns
