@@ -7,11 +7,11 @@ from tramline.functions.clock import (
     as_instant,
     epoch_to_timestamp,
     hhmmss_to_seconds,
-    minute_of,
     paris_to_instant,
     paris_wall_clock,
     plus_seconds,
     stamp,
+    start_of,
 )
 from tramline.functions.numbers import delay_totals, mean_minutes, percent, round2
 from tramline.functions.text import missing_to_null, plain_number, snapshot_time, wkt_point
@@ -108,11 +108,13 @@ def test_paris_conversion_does_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_minute_and_seconds(spark):
+def test_start_of_unit(spark):
+    found = values(spark, "bigint", [119, 60, -1, None], lambda c: start_of(c, 60))
+    assert found == [60, 60, -60, None]
+
+
+def test_plus_seconds(spark):
     moment = dt.datetime(2025, 9, 12, 10, 5, 59, 999999)
-    assert values(spark, "timestamp_ntz", [moment], minute_of) == [
-        dt.datetime(2025, 9, 12, 10, 5)
-    ]
     later = values(spark, "timestamp_ntz", [moment], lambda c: plus_seconds(c, F.lit(93600)))
     assert later == [moment + dt.timedelta(hours=26)]
 

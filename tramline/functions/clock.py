@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 PARIS = "Europe/Paris"
 MICROS_PER_SECOND = 1_000_000
-MICROS_PER_MINUTE = 60_000_000.0
+MICROS_PER_MINUTE = 60 * MICROS_PER_SECOND
+MICROS_PER_HOUR = 60 * MICROS_PER_MINUTE
 
 # Range of a calendar date with a four-digit year, in epoch seconds.
 FIRST_EPOCH_SECOND = -62_135_596_800
@@ -50,9 +51,9 @@ def paris_to_instant(wall_clock: Column) -> Column:
     return F.when(repeated, late).otherwise(early).cast("timestamp")
 
 
-def minute_of(wall_clock: Column) -> Column:
-    """Start of the minute, without zone."""
-    return F.date_trunc("minute", wall_clock).cast("timestamp_ntz")
+def start_of(micros: Column, unit: int) -> Column:
+    """Microseconds since 1970 cut down to a whole number of units."""
+    return micros - F.pmod(micros, F.lit(unit))
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:

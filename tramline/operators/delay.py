@@ -90,7 +90,7 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
             "stop_id",
             "arrival_dt_utc",
             "scheduled_ts_utc",
-            (delay_micros() / MICROS_PER_MINUTE).alias("delay_min"),
+            (delay_micros() / float(MICROS_PER_MINUTE)).alias("delay_min"),
         )
     )
 
@@ -120,7 +120,7 @@ def service_day_delays(trips_updates: DataFrame, stop_times: DataFrame) -> DataF
         "stop_id",
         "arrival_dt_utc",
         "scheduled_ts_utc",
-        (delay_micros() / MICROS_PER_MINUTE).alias("delay_min"),
+        (delay_micros() / float(MICROS_PER_MINUTE)).alias("delay_min"),
     )
 
 

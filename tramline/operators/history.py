@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.clock import as_instant, paris_wall_clock
+from tramline.functions.clock import MICROS_PER_HOUR, as_instant, paris_wall_clock, start_of
 from tramline.functions.numbers import round2
 
 # The stops watched by default.
@@ -32,23 +32,23 @@ def delay_heatmap(
     `minutes` is the average per minute or a history of it.  Every row weighs the
     same, and a minute that several snapshots hold counts once for each.  The
     averages carry two decimals, so their sum is taken exactly, in hundredths.
+    Day and hour are written out once per hour, not once per minute.
     """
+    micros = F.unix_micros(F.col("minute_ts").cast("timestamp"))
+    hour = F.timestamp_micros("hour_us").cast("timestamp_ntz")
     hundredths = F.round(F.col("avg_delay_min") * 100.0, 0).cast("bigint")
     rows = minutes if include_future else past_minutes(minutes, as_of)
     return (
         rows.filter(F.col("minute_ts").isNotNull())
-        .groupBy(
-            F.date_format("minute_ts", "yyyy-MM-dd").alias("jour_date"),
-            F.date_format("minute_ts", "HH").alias("heure"),
-        )
+        .groupBy(start_of(micros, MICROS_PER_HOUR).alias("hour_us"))
         .agg(
             F.sum(hundredths).alias("total"),
             F.count("avg_delay_min").alias("n"),
             F.count(F.lit(1)).alias("nb_events"),
         )
         .select(
-            "jour_date",
-            "heure",
+            F.date_format(hour, "yyyy-MM-dd").alias("jour_date"),
+            F.date_format(hour, "HH").alias("heure"),
             round2(
                 F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")) / 100.0
             ).alias("avg_delay_min"),

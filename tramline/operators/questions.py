@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.clock import minute_of, paris_wall_clock
+from tramline.functions.clock import MICROS_PER_MINUTE, paris_wall_clock, start_of
 from tramline.functions.numbers import (
     combine_totals,
     delay_totals,
@@ -32,11 +32,19 @@ def _descending(*ties: str) -> list[Column]:
 
 
 def minute_averages(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean delay per Paris minute of arrival, unsorted, apart for each value of `by`."""
-    minute = minute_of(paris_wall_clock(F.col("arrival_dt_utc"))).alias("minute_ts")
+    """Mean delay per Paris minute of arrival, unsorted, apart for each value of `by`.
+
+    Paris is whole minutes from UTC, so events collapse to UTC minutes by plain
+    arithmetic first, and only one row per minute goes through the time zone.  The
+    second step joins the two UTC minutes behind a repeated autumn minute.
+    """
+    minute = start_of(F.unix_micros("arrival_dt_utc"), MICROS_PER_MINUTE)
     return (
-        delays.groupBy(*by, minute)
+        delays.groupBy(*by, minute.alias("utc_minute"))
         .agg(*delay_totals(delay_micros()))
+        .withColumn("minute_ts", paris_wall_clock(F.timestamp_micros("utc_minute")))
+        .groupBy(*by, "minute_ts")
+        .agg(*combine_totals())
         .select(*by, "minute_ts", _average())
     )
 
