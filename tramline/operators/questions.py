@@ -8,7 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.clock import MICROS_PER_MINUTE, paris_wall_clock, start_of
+from tramline.functions.clock import (
+    MICROS_PER_MINUTE,
+    epoch_to_timestamp,
+    paris_wall_clock,
+    start_of,
+)
 from tramline.functions.numbers import (
     combine_totals,
     delay_totals,
@@ -144,7 +149,7 @@ def vehicles_with_time(vehicle_positions: DataFrame) -> DataFrame:
         "route_id",
         "latitude",
         "longitude",
-        F.timestamp_seconds(F.col("timestamp").try_cast("bigint")).alias("ts_utc"),
+        epoch_to_timestamp(F.col("timestamp")).alias("ts_utc"),
     )
 
 

@@ -280,54 +280,33 @@ def flatten_vehicle_positions(r: Roles) -> DataFrame:
     )
 
 
-# -- snapshot history: written as stamped CSV, then read back through globs
+# -- snapshot history: stamped CSV of earlier runs, read back through globs
 
 
-def _minute_history(r: Roles, *stamps: str) -> list[DataFrame]:
-    folder = scratch.new_folder(r.spark, "exports")
-    export.write_snapshots(
-        questions.minute_averages(r.run_delays, by=["stamp"]), folder, "avg_delay_by_minute"
+def _minute_history(r: Roles, stamps: str = "*") -> DataFrame:
+    return snapshots.read_snapshots(
+        r.spark, r.minute_snapshots(stamps), schemas.MINUTE_SNAPSHOT, same_header=True
     )
-    return [
-        snapshots.read_snapshots(
-            r.spark,
-            export.snapshot_glob(folder, "avg_delay_by_minute", s),
-            schemas.MINUTE_SNAPSHOT,
-            same_header=True,
-        )
-        for s in stamps or ("*",)
-    ]
-
-
-def _write_stop_history(r: Roles) -> str:
-    folder = scratch.new_folder(r.spark, "exports")
-    export.write_snapshots(
-        questions.stop_averages(r.run_delays, r.run_stops, by=["stamp"]),
-        folder,
-        "avg_delay_by_stop",
-    )
-    return export.snapshot_glob(folder, "avg_delay_by_stop")
 
 
 def _stop_history(r: Roles) -> DataFrame:
-    return snapshots.read_snapshots(r.spark, _write_stop_history(r), schemas.STOP_SNAPSHOT)
+    return snapshots.read_snapshots(r.spark, r.stop_snapshots(), schemas.STOP_SNAPSHOT)
 
 
 @query
 def delay_heatmap(r: Roles) -> DataFrame:
-    (minutes,) = _minute_history(r)
-    return history.delay_heatmap(minutes, AS_OF)
+    return history.delay_heatmap(_minute_history(r), AS_OF)
 
 
 @query
 def delay_heatmap_selected_runs(r: Roles) -> DataFrame:
-    first, second = _minute_history(r, "2025091[2-9]*", "20250922*")
+    first, second = _minute_history(r, "2025091[2-9]*"), _minute_history(r, "20250922*")
     return history.delay_heatmap(first.unionByName(second), include_future=True)
 
 
 @query
 def snapshot_union(r: Roles) -> DataFrame:
-    first, second = _minute_history(r, "2025091[2-9]*", "20250922*")
+    first, second = _minute_history(r, "2025091[2-9]*"), _minute_history(r, "20250922*")
     return first.unionByName(second, allowMissingColumns=True).drop("filename")
 
 
@@ -370,7 +349,7 @@ def stream_avg_delay_by_minute(r: Roles) -> DataFrame:
 
 @query
 def stream_stop_snapshots(r: Roles) -> DataFrame:
-    rows = stream_snapshots(r.spark, _write_stop_history(r), schemas.STOP_SNAPSHOT)
+    rows = stream_snapshots(r.spark, r.stop_snapshots(), schemas.STOP_SNAPSHOT)
     folder = scratch.new_folder(r.spark, "stop-history")
     append_history(rows, f"{folder}/table", f"{folder}/state").awaitTermination()
     return r.spark.read.parquet(f"{folder}/table").drop("filename", "snapshot_day")

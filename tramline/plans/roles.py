@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 from tramline import scratch
 from tramline.operators.delay import service_day_delays, trip_relative_delays
+from tramline.operators.questions import minute_averages, stop_averages
+from tramline.plans.daily import BY_MINUTE, BY_STOP
 from tramline.session import prepare
-from tramline.sinks.export import replace_table
+from tramline.sinks.export import replace_table, snapshot_glob, write_snapshots
 from tramline.sources.feeds import with_update_times, with_vehicle_time
 from tramline.sources.timetable import with_stop_seconds
 
@@ -53,6 +55,9 @@ def _time_text(seconds: Column) -> Column:
 # What a session has loaded or opened, by (application, folder, table).
 _LOADED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
+# Export folder with the snapshot history of a question, by the same key.
+_HISTORIES: dict[tuple[str, str, str], str] = {}
+
 
 class Roles:
     """Role tables over one folder of parquet test tables.
@@ -65,9 +70,12 @@ class Roles:
         self.spark = prepare(spark)
         self.folder = folder
 
+    def _key(self, name: str) -> tuple[str, str, str]:
+        return self.spark.sparkContext.applicationId, self.folder, name
+
     def _open(self, name: str, path: Callable[[], str]) -> DataFrame:
         """Parquet table whose path and schema are found once per session."""
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        key = self._key(name)
         if key not in _LOADED:
             found = path()
             _LOADED[key] = found, self.spark.read.parquet(found).schema
@@ -225,6 +233,27 @@ class Roles:
     def run_stops(self) -> DataFrame:
         return self.stops.withColumn("stamp", F.explode(F.array(*map(F.lit, STAMPS))))
 
+    def _history(self, name: str, build: Callable[[], DataFrame]) -> str:
+        """Export folder with one CSV snapshot per run, written once per session."""
+        key = self._key(name)
+        if key not in _HISTORIES:
+            folder = scratch.new_folder(self.spark, "exports")
+            write_snapshots(build(), folder, name)
+            _HISTORIES[key] = folder
+        return _HISTORIES[key]
+
+    def minute_snapshots(self, stamps: str = "*") -> str:
+        """Glob over the runs' averages per minute."""
+        folder = self._history(BY_MINUTE, lambda: minute_averages(self.run_delays, ["stamp"]))
+        return snapshot_glob(folder, BY_MINUTE, stamps)
+
+    def stop_snapshots(self) -> str:
+        """Glob over the runs' averages per stop."""
+        folder = self._history(
+            BY_STOP, lambda: stop_averages(self.run_delays, self.run_stops, ["stamp"])
+        )
+        return snapshot_glob(folder, BY_STOP)
+
 
 def update_messages(updates: DataFrame, bare_stop: bool = False) -> DataFrame:
     """Flat updates back in feed messages.
