@@ -62,7 +62,7 @@ _HISTORIES: dict[tuple[str, str, str], str] = {}
 class Roles:
     """Role tables over one folder of parquet test tables.
 
-    The feed, the timetable and the delays are loaded into a warehouse in the
+    The feeds, the timetable and the delays are loaded into a warehouse in the
     shared folder on first use, as a daily run does; questions read them there.
     """
 
@@ -162,22 +162,27 @@ class Roles:
         return self.trips_updates.drop("arrival_dt", "departure_dt")
 
     @cached_property
-    def flat_vehicles(self) -> DataFrame:
+    def vehicle_positions(self) -> DataFrame:
         """Vehicle positions; those at longitude 0 have no time."""
-        k = F.get_json_object("props", "$.k").cast("double")
-        second = F.unix_seconds(F.col("ts").cast("timestamp"))
-        return self.table("events").select(
-            F.col("user_id").alias("trip_id"),
-            F.col("event_type").alias("route_id"),
-            F.col("value").alias("latitude"),
-            k.alias("longitude"),
-            F.when(k != 0, second).alias("timestamp"),
-            F.col("event_id").cast("string").alias("vehicle_id"),
-        )
+
+        def build() -> DataFrame:
+            k = F.get_json_object("props", "$.k").cast("double")
+            second = F.unix_seconds(F.col("ts").cast("timestamp"))
+            flat = self.table("events").select(
+                F.col("user_id").alias("trip_id"),
+                F.col("event_type").alias("route_id"),
+                F.col("value").alias("latitude"),
+                k.alias("longitude"),
+                F.when(k != 0, second).alias("timestamp"),
+                F.col("event_id").cast("string").alias("vehicle_id"),
+            )
+            return with_vehicle_time(flat)
+
+        return self._loaded("vehicle_positions", build)
 
     @cached_property
-    def vehicle_positions(self) -> DataFrame:
-        return with_vehicle_time(self.flat_vehicles)
+    def flat_vehicles(self) -> DataFrame:
+        return self.vehicle_positions.drop("timestamp_dt")
 
     @cached_property
     def trips(self) -> DataFrame:
