@@ -50,7 +50,7 @@ def brute_force(feed_rows, plan_rows):
     """(trip, sequence, stop, delay in minutes) of every event, by nested loops."""
     stops = defaultdict(list)
     for trip, sequence, stop, second in plan_rows:
-        if trip is not None and second is not None:
+        if None not in (trip, sequence, second):
             stops[trip, sequence].append((stop, second))
     first = {}
     for trip, sequence, _ in feed_rows:

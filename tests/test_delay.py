@@ -54,7 +54,8 @@ def test_duplicates_multiply(spark):
 
 def test_missing_keys_match_nothing(spark):
     rows = [(None, 1, at(8)), ("A", None, at(8)), ("A", 1, at(8))]
-    assert relative(spark, rows) == [("A", 1, "s1", 0.0)]
+    unkeyed = [(None, 1, "s1", 0), ("A", None, "s1", 0)]
+    assert relative(spark, rows, PLAN + unkeyed) == [("A", 1, "s1", 0.0)]
 
 
 def test_scheduled_time(spark):
