@@ -11,7 +11,7 @@ it is a leaf of the trie and never mixes with inner symbols.
 Encoded words are kept in a bounded cache for the batches that follow in the same worker.
 
 Defined cases: a null text is an empty one; a text without words has no ids and decodes to an
-empty string; texts of any length are cut at white space, which no word crosses; strings of the
+empty string; strings of the
 special tokens in a text become those tokens; repeated rows each get their result.
 """
 
@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Entries of either cache, and characters that are split into words at once.
-CACHE = 400_000
+# Entries of either cache, and characters that share a trie.
+CACHE = 700_000
 PIECE = 1 << 21
 
 
@@ -59,7 +59,7 @@ class Merges:
             pair = self.ids[left], self.ids[right]
             self.rank[pair] = rank
             self.parts[self.ids[left + right]] = (*pair, rank)
-        self._follows: dict[tuple[int, int], bool] = {}
+        self.known: dict[tuple[int, int], bool] = {}
 
     def _border(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens at one end of `token` while it is built, with the rank that used each up."""
@@ -72,13 +72,11 @@ class Merges:
             token, used = parts[side], parts[2]
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether no merge joins the two across their border."""
-        known = self._follows.get((left, right))
-        if known is None:
-            if len(self._follows) > 1_000_000:
-                self._follows.clear()
-            known = self._follows[left, right] = self._may_follow(left, right)
-        return known
+        """Whether no merge joins the two across their border; remembered in `known`."""
+        if len(self.known) > 1_000_000:
+            self.known.clear()
+        fits = self.known[left, right] = self._may_follow(left, right)
+        return fits
 
     def _may_follow(self, left: int, right: int) -> bool:
         starts = self._border(right, 0)
@@ -101,7 +99,8 @@ class TrieEncoder:
 
     def encode(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
         """(word, ids) for words in sorted order."""
-        get, follows, prefixes = self.merges.ids.get, self.merges.follows, self.prefixes
+        get, prefixes = self.merges.ids.get, self.prefixes
+        known, follows = self.merges.known.get, self.merges.follows
         # For each prefix of the path: last token, its length, and the length of the longest
         # stretch at its end that begins some token; no token that ends later is longer than
         # that by more than what was added.
@@ -122,14 +121,18 @@ class TrieEncoder:
                 longest += 1
                 while longest > 1 and word[end - longest : end] not in prefixes:
                     longest -= 1
-                for length in range(longest, 0, -1):
-                    token = get(word[end - length : end] + mark)
-                    if token is not None and (
-                        length == end or follows(last[end - length - 1], token)
-                    ):
-                        break
+                for start in range(end - longest, end):
+                    token = get(word[start:end] + mark)
+                    if token is not None:
+                        if start == 0:
+                            break
+                        left = last[start - 1]
+                        fits = known((left, token))
+                        if follows(left, token) if fits is None else fits:
+                            break
                 else:
                     raise ValueError(f"symbol {word[end - 1]!r} is not in the vocabulary")
+                length = end - start
                 if not mark:
                     last.append(token)
                     size.append(length)
@@ -153,91 +156,95 @@ class Tokenizer:
         self.trie = TrieEncoder(self.merges)
         self.symbols = byte_symbols()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {n: token for token, n in (self.merges.ids | self.special).items()}
+        by_id = {n: token for token, n in (self.merges.ids | self.special).items()}
+        self.strings = pa.array([by_id.get(n) for n in range(max(by_id) + 1)])
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        # Python counts four control characters as white space, Unicode does not.
+        # Python and Arrow count four control characters as white space, Unicode does not.
         pattern = splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.word = regex.compile(pattern)
         self.space = regex.compile(r"\p{White_Space}+")
         self.marker = regex.compile("|".join(map(regex.escape, self.special)))
+        # Bytes of UTF-8, read as Latin-1, to byte symbols.
+        self.spelling = {n: s for n, s in enumerate(self.symbols) if chr(n) != s}
         # Ids, as bytes of 32-bit integers, of words and of what stands between white space.
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def _split(self, text: str) -> list[str]:
-        """What stands between white space; no word crosses it."""
-        if any(control in text for control in "\x1c\x1d\x1e\x1f"):
-            return [chunk for chunk in self.space.split(text) if chunk]
-        return text.split()
-
-    def parts(self, text: str) -> Iterator[list[str] | int]:
-        """Chunks of a bounded stretch of text each, and the ids of special tokens."""
-        at = 0
-        for mark in self.marker.finditer(text) if "<|" in text else ():
-            yield from self._stretches(text, at, mark.start())
-            yield self.special[mark[0]]
-            at = mark.end()
-        yield from self._stretches(text, at, len(text))
-
-    def _stretches(self, text: str, start: int, stop: int) -> Iterator[list[str]]:
-        while stop - start > PIECE:
-            space = self.space.search(text, start + PIECE, stop)
-            if space is None:
-                break
-            yield self._split(text[start : space.start()])
-            start = space.start()
-        if start < stop:
-            yield self._split(text[start:stop])
+    def split(self, texts: pa.Array) -> pa.Array:
+        """For each text what stands between white space, as a dictionary-encoded list.
+
+        No word and no special token crosses white space.
+        """
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            lists = pa.array([self.space.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            lists = pc.utf8_split_whitespace(texts)
+        flat = lists.flatten()
+        filled = pc.not_equal(flat, "")
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        offsets = before[np.cumsum([0, *pc.list_value_length(lists).to_pylist()])]
+        chunks = flat.filter(filled).dictionary_encode()
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), chunks)
 
     def _words(self, chunk: str) -> list[str]:
         """Normalised words: NFC, then lower case letter by letter."""
         if not chunk.isascii():
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        return self.word.findall(chunk.lower())
+        lower = chunk.lower()
+        return [lower] if lower.isalpha() else self.word.findall(lower)
+
+    def _parts(self, chunk: str) -> list[str | int]:
+        """Words and the ids of special tokens."""
+        if "<|" not in chunk:
+            return self._words(chunk)
+        found, at = [], 0
+        for mark in self.marker.finditer(chunk):
+            found += [*self._words(chunk[at : mark.start()]), self.special[mark[0]]]
+            at = mark.end()
+        return found + self._words(chunk[at:])
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
         """Adds what the caches lack, in one walk through the trie of the missing words."""
-        missing = chunks - self.chunks.keys()
+        missing = [chunk for chunk in chunks if chunk not in self.chunks]
         if len(self.chunks) + len(missing) > CACHE:
             self.chunks.clear()
             missing = chunks
-        if not missing:
-            return
-        split = {chunk: self._words(chunk) for chunk in missing}
-        distinct = {word for words in split.values() for word in words}
+        split = [self._parts(chunk) for chunk in missing]
+        distinct = {word for words in split for word in words if type(word) is str}
         new = distinct - self.words.keys()
         if len(self.words) + len(new) > CACHE:
             self.words.clear()
             new = distinct
-        spelled = {"".join([self.symbols[byte] for byte in w.encode()]): w for w in new}
-        for word, ids in self.trie.encode(sorted(spelled)):
-            self.words[spelled[word]] = array("i", ids).tobytes()
+        spelled = {w.encode().decode("latin-1").translate(self.spelling): w for w in new}
         known = self.words
-        for chunk, words in split.items():
-            self.chunks[chunk] = (
-                known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
+        for word, ids in self.trie.encode(sorted(spelled)):
+            known[spelled[word]] = array("i", ids).tobytes()
+        for chunk, words in zip(missing, split, strict=True):
+            self.chunks[chunk] = b"".join(
+                [known[w] if type(w) is str else array("i", [w]).tobytes() for w in words]
             )
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        split = [list(self.parts(text)) for text in texts]
-        self.learn({c for parts in split for part in parts if type(part) is list for c in part})
-        return [self._joined(parts) for parts in split]
-
-    def _joined(self, parts: list) -> np.ndarray:
-        known = self.chunks
-        ids = [
-            b"".join([known[chunk] for chunk in part])
-            if type(part) is list
-            else array("i", [part]).tobytes()
-            for part in parts
-        ]
-        return np.frombuffer(b"".join(ids), np.int32)
-
-    def decode(self, ids: np.ndarray) -> str:
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text; null is an empty text."""
+        lists = self.split(pc.fill_null(texts, ""))
+        distinct = lists.values.dictionary.to_pylist()
+        self.learn(distinct)
+        entries = [self.chunks[chunk] for chunk in distinct]
+        lengths = np.array([len(entry) // 4 for entry in entries], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        ids = np.frombuffer(b"".join(entries), np.int32)
+        order = lists.values.indices.to_numpy()
+        # Places of all ids of all chunks, in the order of the texts.
+        times = lengths[order]
+        ends = np.concatenate([[0], np.cumsum(times)])
+        places = np.arange(ends[-1]) + np.repeat(starts[order] - ends[:-1], times)
+        offsets = ends[lists.offsets.to_numpy()]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[places]))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
         """Token strings joined by a space: the file names no decoder."""
-        tokens = self.tokens
-        return " ".join([tokens[n] for n in ids.tolist()])
+        strings = self.strings.take(ids.values)
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, strings), " ")
 
 
 # One per worker process, with its cache of words.
@@ -250,18 +257,14 @@ def loaded(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
-def _groups(column: pa.Array, characters: int) -> Iterator[list[str]]:
-    """Texts of a batch in stretches of about so many characters."""
-    group, held = [], 0
-    for value in column:
-        text = value.as_py() or ""
-        group.append(text)
-        held += len(text)
-        if held >= characters:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+def _slices(texts: pa.Array, characters: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of rows that hold about so many characters."""
+    lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(lengths) // characters
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(lengths)]])
+    for start, stop in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if stop > start:
+            yield start, stop - start
 
 
 def encode_documents(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -272,22 +275,16 @@ def encode_documents(documents: DataFrame, tokenizer: str | None = None) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(path)
         for batch in batches:
-            row = 0
-            for group in _groups(batch.column(1), PIECE):
-                ids = encoder.encode_all(group)
-                offsets = np.cumsum([0, *map(len, ids)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, len(group)),
-                        pa.array(np.diff(offsets), pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids))
-                        ),
-                        pa.array(map(encoder.decode, ids), pa.string()),
-                    ],
-                    names=["doc_id", "n_tokens", "token_ids", "decoded"],
-                )
-                row += len(group)
+            for start, length in _slices(batch.column(1), PIECE):
+                ids = encoder.encode(batch.column(1).slice(start, length))
+                columns = [
+                    batch.column(0).slice(start, length),
+                    pc.list_value_length(ids).cast(pa.int64()),
+                    ids,
+                    encoder.decode(ids),
+                ]
+                names = ["doc_id", "n_tokens", "token_ids", "decoded"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {kind}, n_tokens long, token_ids array<int>, decoded string"
     return documents.select("doc_id", "text").mapInArrow(run, schema)

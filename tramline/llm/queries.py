@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import line_winnowing, positional_index, simhash_anchors
+from tramline.llm import bpe_trie, line_winnowing, positional_index, simhash_anchors
 from tramline.llm.tables import read_table
 
 
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    encoded = bpe_trie.encode_documents(read_table(spark, folder, "documents"))
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without its repeated runs of lines."""
     return line_winnowing.dedup_lines(read_table(spark, folder, "documents"))
@@ -38,6 +50,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bpe": op1_bpe,
         "op7_line_dedup": op7_line_dedup,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_decontamination": op9_decontamination,
