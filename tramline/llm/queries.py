@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import bpe_trie, line_winnowing, positional_index, simhash_anchors
+from tramline.llm import (
+    bpe_trie,
+    language_id,
+    line_winnowing,
+    paragraph_sketch,
+    pii_crf,
+    positional_index,
+    quality_nbsvm,
+    simhash_anchors,
+)
 from tramline.llm.tables import read_table
 
 
@@ -23,6 +32,49 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    documents = read_table(spark, folder, "documents")
+    model = quality_nbsvm.fit(documents, read_table(spark, folder, "labels"))
+    scored = documents.select(
+        "doc_id",
+        F.coalesce(quality_nbsvm.held_out(), F.lit(False)).alias("held_out"),
+        quality_nbsvm.score(model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality_nbsvm.THRESHOLD).cast("int"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    documents = read_table(spark, folder, "documents")
+    return language_id.predict(documents, language_id.fit(documents))
+
+
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return paragraph_sketch.fingerprints(read_table(spark, folder, "documents"))
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    documents = read_table(spark, folder, "documents")
+    found = pii_crf.personal_data(documents, pii_crf.fit(documents))
+
+    def listed(spans: str) -> Column:
+        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(texts, ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in pii_crf.KINDS),
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without its repeated runs of lines."""
     return line_winnowing.dedup_lines(read_table(spark, folder, "documents"))
@@ -51,9 +103,13 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
+        "op5_language_id": op5_language_id,
+        "op6_document_fingerprints": op6_document_fingerprints,
         "op7_line_dedup": op7_line_dedup,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_pii": op10_pii,
     }
 
 
