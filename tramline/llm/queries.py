@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm import (
     bpe_trie,
+    html_template,
     language_id,
     line_winnowing,
     paragraph_sketch,
@@ -44,6 +45,13 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality_nbsvm.THRESHOLD).cast("int"))
 
 
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_template.extract(read_table(spark, folder, "pages"))
+    text = F.coalesce("text", F.lit(""))
+    return found.withColumns({"text": text, "n_chars": F.length(text).cast("long")})
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
     documents = read_table(spark, folder, "documents")
@@ -104,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_quality": op2_quality,
+        "op4_html_extraction": op4_html_extraction,
         "op5_language_id": op5_language_id,
         "op6_document_fingerprints": op6_document_fingerprints,
         "op7_line_dedup": op7_line_dedup,
