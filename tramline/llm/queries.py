@@ -17,6 +17,7 @@ from tramline.llm import (
     positional_index,
     quality_nbsvm,
     simhash_anchors,
+    tool_calls,
 )
 from tramline.llm.tables import read_table
 
@@ -45,6 +46,46 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality_nbsvm.THRESHOLD).cast("int"))
 
 
+# What a question and an answer of a conversation look like as a tool call.
+ASK_SCHEMA = {
+    "type": "object",
+    "required": ["n_chars", "question"],
+    "additionalProperties": False,
+    "properties": {
+        "n_chars": {"type": "integer", "minimum": 1, "maximum": 1000},
+        "question": {"type": "string", "minLength": 1},
+    },
+}
+
+
+def op3_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as linked tool calls.
+
+    Every turn of a user is a call, every turn of the assistant the result of the turn before
+    it, and every system turn a result that nobody asked for; a call depends on the call two turns
+    before.
+    """
+    turns = read_table(spark, folder, "conversations")
+    name = F.concat(F.lit("t"), F.col("turn"))
+    calls = turns.filter("role = 'user'").select(
+        "conv_id",
+        name.alias("call_id"),
+        "turn",
+        F.lit("ask").alias("name"),
+        F.to_json(
+            F.struct(F.col("text").alias("question"), F.length("text").alias("n_chars"))
+        ).alias("arguments"),
+        F.array(F.concat(F.lit("t"), F.col("turn") - 2)).alias("depends_on"),
+    )
+    results = turns.filter("role <> 'user'").select(
+        "conv_id",
+        F.concat(F.lit("t"), F.col("turn") - F.when(F.col("role") == "system", 0).otherwise(1)).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return tool_calls.link_calls(calls, results, {"ask": ASK_SCHEMA})
+
+
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = html_template.extract(read_table(spark, folder, "pages"))
@@ -112,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_quality": op2_quality,
+        "op3_tool_calls": op3_tool_calls,
         "op4_html_extraction": op4_html_extraction,
         "op5_language_id": op5_language_id,
         "op6_document_fingerprints": op6_document_fingerprints,
