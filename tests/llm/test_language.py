@@ -1,0 +1,54 @@
+import zlib
+
+from tests.llm.helpers import AWKWARD, collected, documents
+from tramline.llm import language_id, queries
+from tramline.llm.tables import read_table
+
+TABLES = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    known = {r.doc_id: r.lang for r in read_table(spark, TABLES, "documents").collect()}
+    found = collected(queries.op5_language_id(spark, TABLES))
+    assert found.keys() == known.keys()
+    for row in found.values():
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        assert 0.0 <= row.score <= 1.0
+    unseen = [r for r in found.values() if r.held_out]
+    assert sum(r.lang_pred == known[r.doc_id] for r in unseen) / len(unseen) >= 0.95
+
+
+def test_counts_cover_texts_longer_than_a_stretch(monkeypatch):
+    text = "the quick brown fox jumps over the lazy dog " * 50
+    whole = language_id.ngram_counts(text)
+    monkeypatch.setattr(language_id, "_STRETCH", 100)
+    assert (language_id.ngram_counts(text) == whole).all()
+
+
+def test_family_first_then_language(spark):
+    samples = {
+        "en": "the house and the garden with this",
+        "de": "das haus und der garten mit dieser",
+        "fr": "la maison et le jardin avec cette",
+        "es": "la casa y el huerto con aquella",
+        "xx": "zqx wvk jjz qqk xzz kvv",
+    }
+    rows = [(n, f"{text} {n % 7}", lang) for n, (lang, text) in enumerate(list(samples.items()) * 30)]
+    docs = documents(spark, [r[1] for r in rows]).drop("lang")
+    langs = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, lang string")
+    model = language_id.fit(docs.join(langs, "doc_id"))
+    assert model.families == ["germanic", "romance", "xx"]
+    assert set(model.pairs) == {("de", "en"), ("es", "fr")}
+    for lang, text in samples.items():
+        assert model.predict(text)[0] == lang
+    found = collected(language_id.predict(documents(spark, [*AWKWARD, "12 - 34"]), model))
+    for n in (0, 1, 2, len(AWKWARD)):
+        assert (found[n].lang_pred, found[n].score) == ("und", 1.0)
+    assert found[3].lang_pred == found[4].lang_pred
+
+
+def test_nothing_to_learn_from(spark):
+    docs = documents(spark, AWKWARD)
+    model = language_id.fit(docs.limit(0))
+    assert model.predict("text") == ("und", 0.0)
+    assert language_id.predict(docs.limit(0), model).count() == 0

@@ -1,0 +1,107 @@
+import random
+import re
+
+import pytest
+
+from tests.check import connect, differences
+from tests.llm.helpers import AWKWARD, documents
+from tramline.llm import line_winnowing, queries
+
+TABLES = "/root/testdata/sf0.01"
+
+
+def brute_force(texts, least):
+    """Lines of each text that lie in a run of `least` words or more which came before."""
+    runs, first, deleted = [], {}, [set() for _ in texts]
+    for doc, text in enumerate(texts):
+        lines = [
+            (n, line, len(re.findall(r"[^\x09-\x0D\x20]+", line)))
+            for n, line in enumerate((text or "").split("\n"))
+        ]
+        lines = [x for x in lines if x[2]]
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                part = lines[i : j + 1]
+                words = sum(x[2] for x in part)
+                # Shortest from either end: one line less would be too short.
+                if words >= least and (words - part[-1][2] < least or words - part[0][2] < least):
+                    runs.append((tuple(x[1] for x in part), doc, part[0][0], part[-1][0]))
+    for content, *place in sorted(runs, key=lambda r: r[1:]):
+        first.setdefault(content, place)
+    for content, doc, start, stop in runs:
+        at = first[content]
+        if [doc, start] > at[:2] and not (doc == at[0] and start <= at[2]):
+            deleted[doc].update(range(start, stop + 1))
+    return [
+        None
+        if text is None
+        else "\n".join(line for n, line in enumerate(text.split("\n")) if n not in gone)
+        for text, gone in zip(texts, deleted, strict=True)
+    ]
+
+
+def cleaned(spark, texts, least=line_winnowing.MIN_WORDS):
+    found = line_winnowing.dedup_lines(documents(spark, texts), least).collect()
+    assert len(found) == len(texts)
+    return [row.text for row in sorted(found)]
+
+
+def test_query_equals_its_sql(spark):
+    name = "op7_line_dedup"
+    found = differences(
+        spark, connect(TABLES), TABLES, name, queries.queries()[name], queries.oracle_sql()[name]
+    )
+    assert found == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_texts_equal_brute_force(spark, seed):
+    chance = random.Random(seed)
+    pool = [" ".join(chance.choices("abcdefg", k=chance.randrange(5))) for _ in range(9)]
+    texts = ["\n".join(chance.choices(pool, k=chance.randrange(14))) for _ in range(40)]
+    assert cleaned(spark, texts, 6) == brute_force(texts, 6)
+
+
+def test_every_line_of_a_later_run_goes(spark):
+    run = "\n".join(f"line {n} of the shared run" for n in range(9))
+    texts = [f"own head\n{run}\nown tail", f"{run}\nother tail", f"x\n{run}", "line 3 of the shared run"]
+    assert cleaned(spark, texts) == [texts[0], "other tail", "x", texts[3]]
+
+
+def test_one_long_line_is_a_run(spark):
+    passage = " ".join(f"w{n}" for n in range(60))
+    short = " ".join(f"w{n}" for n in range(49))
+    assert cleaned(spark, [passage, f"a\n{passage}\nb", short, short]) == [passage, "a\nb", short, short]
+
+
+def test_a_text_that_repeats_itself_keeps_the_first_run(spark):
+    assert cleaned(spark, ["a b\n" * 12], 6) == ["a b\na b\na b\n"]
+
+
+def test_awkward_rows(spark):
+    texts = [*AWKWARD, *AWKWARD]
+    assert cleaned(spark, texts, 1)[: len(AWKWARD)] == [None, "", " \n\n ", "one", "", AWKWARD[5], AWKWARD[6]]
+    docs = documents(spark, texts)
+    kept = line_winnowing.without_repeated_lines(docs, 1)
+    assert kept.columns == docs.columns
+    for row in kept.collect():
+        assert row.n_chars == len(row.text or "")
+    assert line_winnowing.dedup_lines(docs.limit(0)).count() == 0
+    assert line_winnowing.without_repeated_lines(docs.limit(0)).columns == docs.columns
+
+
+def test_repeated_rows_are_one_document(spark):
+    docs = documents(spark, ["p q r\ns t u", "p q r"])
+    again = docs.union(docs).union(docs.selectExpr("CAST(NULL AS LONG) AS doc_id", "* EXCEPT (doc_id)"))
+    found = line_winnowing.dedup_lines(again, 3).collect()
+    assert len(found) == 6
+    # The rows without an id come first.
+    assert {(r.doc_id, r.text) for r in found} == {(None, "p q r\ns t u"), (None, ""), (0, ""), (1, "")} or {
+        (r.doc_id, r.text) for r in found
+    } == {(None, "p q r\ns t u"), (None, "p q r"), (0, ""), (1, "")}
+
+
+def test_main_path_stays_in_the_jvm(spark):
+    docs = documents(spark, ["a b c\nd e f"] * 3)
+    plan = line_winnowing.dedup_lines(docs, 3)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)

@@ -1,0 +1,128 @@
+import hashlib
+import random
+import re
+
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm.helpers import AWKWARD, collected, documents
+from tramline.llm import pii_crf, queries
+
+TABLES = "/root/testdata/sf0.01"
+
+
+def brute_force(text):
+    """The four patterns as they are written down."""
+    found = [
+        ("email", *m.span())
+        for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
+    ]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            found.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c not in " -"]
+        total = sum(digits[-1::-2]) + sum(sum(divmod(2 * d, 10)) for d in digits[-2::-2])
+        if 12 <= len(digits) <= 19 and total % 10 == 0:
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append(("phone", *m.span()))
+    return sorted(found, key=lambda span: (span[1], pii_crf.KINDS.index(span[0])))
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text("ab129..@@-+ ()é٣\n", max_size=50) | st.text("0123456789 -.+(", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert pii_crf.base_spans(text) == brute_force(text)
+
+
+def test_long_runs_are_quick():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "+1" + "(" * 200_000, "1." * 100_000):
+        pii_crf.base_spans(text)
+
+
+def field():
+    chance = random.Random(1)
+    texts = []
+    for _ in range(150):
+        number = "".join(chance.choices("0123456789", k=7))
+        card = next(
+            c for c in (f"4{chance.randrange(10**14):014d}{d}" for d in range(10)) if pii_crf.luhn(c)
+        )
+        parts = [
+            f"mail joe.{number}@mail.example.com now",
+            f"call +1 (212) {number[:3]}-{number[3:]} now",
+            f"from 10.{number[:2]}.7.{number[2]} here",
+            f"card {card} paid",
+            f"page {number[:2]} of {number[:3]}",
+        ]
+        texts.append(" ".join(chance.sample(parts, 3)))
+    return pii_crf.train(texts)
+
+
+def test_similar_tokens_take_the_label_across_the_document():
+    trained = field()
+    number = "+1 (212) 555-0187"
+    far = " filler" * 50
+    base, spans = pii_crf.find_spans(f"call {number} now{far} or dial 212-555-0187 again", trained)
+    assert [kind for kind, _, _ in base] == ["phone"]
+    added = [span for span in spans if span not in base]
+    alone = pii_crf.find_spans(f"call now{far} or dial 212-555-0187 again", trained)[1]
+    text = f"call {number} now{far} or dial 212-555-0187 again"
+    found = pii_crf.tokens(text, base)
+    with_link = trained.chances(found)[-1]
+    links = pii_crf.skip_links(found)
+    assert len(links) and links[-1][1] == len(found) - 1
+    without = pii_crf.Field(trained.shapes, trained.chain, 0 * trained.skip).chances(found)[-1]
+    assert with_link[4] > without[4]
+    assert set(base) <= set(spans) and all(kind.startswith("like_") for kind, _, _ in added + alone)
+
+
+def test_messages_agree_with_enumeration_on_a_tree():
+    trained = field()
+    text = "call +1 (212) 555-0187 and 12 34"
+    found = pii_crf.tokens(text, [])
+    nodes = pii_crf._features(found) @ trained.shapes
+    n, k = nodes.shape
+    follows = [i for i in range(1, n) if found.follows[i]]
+    links = pii_crf.skip_links(found)
+    assert not len(links)
+    import itertools
+
+    import numpy as np
+
+    marginal = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        score = sum(nodes[i, labels[i]] for i in range(n))
+        score += sum(trained.chain[labels[i - 1], labels[i]] for i in follows)
+        for i in range(n):
+            marginal[i, labels[i]] += np.exp(score)
+    marginal /= marginal.sum(axis=1, keepdims=True)
+    assert np.abs(marginal - trained.chances(found)).max() < 0.02
+
+
+def test_query_keeps_the_patterns(spark):
+    found = collected(queries.op10_pii(spark, TABLES))
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{TABLES}/documents.parquet'").fetchall())
+    assert found.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        base = brute_force(text or "")
+        listed = [f"{k}:{s}:{e}" for k, s, e in base]
+        row = found[doc_id]
+        assert row.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(listed) <= set(row.spans.split(",")) | {""}
+        for kind in pii_crf.KINDS:
+            assert row[f"n_{kind}"] == sum(k == kind for k, _, _ in base)
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark, [*AWKWARD, "é a@b.c 1.2.3.4", "٣٣ 12"])
+    for trained in (None, field()):
+        found = collected(pii_crf.personal_data(docs, trained))
+        assert all(not found[n].spans for n in range(len(AWKWARD)))
+        assert [tuple(s) for s in found[len(AWKWARD)].base] == [("email", 2, 7), ("ip", 8, 15)]
+    assert pii_crf.fit(docs.limit(0)) is None
+    assert pii_crf.personal_data(docs.limit(0), None).count() == 0
+    assert pii_crf.fit(docs) is not None

@@ -127,11 +127,13 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _pairs(keys: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of one key; keys are in order and hold `CROWD` rows at most."""
+def _pairs(
+    keys: np.ndarray, bits: np.ndarray, most: int, crowd: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of one key; keys are in order and hold `crowd` rows at most."""
     left, right = [], []
     at = np.arange(len(keys))
-    for shift in range(1, CROWD):
+    for shift in range(1, crowd):
         at = at[at + shift < len(keys)]
         at = at[keys[at] == keys[at + shift]]
         if not len(at):
@@ -144,7 +146,7 @@ def _pairs(keys: np.ndarray, bits: np.ndarray, most: int) -> tuple[np.ndarray, n
     return (np.concatenate(left), np.concatenate(right)) if left else (empty, empty)
 
 
-def _compare(most: int):
+def _compare(most: int, crowd: int):
     """Partitions in order of the anchor: (a, b) is a link, (a, null) a member of a crowd."""
 
     def batch_of(a, b) -> pa.RecordBatch:
@@ -154,35 +156,35 @@ def _compare(most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, bits = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        crowd = None  # key of the crowd that the rows so far ended in
+        ended_in = None  # key of the crowd that the rows so far ended in
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
             bits = np.concatenate([bits, batch.column(1).to_numpy(zero_copy_only=False)])
-            yield from done(keys, bits, crowd, last=False)
-            keys, bits, crowd = rest(keys, bits, crowd)
-        yield from done(keys, bits, crowd, last=True)
+            yield from done(keys, bits, ended_in, last=False)
+            keys, bits, ended_in = rest(keys, bits, ended_in)
+        yield from done(keys, bits, ended_in, last=True)
 
-    def split(keys: np.ndarray, crowd, last: bool):
+    def split(keys: np.ndarray, ended_in: int | None, last: bool):
         """Rows of crowds, rows of whole small groups; the open last group is in neither."""
         _, first, times = np.unique(keys, return_index=True, return_counts=True)
-        many = times > CROWD
-        if crowd is not None and len(keys) and keys[0] == crowd:
+        many = times > crowd
+        if ended_in is not None and len(keys) and keys[0] == ended_in:
             many[0] = True
         whole = np.ones(len(times), bool)
         if not last and len(times):
             whole[-1] = many[-1]
         return np.repeat(many, times), np.repeat(whole & ~many, times)
 
-    def done(keys, bits, crowd, last):
-        crowded, small = split(keys, crowd, last)
-        a, b = _pairs(keys[small], bits[small], most)
+    def done(keys, bits, ended_in, last):
+        crowded, small = split(keys, ended_in, last)
+        a, b = _pairs(keys[small], bits[small], most, crowd)
         if len(a):
             yield batch_of(a, b)
         if crowded.any():
             yield batch_of(bits[crowded], [None] * int(crowded.sum()))
 
-    def rest(keys, bits, crowd):
-        crowded, small = split(keys, crowd, False)
+    def rest(keys, bits, ended_in):
+        crowded, small = split(keys, ended_in, False)
         open_rows = ~(crowded | small)
         ended_in = keys[-1] if len(keys) and crowded[-1] else None
         return keys[open_rows], bits[open_rows], ended_in
@@ -203,7 +205,7 @@ def _within_one_bit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
     """(a, b) links that connect all fingerprints within `max_bits` of each other."""
     if max_bits != 2:
         raise ValueError("the covering is laid out for two differing bits")
@@ -211,7 +213,7 @@ def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     met = stored(
         replicas.repartition("anchor")
         .sortWithinPartitions("anchor", "bits")
-        .mapInArrow(_compare(max_bits), "a long, b long"),
+        .mapInArrow(_compare(max_bits, crowd), "a long, b long"),
         "anchor-links",
     )
     crowds = met.filter("b is null").select(F.col("a").alias("bits")).distinct()
@@ -224,14 +226,17 @@ def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(
-    documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
+    documents: DataFrame,
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row."""
     rows = stored(fingerprints(documents, shingle), "fingerprints")
     distinct = stored(
         rows.groupBy("bits").agg(F.min("doc_id").alias("smallest")), "distinct-fingerprints"
     )
-    roots = components(links(distinct, max_bits))
+    roots = components(links(distinct, max_bits, crowd))
     labelled = distinct.join(roots, distinct["bits"] == roots["node"], "left").select(
         "bits", "smallest", F.coalesce("root", "bits").alias("class")
     )
