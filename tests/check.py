@@ -66,7 +66,7 @@ def main() -> int:
         spark.conf.set(*setting.split("=", 1))
     con, sql, failed = connect(folder), oracle_sql(), 0
     for name, build in queries().items():
-        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+        if name not in sql or len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
         start = time.time()
         try:

@@ -1,7 +1,9 @@
+import zipfile
+
 from tests.helpers import at
 from tests.test_sources import STOP_TIMES
 from tramline import schemas
-from tramline.plans.daily import run_daily
+from tramline.plans.daily import BY_MINUTE, run_daily
 from tramline.sources.feeds import flatten_trip_updates, flatten_vehicle_positions
 
 EPOCH = 1757664000  # 08:00 UTC on 12 September 2025
@@ -47,11 +49,13 @@ def feeds_of(spark, late):
 
 
 def rows(df):
-    return [tuple(r) for r in df.collect()]
+    """Answers are read back from files, in no order."""
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
 def test_two_runs_extend_the_history(spark, tmp_path):
     write_timetable(tmp_path / "gtfs")
+    runs = []
     for stamp, late in (("20250912_100000", 120), ("20250912_150000", 600)):
         results = run_daily(
             spark,
@@ -63,15 +67,19 @@ def test_two_runs_extend_the_history(spark, tmp_path):
             as_of="2025-09-13 12:00:00",
             watched_stops=("s2",),
         )
+        runs.append(results)
+    # The answers of the first run are still there, and still its own.
+    assert rows(runs[0]["avg_delay_by_route"]) == [("r1", 1.0)]
+    assert rows(runs[0]["punctuality_rate"]) == [(2, 2, 100.0)]
     assert rows(results["avg_delay_by_route"]) == [("r1", 5.0)]
     assert rows(results["punctuality_rate"]) == [(2, 1, 50.0)]
     assert rows(results["position_bus_vehicles"]) == [
         ("A", "r1", 43.5, 7.0, at(10), 0.0),
         ("A", "r1", 43.5, 7.0, at(10), 10.0),
     ]
-    assert [(r.stop_id, r.avg_delay_min) for r in results["avg_delay_by_stop"].collect()] == [
-        ("s2", 10.0),
+    assert rows(results["avg_delay_by_stop"].select("stop_id", "avg_delay_min")) == [
         ("s1", 0.0),
+        ("s2", 10.0),
         ("s3", None),
     ]
     # The first minute is in both runs, the last stop arrives eight minutes later in the second.
@@ -91,3 +99,29 @@ def test_two_runs_extend_the_history(spark, tmp_path):
     assert geometry == ["POINT (7 43.5)", "POINT (7.25 43.6)", "POINT (7.5 43.7)"]
     written = sorted(p.name for p in (tmp_path / "exports" / "avg_delay_by_route").iterdir())
     assert written == ["stamp=20250912_100000", "stamp=20250912_150000"]
+
+
+def test_archives_and_earlier_files(spark, tmp_path):
+    """The same run from a zip, with history that another tool has written."""
+    write_timetable(tmp_path / "gtfs")
+    with zipfile.ZipFile(tmp_path / "gtfs.zip", "w") as archive:
+        for file in (tmp_path / "gtfs").iterdir():
+            archive.write(file, file.name)
+    (tmp_path / "avg_delay_by_minute_20250911_100000.csv").write_text(
+        "minute_ts,avg_delay_min\n2025-09-12 10:00:00,3.333\n,1.0\n"
+    )
+    results = run_daily(
+        spark,
+        str(tmp_path / "*.zip"),
+        *feeds_of(spark, 120),
+        str(tmp_path / "warehouse"),
+        str(tmp_path / "exports"),
+        stamp="20250912_100000",
+        as_of="2025-09-13 12:00:00",
+        earlier={BY_MINUTE: [f"{tmp_path}/avg_delay_by_minute_*.csv"]},
+    )
+    assert rows(results["avg_delay_heatmap_Q5"]) == [
+        ("2025-09-12", "10", 1.67, 2),
+        ("2025-09-13", "03", 2.0, 1),
+    ]
+    assert rows(results["trips_plus_routes"])[0] == ("A", "r1", "North", "1", "Line 1")

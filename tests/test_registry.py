@@ -4,8 +4,10 @@ from pathlib import Path
 import pytest
 
 import bench
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.check import connect, differences
+from tramline.plans.oracles import oracle_sql
+from tramline.plans.registry import queries
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -136,32 +136,69 @@ def zipped(tables):
 
 def test_archives(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(
-        zipped({"gtfs/stops.txt": '﻿stop_id,stop_name\n1,"x, y"\n2\n', "readme.md": "no"})
+        zipped({"gtfs/stops.txt": '\ufeffstop_id,stop_name\n1,"x, y"\n\n2\nNA,"a ""b"""\n', "readme.md": "no"})
     )
     (tmp_path / "b.zip").write_bytes(
         zipped({"stops.txt": "stop_name,stop_id\nz,3\n", "empty.txt": ""})
     )
-    lines = archives.expand_archives(archives.read_archives(spark, f"{tmp_path}/*.zip"))
-    found = archives.archive_table(lines, "stops", ["stop_id", "stop_name", "stop_lat"])
-    assert sorted(rows(found.drop("archive")), key=str) == [
-        ("1", "x, y", None),
-        ("2", None, None),
-        ("3", "z", None),
+    found = archives.load_archives(spark, f"{tmp_path}/*.zip")
+    assert list(found) == ["stops"]
+    assert sorted(rows(found["stops"].select("stop_id", "stop_name")), key=str) == [
+        ("1", "x, y"),
+        ("2", None),
+        ("3", "z"),
+        (None, 'a "b"'),
     ]
+    lines = archives.expand_archives(archives.read_archives(spark, f"{tmp_path}/b.zip"), ["stops"])
+    picked = archives.archive_table(lines, "stops", ["stop_name,stop_id"], ["stop_id", "stop_lat"])
+    assert rows(picked.drop("archive")) == [("3", None)]
+
+
+def test_an_archive_loads_as_its_files_do(spark, tmp_path):
+    text = STOP_TIMES + 'C,"q""x",1,NA,7:00:00,,\n\n'
+    (tmp_path / "gtfs").mkdir()
+    (tmp_path / "gtfs" / "stop_times.txt").write_text(text)
+    shapes = "shape_id,note\n1," + "x" * 200_000 + "\n"
+    (tmp_path / "g.zip").write_bytes(zipped({"stop_times.txt": text, "shapes.txt": shapes}))
+    files = timetable.load_timetable(spark, str(tmp_path / "gtfs"))["stop_times"]
+    tables = archives.load_archives(spark, f"{tmp_path}/*.zip")
+    assert tables["stop_times"].columns == files.columns
+    assert sorted(rows(tables["stop_times"]), key=str) == sorted(rows(files), key=str)
+    assert len(tables["shapes"].first().note) == 200_000
 
 
 def test_many_archive_lines_leave_in_batches(spark):
     text = "n\n" + "".join(f"{i}\n" for i in range(25_001))
     packed = spark.createDataFrame(
-        [("a.zip", bytearray(zipped({"t.txt": text})))], "path string, content binary"
+        [("a.zip", bytearray(zipped({"t.txt": text, "other.txt": "n\n1\n"})))],
+        "path string, content binary",
     )
-    table = archives.archive_table(archives.expand_archives(packed), "t", ["n"])
+    table = archives.archive_table(archives.expand_archives(packed, ["t"]), "t", ["n"])
     assert table.agg(F.count("n"), F.sum(F.col("n").cast("int"))).collect()[0] == (
         25_001,
         25_000 * 25_001 // 2,
     )
 
 
+def test_feed_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "u.csv").write_text(
+        "route_id,trip_id,stop_sequence,stop_id,departure_time,arrival_time\n"
+        '"R ""x"", y",A,1.0,s1,NaN,1757664000.0\n'
+    )
+    (row,) = feeds.read_trip_updates_csv(spark, str(tmp_path / "u.csv")).collect()
+    assert (row.trip_id, row.route_id, row.direction_id) == ("A", 'R "x", y', None)
+    assert (row.stop_sequence, row.arrival_time, row.departure_time) == (1, 1757664000, None)
+    (tmp_path / "v.csv").write_text("trip_id,stop_id,arrival_time\nA,s1,1\n")
+    with pytest.raises(ValueError, match="stop_sequence"):
+        feeds.read_trip_updates_csv(spark, str(tmp_path / "v.csv"))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "stops.txt").write_text('stop_id,stop_name\n1,"two\nlines"\n')
+    table = timetable.load_timetable(spark, str(tmp_path), multiline=True)["stops"]
+    assert rows(table) == [("1", "two\nlines")]
+
+
 def test_snapshots_with_drifting_headers(spark, tmp_path):
     (tmp_path / "avg_delay_by_stop_20250912_100000.csv").write_text(
         "stop_id,stop_name,stop_lat,stop_lon,avg_delay_min\n1,A,43.5,7.25,1.5\n"
@@ -236,9 +273,6 @@ def test_catalog(spark):
     assert rows(catalog.describe(spark, "numbers")) == [("n", "int"), ("s", "string")]
     assert catalog.preview(df).count() == 10
     assert rows(catalog.row_count(df)) == [(20,)]
-    assert len(catalog.to_local(df)) == 20
-    with pytest.raises(ValueError):
-        catalog.to_local(df, max_rows=19)
     assert catalog.drop_view(spark, "numbers")
     assert not catalog.drop_view(spark, "numbers")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +43,3 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
-
-def to_local(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
-    """Small result as a local pandas frame; a larger one is refused, not cut."""
-    rows = df.limit(max_rows + 1).toPandas()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write the result instead")
-    return rows

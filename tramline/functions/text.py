@@ -17,8 +17,11 @@ MISSING_MARKS = (
 
 
 def snapshot_time(path: Column) -> Column:
-    """Time in the first stamp of a file path, NULL where there is none."""
-    found = F.regexp_extract(path, STAMP_PATTERN, 1)
+    """Time in the last file or folder name of a path that holds a stamp, else NULL.
+
+    Of several stamps in one name the first counts.
+    """
+    found = F.regexp_extract(path, f"{STAMP_PATTERN}[^/]*(?:/(?![^/]*{STAMP_PATTERN})[^/]*)*$", 1)
     return F.try_to_timestamp(found, F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
 
 

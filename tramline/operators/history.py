@@ -30,19 +30,20 @@ def delay_heatmap(
     """Mean of the minute averages, and how many there are, per day and hour.
 
     `minutes` is the average per minute or a history of it.  Every row weighs the
-    same, and a minute that several snapshots hold counts once for each.  The
-    averages carry two decimals, so their sum is taken exactly, in hundredths.
+    same, as snapshots carry no counts, and a minute that several snapshots hold
+    counts once for each.  The stored averages are summed as decimals, so the order
+    of rows does not matter, and only the mean is rounded.
     Day and hour are written out once per hour, not once per minute.
     """
     micros = F.unix_micros(F.col("minute_ts").cast("timestamp"))
     hour = F.timestamp_micros("hour_us").cast("timestamp_ntz")
-    hundredths = F.round(F.col("avg_delay_min") * 100.0, 0).cast("bigint")
+    average = F.col("avg_delay_min").cast("decimal(38,18)")
     rows = minutes if include_future else past_minutes(minutes, as_of)
     return (
         rows.filter(F.col("minute_ts").isNotNull())
         .groupBy(start_of(micros, MICROS_PER_HOUR).alias("hour_us"))
         .agg(
-            F.sum(hundredths).alias("total"),
+            F.sum(average).alias("total"),
             F.count("avg_delay_min").alias("n"),
             F.count(F.lit(1)).alias("nb_events"),
         )
@@ -50,7 +51,7 @@ def delay_heatmap(
             F.date_format(hour, "yyyy-MM-dd").alias("jour_date"),
             F.date_format(hour, "HH").alias("heure"),
             round2(
-                F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")) / 100.0
+                F.try_divide(F.col("total").cast("double"), F.col("n").cast("double"))
             ).alias("avg_delay_min"),
             "nb_events",
         )

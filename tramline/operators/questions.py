@@ -36,24 +36,34 @@ def _descending(*ties: str) -> list[Column]:
     return [F.desc_nulls_last("avg_delay_min"), *(F.asc_nulls_last(c) for c in ties)]
 
 
-def minute_averages(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean delay per Paris minute of arrival, unsorted, apart for each value of `by`.
+def minute_totals(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums of the delays per UTC minute of arrival; they add up exactly in any order."""
+    minute = start_of(F.unix_micros("arrival_dt_utc"), MICROS_PER_MINUTE)
+    return delays.groupBy(*by, minute.alias("utc_minute")).agg(*delay_totals(delay_micros()))
 
-    Paris is whole minutes from UTC, so events collapse to UTC minutes by plain
-    arithmetic first, and only one row per minute goes through the time zone.  The
-    second step joins the two UTC minutes behind a repeated autumn minute.
+
+def averages_of_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mean delay per Paris minute from totals of UTC minutes, which may come in parts.
+
+    Two UTC minutes are behind a repeated autumn minute.
     """
-    minute = start_of(F.unix_micros("arrival_dt_utc"), MICROS_PER_MINUTE)
     return (
-        delays.groupBy(*by, minute.alias("utc_minute"))
-        .agg(*delay_totals(delay_micros()))
-        .withColumn("minute_ts", paris_wall_clock(F.timestamp_micros("utc_minute")))
+        totals.withColumn("minute_ts", paris_wall_clock(F.timestamp_micros("utc_minute")))
         .groupBy(*by, "minute_ts")
         .agg(*combine_totals())
         .select(*by, "minute_ts", _average())
     )
 
 
+def minute_averages(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mean delay per Paris minute of arrival, unsorted, apart for each value of `by`.
+
+    Paris is whole minutes from UTC, so events collapse to UTC minutes by plain
+    arithmetic first, and only one row per minute goes through the time zone.
+    """
+    return averages_of_totals(minute_totals(delays, by), by)
+
+
 def average_delay_by_minute(delays: DataFrame) -> DataFrame:
     """Mean delay per Paris minute of arrival; events without arrival form a NULL minute."""
     return minute_averages(delays).orderBy(F.asc_nulls_last("minute_ts"))

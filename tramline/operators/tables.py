@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.functions.text import wkt_point
 
@@ -27,7 +28,15 @@ def stops_with_geometry(stops: DataFrame) -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """(column, nulls) for every column, in one pass."""
+    """(column, nulls) for every column, in one pass; NaN counts as missing."""
+
+    def missing(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        fractional = isinstance(field.dataType, T.FractionalType) and not isinstance(
+            field.dataType, T.DecimalType
+        )
+        return value.isNull() | F.isnan(value) if fractional else value.isNull()
+
     # An aggregate over no rows still gives a row, so the counts are never NULL.
-    counts = df.agg(*(F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns))
+    counts = df.agg(*(F.count_if(missing(f)).alias(f.name) for f in df.schema))
     return counts.unpivot([], df.columns, "column", "nulls")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tramline.functions.clock import stamp as run_stamp
 from tramline.operators import history, questions, tables
 from tramline.operators.delay import trip_relative_delays
 from tramline.sinks import export
+from tramline.sources.archives import load_archives
 from tramline.sources.feeds import with_update_times, with_vehicle_time
 from tramline.sources.snapshots import read_snapshots
 from tramline.sources.timetable import TYPED_TABLES, load_timetable
@@ -23,22 +25,36 @@ BY_STOP = "avg_delay_by_stop"
 
 @dataclass(frozen=True)
 class DailyRun:
-    """Where a run writes, and its label."""
+    """Where a run writes, and its label.
+
+    Every run has a warehouse folder of its own: tables of an earlier run neither stay
+    behind nor change under those who read them.
+    """
 
     warehouse: str
     export_dir: str
     stamp: str
 
+    @property
+    def tables(self) -> str:
+        return f"{self.warehouse}/run={self.stamp}"
+
 
 def load_warehouse(
     spark: SparkSession,
-    timetable_dir: str,
+    timetable: str,
     trip_updates: DataFrame,
     vehicle_positions: DataFrame,
     warehouse: str,
 ) -> dict[str, DataFrame]:
-    """Replace every warehouse table: the timetable, both feeds and the delays."""
-    sources = load_timetable(spark, timetable_dir, TYPED_TABLES)
+    """Write the tables of one run: the timetable, both feeds and the delays.
+
+    `timetable` is a folder of unpacked text tables, or a glob that ends with .zip.
+    """
+    if timetable.endswith(".zip"):
+        sources = load_archives(spark, timetable, TYPED_TABLES)
+    else:
+        sources = load_timetable(spark, timetable, TYPED_TABLES)
     sources["trips_updates"] = with_update_times(trip_updates)
     sources["vehicle_positions"] = with_vehicle_time(vehicle_positions)
     loaded = {
@@ -55,21 +71,25 @@ def answer_questions(
     run: DailyRun,
     as_of: dt.datetime | str | None = None,
     watched_stops: tuple[str, ...] | None = history.WATCHED_STOPS,
+    earlier: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write each question as a stamped CSV snapshot and return the results.
+    """Write each question as a stamped CSV snapshot and return the results as written.
 
     The minute and stop averages come first: the heatmap and the evolution read
-    the history those two have just extended.
+    the history those two have just extended, and the files that the globs in
+    `earlier` name for either of them.  Each question is computed once; what is returned
+    reads the files just written, in no order.
     """
     delays = warehouse["delays"]
 
     def save(name: str, result: DataFrame) -> DataFrame:
         export.write_snapshot(result, run.export_dir, name, run.stamp)
-        return result
+        written = export.snapshot_glob(run.export_dir, name, run.stamp)
+        return export.read_export(spark, written, result.schema)
 
     def past(name: str, schema: T.StructType, same_header: bool) -> DataFrame:
-        pattern = export.snapshot_glob(run.export_dir, name)
-        return read_snapshots(spark, pattern, schema, same_header)
+        globs = [export.snapshot_glob(run.export_dir, name), *(earlier or {}).get(name, ())]
+        return read_snapshots(spark, globs, schema, same_header and len(globs) == 1)
 
     trips, stops = warehouse["trips"], warehouse["stops"]
     vehicles = warehouse["vehicle_positions"]
@@ -102,7 +122,7 @@ def answer_questions(
 
 def run_daily(
     spark: SparkSession,
-    timetable_dir: str,
+    timetable: str,
     trip_updates: DataFrame,
     vehicle_positions: DataFrame,
     warehouse_dir: str,
@@ -110,8 +130,14 @@ def run_daily(
     stamp: str | None = None,
     as_of: dt.datetime | str | None = None,
     watched_stops: tuple[str, ...] | None = history.WATCHED_STOPS,
+    earlier: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Load and answer.  Give `stamp` and `as_of` to repeat an earlier run."""
-    run = DailyRun(warehouse_dir, export_dir, stamp or run_stamp())
-    loaded = load_warehouse(spark, timetable_dir, trip_updates, vehicle_positions, run.warehouse)
-    return answer_questions(spark, loaded, run, as_of, watched_stops)
+    """Load and answer.  Give `stamp` and `as_of` to repeat an earlier run.
+
+    "Now" is taken once, for the label and for the heatmap.  `earlier` names snapshot
+    files from elsewhere by question, such as `{BY_MINUTE: ["old/avg_delay_by_minute_*.csv"]}`.
+    """
+    now = dt.datetime.now(dt.timezone.utc)
+    run = DailyRun(warehouse_dir, export_dir, stamp or run_stamp(now))
+    loaded = load_warehouse(spark, timetable, trip_updates, vehicle_positions, run.tables)
+    return answer_questions(spark, loaded, run, as_of or now, watched_stops, earlier)

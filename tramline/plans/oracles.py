@@ -1,14 +1,14 @@
 """Plain SQL for each registered query, over the same test tables.
 
-Written apart from the DataFrame code: the first observed stop is found with an
-ordered window instead of a join, timetable seconds come from the line number
-instead of the time text, and snapshots are recomputed instead of read back.
+Written apart from the DataFrame code: the first observed stop is found with a
+subquery instead of a join, timetable seconds come from the line number instead of
+the time text, and snapshots are recomputed instead of read back.
 """
 
 from __future__ import annotations
 
 from tramline.plans.registry import AS_OF, REPORT_DAY, WATCHED
-from tramline.plans.roles import FIRST_YEAR, STAMPS
+from tramline.plans.roles import STAMPS
 
 _VISITS = """
 visits AS (
@@ -23,9 +23,10 @@ _SEEN = (
     + """,
 seen AS (
   SELECT v.*, o.o_custkey AS route_id, CAST(o.o_orderkey % 2 AS INTEGER) AS direction_id,
-         CAST(EPOCH(o.o_orderdate) AS BIGINT) + v.sec + v.part % 1800 - 600 AS at_sec,
+         CAST(EPOCH(DATE_TRUNC('week', o.o_orderdate)) AS BIGINT) + v.sec + v.part % 1800 - 600 AS at_sec,
          v.part % 17 <> 0 AS has_arrival, v.part % 13 <> 0 AS has_departure
   FROM visits v JOIN orders o ON o.o_orderkey = v.trip_id
+  CROSS JOIN (VALUES (1), (2)) c(copy) WHERE copy = 1 OR v.part % 37 = 0
 ),
 feed AS (
   SELECT trip_id, route_id, direction_id, stop_id, stop_sequence, sec,
@@ -35,18 +36,30 @@ feed AS (
 )"""
 )
 
-# Every feed row has a timetable row, so the plan can be taken from the same row.
+_TIMES = """
+timetable AS (
+  SELECT trip_id, stop_sequence, stop_id, CASE WHEN COALESCE(part, 1) % 29 <> 0 THEN sec END AS sec
+  FROM visits CROSS JOIN (VALUES (1), (2)) c(copy)
+  WHERE COALESCE(part, 1) % 23 <> 0 AND (copy = 1 OR part % 31 = 0)
+)"""
+
 _RELATIVE = (
     _SEEN
-    + """,
-anchored AS (
-  SELECT *, FIRST_VALUE(arrival_time) OVER w - FIRST_VALUE(sec) OVER w AS origin
-  FROM feed WINDOW w AS (PARTITION BY trip_id ORDER BY stop_sequence)
+    + f""",
+{_TIMES.strip()},
+scheduled AS (
+  SELECT f.trip_id, f.stop_sequence, t.stop_id, f.arrival_time AS arr, t.sec
+  FROM feed f JOIN timetable t ON t.trip_id = f.trip_id AND t.stop_sequence = f.stop_sequence
+  WHERE t.sec IS NOT NULL
+),
+origins AS (
+  SELECT trip_id, arr - sec AS origin FROM scheduled s
+  WHERE arr IS NOT NULL
+    AND stop_sequence = (SELECT MIN(stop_sequence) FROM feed f WHERE f.trip_id = s.trip_id)
 ),
 events_sec AS (
-  SELECT trip_id, stop_sequence, stop_id, arrival_time AS arr, origin + sec AS plan,
-         arrival_time - origin - sec AS late
-  FROM anchored WHERE origin IS NOT NULL
+  SELECT trip_id, stop_sequence, stop_id, arr, origin + sec AS plan, arr - origin - sec AS late
+  FROM scheduled JOIN origins USING (trip_id)
 )"""
 )
 
@@ -58,10 +71,12 @@ def _to_paris(seconds: str) -> str:
 _SERVICE_DAY = (
     _SEEN
     + f""",
+{_TIMES.strip()},
 placed AS (
-  SELECT trip_id, stop_sequence, stop_id, sec, arrival_time AS arr,
-         CAST({_to_paris("arrival_time")} AS DATE) AS local_day
-  FROM feed WHERE arrival_time IS NOT NULL
+  SELECT f.trip_id, f.stop_sequence, t.stop_id, t.sec, f.arrival_time AS arr,
+         CAST({_to_paris("f.arrival_time")} AS DATE) AS local_day
+  FROM feed f JOIN timetable t ON t.trip_id = f.trip_id AND t.stop_sequence = f.stop_sequence
+  WHERE f.arrival_time IS NOT NULL AND t.sec IS NOT NULL
 ),
 planned AS (
   SELECT *, CAST(EPOCH(((CAST(local_day AS TIMESTAMP) + to_seconds(sec)) AT TIME ZONE 'Europe/Paris')
@@ -78,7 +93,7 @@ positions AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events
 ),
 vehicles AS (
-  SELECT user_id AS trip_id, event_type AS route_id, value AS latitude, k AS longitude, event_id,
+  SELECT user_id AS trip_id, concat_ws('-', event_type, CAST(user_id % 7 AS VARCHAR)) AS route_id, value AS latitude, k AS longitude, event_id,
          CASE WHEN k <> 0 THEN CAST(FLOOR(EPOCH_US(ts) / 1000000) AS BIGINT) END AS at_sec
   FROM positions
 )"""
@@ -91,6 +106,19 @@ places AS (
   UNION ALL SELECT -1, 'Unused', 43.5, 7.25
 )"""
 
+_TRIPS = """
+trips AS (
+  SELECT o_orderkey AS trip_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS route_id
+  FROM orders WHERE o_orderkey % 13 <> 0
+)"""
+
+_ROUTES = """
+routes AS (
+  SELECT c_custkey AS route_id, c_mktsegment AS route_short_name, c_name AS route_long_name
+  FROM customer
+  UNION ALL SELECT NULL, 'none', 'No route'
+)"""
+
 _MEAN = "CAST(SUM(late) AS DOUBLE) / COUNT(late) / 60.0"
 _AVG = f"ROUND({_MEAN}, 2) AS avg_delay_min"
 _MINUTE = f"DATE_TRUNC('minute', {_to_paris('arr')})"
@@ -98,15 +126,16 @@ _EVENT = """trip_id, stop_sequence, stop_id, make_timestamp(arr * 1000000) AS ar
        make_timestamp(plan * 1000000) AS scheduled_ts_utc, late / 60.0 AS delay_min"""
 _ON_DAY = f"CAST(make_timestamp(arr * 1000000) AS DATE) = DATE '{REPORT_DAY}'"
 
+# A run sees the trips whose number leaves its place, or the one before, as remainder.
 _RUNS = ", ".join(
-    f"({FIRST_YEAR + i}, '{s}'), ({FIRST_YEAR + i + 1}, '{s}')" for i, s in enumerate(STAMPS)
+    f"({i}, '{s}'), ({(i + len(STAMPS) - 1) % len(STAMPS)}, '{s}')" for i, s in enumerate(STAMPS)
 )
 _RUN_EVENTS = (
     _RELATIVE
     + f""",
 runs(covered, stamp) AS (VALUES {_RUNS}),
 run_events AS (
-  SELECT r.stamp, e.* FROM events_sec e JOIN runs r ON r.covered = YEAR(make_timestamp(arr * 1000000))
+  SELECT r.stamp, e.* FROM events_sec e JOIN runs r ON r.covered = e.trip_id % {len(STAMPS)}
 )"""
 )
 _RUN_MINUTES = (
@@ -132,8 +161,8 @@ stop_runs AS (
 _SELECTED = "(stamp LIKE '2025091%' AND stamp >= '20250912' OR stamp LIKE '20250922%')"
 
 _HEATMAP = """SELECT strftime(minute_ts, '%Y-%m-%d') AS jour_date, strftime(minute_ts, '%H') AS heure,
-  ROUND(CAST(SUM(CAST(ROUND(avg_delay_min * 100) AS BIGINT)) AS DOUBLE) / COUNT(avg_delay_min) / 100.0, 2)
-    AS avg_delay_min,
+  ROUND(CAST(SUM(CAST(CAST(avg_delay_min AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE)
+    / COUNT(avg_delay_min), 2) AS avg_delay_min,
   COUNT(*) AS nb_events
 FROM minutes WHERE minute_ts IS NOT NULL AND {rows} GROUP BY 1, 2"""
 
@@ -141,6 +170,9 @@ _BEFORE_AS_OF = (
     f"minute_ts <= (TIMESTAMP '{AS_OF}' AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris'"
 )
 
+# Time of the first label, which the daily run carries.
+_LABEL_TIME = f"{STAMPS[0][:4]}-{STAMPS[0][4:6]}-{STAMPS[0][6:8]} {STAMPS[0][9:11]}:00:00"
+
 _POSITIONS = f"""SELECT v.trip_id, v.route_id, v.latitude, v.longitude,
   {_to_paris("v.at_sec")} AS timestamp_paris, ROUND(e.late / 60.0, 2) AS delay_min
 FROM vehicles v LEFT JOIN events_sec e ON e.trip_id = v.trip_id"""
@@ -155,9 +187,11 @@ _HMS = r"\s*([+-]?[0-9]+)\s*:\s*([+-]?[0-9]+)\s*:\s*([+-]?[0-9]+)\s*"
 def _timetable(columns: str) -> str:
     clock = "printf('%02d:%02d:%02d', ({s}) // 3600, ({s}) // 60 % 60, ({s}) % 60)"
     return f"""WITH {_VISITS},
+{_TIMES.strip()},
 times AS (
-  SELECT *, {clock.format(s="sec")} AS arrival_time, {clock.format(s="sec + 30")} AS departure_time
-  FROM visits
+  SELECT *, CASE WHEN sec IS NOT NULL THEN {clock.format(s="sec")} END AS arrival_time,
+    CASE WHEN sec IS NOT NULL THEN {clock.format(s="sec + 30")} END AS departure_time
+  FROM timetable
 ) SELECT {columns} FROM times"""
 
 
@@ -219,13 +253,12 @@ WITH {_RELATIVE}, {_STOPS} {_STOP_AVERAGE.format(events="events_sec")}""",
 WITH {_SERVICE_DAY}, {_STOPS}, today AS (SELECT * FROM events_sec WHERE {_ON_DAY})
 {_STOP_AVERAGE.format(events="today")}""",
         "avg_delay_by_route": f"""
-WITH {_RELATIVE}
-SELECT o.o_custkey AS route_id, {_AVG}
-FROM events_sec e JOIN orders o ON o.o_orderkey = e.trip_id GROUP BY 1""",
+WITH {_RELATIVE}, {_TRIPS}
+SELECT t.route_id, {_AVG} FROM events_sec e JOIN trips t ON t.trip_id = e.trip_id GROUP BY 1""",
         "route_delay_with_counts": f"""
-WITH {_RELATIVE}
-SELECT o.o_custkey AS route_id, {_AVG}, COUNT(*) AS num_events
-FROM events_sec e LEFT JOIN orders o ON o.o_orderkey = e.trip_id GROUP BY 1""",
+WITH {_RELATIVE}, {_TRIPS}
+SELECT t.route_id, {_AVG}, COUNT(*) AS num_events
+FROM events_sec e LEFT JOIN trips t ON t.trip_id = e.trip_id GROUP BY 1""",
         "vehicle_route_delay_top20": f"""
 WITH {_RELATIVE}, {_VEHICLES}
 SELECT v.route_id, {_AVG}, COUNT(*) AS num_events
@@ -272,13 +305,13 @@ ORDER BY avg_delay_min DESC NULLS LAST, p.stop_id LIMIT 700""",
 WITH {_SERVICE_DAY}, {_STOPS}, today AS (SELECT * FROM events_sec WHERE {_ON_DAY})
 {_STOP_AVERAGE.format(events="today")}
 ORDER BY avg_delay_min DESC NULLS LAST, p.stop_id LIMIT 10""",
-        "trips_plus_routes": """
-SELECT o.o_orderkey AS trip_id, o.o_custkey AS route_id, c.c_mktsegment AS route_short_name,
-  c.c_name AS route_long_name
-FROM orders o LEFT JOIN customer c ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
-        "trips_with_known_route": """
-SELECT o.o_orderkey AS trip_id, o.o_custkey AS route_id
-FROM orders o LEFT JOIN customer c ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
+        "trips_plus_routes": f"""
+WITH {_TRIPS}, {_ROUTES}
+SELECT t.*, r.route_short_name, r.route_long_name
+FROM trips t LEFT JOIN routes r ON r.route_id IS NOT DISTINCT FROM t.route_id""",
+        "trips_merged_on_route": f"""
+WITH {_TRIPS}, {_ROUTES}
+SELECT t.* FROM trips t LEFT JOIN routes r ON r.route_id IS NOT DISTINCT FROM t.route_id""",
         "table_row_count": f"WITH {_SEEN} SELECT COUNT(*) AS n_rows FROM feed",
         "stops_with_geometry": f"""
 WITH {_STOPS}
@@ -311,14 +344,21 @@ UNION ALL SELECT 'departure_dt', n - departure_time FROM counted""",
 WITH {_STOPS} SELECT CAST(stop_id AS VARCHAR) AS stop_id, stop_name, stop_lat, stop_lon FROM places""",
         "flat_feed_load": f"""
 WITH {_SEEN}
-SELECT CAST(trip_id AS VARCHAR) AS trip_id, CAST(route_id AS VARCHAR) AS route_id,
-  CAST(stop_id AS VARCHAR) AS stop_id, stop_sequence,
+SELECT CAST(trip_id AS VARCHAR) AS trip_id, CAST(route_id AS VARCHAR) AS route_id, direction_id,
+  CAST(stop_id AS VARCHAR) AS stop_id, stop_sequence, arrival_time, departure_time,
   make_timestamp(arrival_time * 1000000) AS arrival_dt,
   make_timestamp(departure_time * 1000000) AS departure_dt
 FROM feed""",
+        "flat_vehicle_load": f"""
+WITH {_VEHICLES}
+SELECT CAST(trip_id AS VARCHAR) AS trip_id, route_id, CAST(NULL AS VARCHAR) AS stop_id, latitude,
+  longitude, CAST(NULL AS DOUBLE) AS bearing, CAST(NULL AS DOUBLE) AS speed, at_sec AS "timestamp",
+  CAST(event_id AS VARCHAR) AS vehicle_id, make_timestamp(at_sec * 1000000) AS timestamp_dt
+FROM vehicles""",
         "expand_archives": _timetable(
-            "CAST(trip_id AS VARCHAR) AS trip_id, CAST(stop_sequence AS VARCHAR) AS stop_sequence,"
-            " CAST(stop_id AS VARCHAR) AS stop_id, arrival_time, departure_time"
+            "CAST(trip_id AS VARCHAR) AS trip_id, arrival_time, departure_time,"
+            " CAST(stop_id AS VARCHAR) AS stop_id, stop_sequence, sec AS arrival_time_sec,"
+            " sec + 30 AS departure_time_sec"
         ),
         "flatten_trip_updates": f"""
 WITH {_SEEN}
@@ -329,7 +369,7 @@ UNION ALL
 SELECT CAST(trip_id AS VARCHAR), CAST(route_id AS VARCHAR), direction_id, NULL, 0, NULL, NULL FROM feed""",
         "flatten_vehicle_positions": f"""
 WITH {_VEHICLES}
-SELECT CAST(trip_id AS VARCHAR) AS trip_id, NULLIF(route_id, 'signup') AS route_id,
+SELECT CAST(trip_id AS VARCHAR) AS trip_id, NULLIF(route_id, 'signup-3') AS route_id,
   CAST(NULL AS VARCHAR) AS stop_id, CAST(CAST(latitude AS FLOAT) AS DOUBLE) AS latitude,
   CAST(CAST(longitude AS FLOAT) AS DOUBLE) AS longitude, CAST(NULL AS DOUBLE) AS bearing,
   CAST(0.5 AS DOUBLE) AS speed, at_sec AS "timestamp", CAST(event_id AS VARCHAR) AS vehicle_id,
@@ -353,25 +393,28 @@ WITH {_RUN_STOPS}
 SELECT stop_id, stop_name, MIN(avg_delay_min) AS min_delay, MAX(avg_delay_min) AS max_delay
 FROM stop_runs WHERE avg_delay_min IS NOT NULL GROUP BY stop_id, stop_name""",
         "daily_run": f"""
-WITH {_RELATIVE}, {_VEHICLES}, {_STOPS},
-minutes AS (SELECT DISTINCT {_MINUTE} AS minute_ts FROM events_sec)
-SELECT 'avg_delay_by_minute' AS question, COUNT(*) AS n_rows FROM minutes
-UNION ALL SELECT 'avg_delay_by_stop', COUNT(*) FROM places
-UNION ALL SELECT 'position_bus_vehicles', COUNT(*)
-  FROM vehicles v LEFT JOIN events_sec e ON e.trip_id = v.trip_id
-UNION ALL SELECT 'avg_delay_by_route', COUNT(*)
-  FROM (SELECT DISTINCT o_custkey FROM orders JOIN events_sec ON o_orderkey = trip_id) routes
-UNION ALL SELECT 'punctuality_rate', 1
-UNION ALL SELECT 'avg_delay_heatmap_Q5', COUNT(DISTINCT strftime(minute_ts, '%Y-%m-%d %H'))
-  FROM minutes WHERE {_BEFORE_AS_OF}
-UNION ALL SELECT 'evolution_delay_by_stop_Q7', COUNT(*) FROM places
-  WHERE CAST(stop_id AS VARCHAR) IN {WATCHED}
-UNION ALL SELECT 'trips_plus_routes', COUNT(*) FROM orders
-UNION ALL SELECT 'stops_with_geom', COUNT(*) FROM places""",
+WITH {_RELATIVE}, {_VEHICLES}, {_STOPS}, {_TRIPS}, {_ROUTES},
+minutes AS (SELECT {_MINUTE} AS minute_ts, {_AVG} FROM events_sec GROUP BY 1),
+by_stop AS ({_STOP_AVERAGE.format(events="events_sec")})
+SELECT 'avg_delay_by_minute' AS question,
+  strftime(minute_ts, '%Y-%m-%d %H:%M:%S') AS item, avg_delay_min AS value FROM minutes
+UNION ALL SELECT 'avg_delay_by_stop', CAST(stop_id AS VARCHAR), avg_delay_min FROM by_stop
+UNION ALL SELECT 'position_bus_vehicles', concat_ws('|', trip_id,
+  NULLIF(route_id, 'signup-3'), strftime(timestamp_paris, '%Y-%m-%d %H:%M:%S')), delay_min FROM ({_POSITIONS})
+UNION ALL SELECT 'avg_delay_by_route', CAST(t.route_id AS VARCHAR), {_AVG}
+  FROM events_sec e JOIN trips t ON t.trip_id = e.trip_id GROUP BY t.route_id
+UNION ALL SELECT 'punctuality_rate', CAST(COUNT(*) AS VARCHAR),
+  ROUND(100.0 * SUM(CASE WHEN late <= 300 THEN 1 ELSE 0 END)::DOUBLE / COUNT(*)::DOUBLE, 2)
+  FROM events_sec
+UNION ALL SELECT 'avg_delay_heatmap_Q5', concat_ws('|', jour_date, heure, nb_events), avg_delay_min
+  FROM ({_HEATMAP.format(rows=_BEFORE_AS_OF)})
+UNION ALL SELECT 'evolution_delay_by_stop_Q7', concat_ws('|', CAST(stop_id AS VARCHAR),
+  '{_LABEL_TIME}'), avg_delay_min FROM by_stop WHERE CAST(stop_id AS VARCHAR) IN {WATCHED}
+UNION ALL SELECT 'trips_plus_routes', concat_ws('|', t.trip_id, t.route_id, r.route_short_name,
+  r.route_long_name), NULL
+  FROM trips t LEFT JOIN routes r ON r.route_id IS NOT DISTINCT FROM t.route_id
+UNION ALL SELECT 'stops_with_geom', CAST(stop_id AS VARCHAR), stop_lat FROM places""",
         "stream_avg_delay_by_minute": f"""
-WITH {_RELATIVE}, newest AS (SELECT MAX(arr) AS last_arr FROM events_sec)
-SELECT {_to_paris("arr // 60 * 60")} AS minute_ts, {_AVG}
-FROM events_sec, newest WHERE arr // 60 * 60 + 60 <= last_arr - 3600
-GROUP BY arr // 60 * 60""",
+WITH {_RELATIVE} SELECT {_MINUTE} AS minute_ts, {_AVG} FROM events_sec GROUP BY 1""",
         "stream_stop_snapshots": f"WITH {_RUN_STOPS} SELECT * FROM stop_runs",
     }

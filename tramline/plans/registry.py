@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +16,14 @@ from tramline.plans import daily
 from tramline.plans.roles import STAMPS, Roles, pack_archives, update_messages, vehicle_messages
 from tramline.sinks import export
 from tramline.sources import archives, feeds, snapshots, timetable
-from tramline.streaming.minutes import stream_delay_by_minute
+from tramline.streaming.minutes import append_minute_totals, streamed_delay_by_minute
 from tramline.streaming.snapshots import append_history, stream_snapshots
 
 # Parameters of the registered reports.
-REPORT_DAY = "1998-07-05"
+REPORT_DAY = "1998-07-07"
 AS_OF = "2000-01-01 00:00:00"
 WATCHED = ("7", "19", "42", "63", "88")
+STREAM_FILES = 8
 
 Query = Callable[[Roles], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -211,7 +212,7 @@ def trips_plus_routes(r: Roles) -> DataFrame:
 
 
 @query
-def trips_with_known_route(r: Roles) -> DataFrame:
+def trips_merged_on_route(r: Roles) -> DataFrame:
     """The merge on the key alone, which brings no columns."""
     return tables.trips_plus_routes(r.trips, r.routes, ())
 
@@ -254,18 +255,28 @@ def flat_feed_load(r: Roles) -> DataFrame:
     # Epoch columns with gaps reach CSV with a decimal part.
     flat = r.flat_updates.withColumn("arrival_time", F.col("arrival_time").cast("double"))
     export.export_csv(flat, folder)
-    return feeds.read_trip_updates_csv(r.spark, folder).select(
-        "trip_id", "route_id", "stop_id", "stop_sequence", "arrival_dt", "departure_dt"
-    )
+    return feeds.read_trip_updates_csv(r.spark, folder)
+
+
+@query
+def flat_vehicle_load(r: Roles) -> DataFrame:
+    """Columns in another order than the schema's, and two of the optional ones absent."""
+    folder = scratch.new_folder(r.spark, "vehicle_positions")
+    flat = r.flat_vehicles.withColumn("timestamp", F.col("timestamp").cast("double"))
+    export.export_csv(flat.select(*reversed(flat.columns)), folder)
+    return feeds.read_vehicle_positions_csv(r.spark, folder)
 
 
 @query
 def expand_archives(r: Roles) -> DataFrame:
-    packed = pack_archives(r.stop_times_text, "stop_times")
-    columns = ["trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time"]
-    return archives.archive_table(archives.expand_archives(packed), "stop_times", columns).drop(
-        "archive"
-    )
+    """Zips of two tables, of which one member is read, through to the loaded table."""
+    folder = scratch.new_folder(r.spark, "archives")
+    packed = export.replace_table(pack_archives(r.stop_times_text, "stop_times"), folder, "zips")
+    found = archives.archive_headers(packed).filter("table_name = 'stop_times'")
+    headers = [row.header for row in found.select("header").distinct().collect()]
+    lines = archives.expand_archives(packed, ["stop_times"])
+    table = archives.archive_table(lines, "stop_times", headers).drop("archive")
+    return timetable.finished(table, "stop_times")
 
 
 @query
@@ -290,7 +301,7 @@ def _minute_history(r: Roles, stamps: str = "*") -> DataFrame:
 
 
 def _stop_history(r: Roles) -> DataFrame:
-    return snapshots.read_snapshots(r.spark, r.stop_snapshots(), schemas.STOP_SNAPSHOT)
+    return snapshots.read_snapshots(r.spark, r.drifting_stop_snapshots(), schemas.STOP_SNAPSHOT)
 
 
 @query
@@ -330,21 +341,16 @@ def stop_delay_range(r: Roles) -> DataFrame:
 
 @query
 def stream_avg_delay_by_minute(r: Roles) -> DataFrame:
-    """Closed minutes only: the last hour is still inside the watermark."""
+    """Every minute, from events that arrive in any order and in one batch per file."""
     folder = scratch.new_folder(r.spark, "delay-minutes")
-    r.delays.write.parquet(f"{folder}/events")
-    events = r.spark.readStream.schema(r.delays.schema).parquet(f"{folder}/events")
-    stream = (
-        stream_delay_by_minute(events)
-        .writeStream.format("parquet")
-        .option("path", f"{folder}/table")
-        .option("checkpointLocation", f"{folder}/state")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    r.delays.repartition(STREAM_FILES).write.parquet(f"{folder}/events")
+    events = (
+        r.spark.readStream.schema(r.delays.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{folder}/events")
     )
-    stream.awaitTermination()
-    return r.spark.read.parquet(f"{folder}/table")
+    append_minute_totals(events, f"{folder}/table", f"{folder}/state").awaitTermination()
+    return streamed_delay_by_minute(r.spark, f"{folder}/table")
 
 
 @query
@@ -360,7 +366,7 @@ def stream_stop_snapshots(r: Roles) -> DataFrame:
 
 @query
 def daily_run(r: Roles) -> DataFrame:
-    """Text timetable and nested feeds through to every answer; rows written per question."""
+    """Text timetable and nested feeds through to every answer, as (question, item, value)."""
     folder = scratch.new_folder(r.spark, "daily")
     for name, table in {
         "stop_times": r.stop_times_text,
@@ -380,11 +386,42 @@ def daily_run(r: Roles) -> DataFrame:
         as_of=AS_OF,
         watched_stops=WATCHED,
     )
+
+    def time(column: str) -> Column:
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+    def joined(*columns: Column | str) -> Column:
+        return F.concat_ws("|", *columns)
+
+    nothing = F.lit(None)
+    shapes = {
+        "avg_delay_by_minute": (time("minute_ts"), "avg_delay_min"),
+        "avg_delay_by_stop": ("stop_id", "avg_delay_min"),
+        "position_bus_vehicles": (
+            joined("trip_id", "route_id", time("timestamp_paris")),
+            "delay_min",
+        ),
+        "avg_delay_by_route": ("route_id", "avg_delay_min"),
+        "punctuality_rate": ("total_events", "pct_on_time"),
+        "avg_delay_heatmap_Q5": (joined("jour_date", "heure", "nb_events"), "avg_delay_min"),
+        "evolution_delay_by_stop_Q7": (joined("stop_id", time("snapshot_ts_temps")), "avg_delay_min"),
+        "trips_plus_routes": (
+            joined("trip_id", "route_id", "route_short_name", "route_long_name"),
+            nothing,
+        ),
+        "stops_with_geom": ("stop_id", "stop_lat"),
+    }
+
+    def column(value: Column | str) -> Column:
+        return F.col(value) if isinstance(value, str) else value
+
     written = [
-        r.spark.read.option("header", True)
-        .csv(export.snapshot_glob(f"{folder}/exports", name))
-        .agg(F.lit(name).alias("question"), F.count(F.lit(1)).alias("n_rows"))
-        for name in answers
+        answer.select(
+            F.lit(name).alias("question"),
+            column(shapes[name][0]).cast("string").alias("item"),
+            column(shapes[name][1]).cast("double").alias("value"),
+        )
+        for name, answer in answers.items()
     ]
     return reduce(DataFrame.unionByName, written)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +24,13 @@ from tramline.plans.daily import BY_MINUTE, BY_STOP
 from tramline.session import prepare
 from tramline.sinks.export import replace_table, snapshot_glob, write_snapshots
 from tramline.sources.feeds import with_update_times, with_vehicle_time
+from tramline.sources.files import folder_version
 from tramline.sources.timetable import with_stop_seconds
 
 FIRST_SECOND = 23 * 3600
 STEP_SECONDS = 1800
 
-# Label of the run that covers order years FIRST_YEAR + i and FIRST_YEAR + i + 1.
-FIRST_YEAR = 1995
+# Labels of the runs; each sees the trips of two remainders of the trip number.
 STAMPS = (
     "20250910_100000",
     "20250912_100000",
@@ -45,6 +46,17 @@ def _planned_second(stop_sequence: Column) -> Column:
     return (FIRST_SECOND + (stop_sequence - 1) * STEP_SECONDS).cast("bigint")
 
 
+def _part(row: Column, remainder_of: int) -> Column:
+    """Whether the part number of a visit is divisible; a missing number is not."""
+    return F.coalesce(row % remainder_of == 0, F.lit(False))
+
+
+def _twice_if(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet the condition occur twice."""
+    copies = F.when(condition, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return df.withColumn("copy", F.explode(copies)).drop("copy")
+
+
 def _time_text(seconds: Column) -> Column:
     """Seconds after midnight as HH:MM:SS, hours up to 99."""
     minutes = F.call_function("div", seconds, F.lit(60))
@@ -52,11 +64,11 @@ def _time_text(seconds: Column) -> Column:
     return F.concat_ws(":", *(F.lpad(f.cast("string"), 2, "0") for f in fields))
 
 
-# What a session has loaded or opened, by (application, folder, table).
-_LOADED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+# What a session has loaded or opened, by (application, folder, its version, table).
+_LOADED: dict[tuple[str, str, int, str], tuple[str, T.StructType]] = {}
 
 # Export folder with the snapshot history of a question, by the same key.
-_HISTORIES: dict[tuple[str, str, str], str] = {}
+_HISTORIES: dict[tuple[str, str, int, str], str] = {}
 
 
 class Roles:
@@ -69,9 +81,11 @@ class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder
+        # Tables are loaded again when the files of the folder change.
+        self.version = folder_version(self.spark, folder)
 
-    def _key(self, name: str) -> tuple[str, str, str]:
-        return self.spark.sparkContext.applicationId, self.folder, name
+    def _key(self, name: str) -> tuple[str, str, int, str]:
+        return self.spark.sparkContext.applicationId, self.folder, self.version, name
 
     def _open(self, name: str, path: Callable[[], str]) -> DataFrame:
         """Parquet table whose path and schema are found once per session."""
@@ -106,12 +120,17 @@ class Roles:
 
     @cached_property
     def stop_times(self) -> DataFrame:
-        """Timetable with its times as text, hours past 24, and in seconds."""
+        """Timetable with its times as text, hours past 24, and in seconds.
+
+        By part number, some visits are not in it, some have no times, some occur twice.
+        """
 
         def build() -> DataFrame:
-            planned = _planned_second(F.col("stop_sequence"))
+            part = F.col("part")
+            planned = F.when(~_part(part, 29), _planned_second(F.col("stop_sequence")))
+            planned_visits = self.visits.filter(~_part(part, 23))
             return with_stop_seconds(
-                self.visits.select(
+                _twice_if(planned_visits, _part(part, 31)).select(
                     "trip_id",
                     _time_text(planned).alias("arrival_time"),
                     _time_text(planned + 30).alias("departure_time"),
@@ -130,8 +149,9 @@ class Roles:
     def trips_updates(self) -> DataFrame:
         """Feed with epoch seconds and instants.
 
-        No row is left out; the arrival is blank for part numbers divisible by 17
-        and the departure for those divisible by 13.
+        No visit is left out; the arrival is blank for part numbers divisible by 17 and the
+        departure for those divisible by 13; those divisible by 37 occur twice.  Trips of one
+        week start on its Monday.
         """
 
         def build() -> DataFrame:
@@ -139,12 +159,15 @@ class Roles:
                 F.col("o_orderkey").alias("trip_id"),
                 F.col("o_custkey").alias("route_id"),
                 (F.col("o_orderkey") % 2).cast("int").alias("direction_id"),
-                F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("day"),
+                F.unix_seconds(F.date_trunc("week", F.col("o_orderdate").cast("timestamp"))).alias(
+                    "day"
+                ),
             )
             arrival = (
                 F.col("day") + _planned_second(F.col("stop_sequence")) + F.col("part") % 1800 - 600
             )
-            flat = self.visits.join(orders, "trip_id").select(
+            visits = _twice_if(self.visits, _part(F.col("part"), 37))
+            flat = visits.join(orders, "trip_id").select(
                 "trip_id",
                 "route_id",
                 "direction_id",
@@ -170,7 +193,9 @@ class Roles:
             second = F.unix_seconds(F.col("ts").cast("timestamp"))
             flat = self.table("events").select(
                 F.col("user_id").alias("trip_id"),
-                F.col("event_type").alias("route_id"),
+                F.concat_ws("-", "event_type", (F.col("user_id") % 7).cast("string")).alias(
+                    "route_id"
+                ),
                 F.col("value").alias("latitude"),
                 k.alias("longitude"),
                 F.when(k != 0, second).alias("timestamp"),
@@ -186,17 +211,29 @@ class Roles:
 
     @cached_property
     def trips(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("trip_id"), F.col("o_custkey").alias("route_id")
+        """Trips; some that the feed has are missing, and some have no route."""
+        number = F.col("o_orderkey")
+        return (
+            self.table("orders")
+            .filter(number % 13 != 0)
+            .select(
+                number.alias("trip_id"),
+                F.when(number % 11 != 0, F.col("o_custkey")).alias("route_id"),
+            )
         )
 
     @cached_property
     def routes(self) -> DataFrame:
-        return self.table("customer").select(
+        """Customers, and one route without an id."""
+        routes = self.table("customer").select(
             F.col("c_custkey").alias("route_id"),
             F.col("c_mktsegment").alias("route_short_name"),
             F.col("c_name").alias("route_long_name"),
         )
+        nameless = self.spark.range(1).select(
+            F.lit(None).cast("bigint"), F.lit("none"), F.lit("No route")
+        )
+        return routes.union(nameless)
 
     @cached_property
     def stops(self) -> DataFrame:
@@ -226,12 +263,10 @@ class Roles:
 
     @cached_property
     def run_delays(self) -> DataFrame:
-        """Delays with the label of each run that saw them: two for most events."""
-        year = F.year("arrival_dt_utc") - FIRST_YEAR
+        """Delays with the labels of the two runs that saw them, whatever their time."""
         labels = F.array(*map(F.lit, STAMPS))
-        seen_by = F.filter(
-            F.array(F.get(labels, year - 1), F.get(labels, year)), lambda s: s.isNotNull()
-        )
+        place = F.pmod("trip_id", F.lit(len(STAMPS))).cast("int")
+        seen_by = F.array(F.get(labels, place), F.get(labels, (place + 1) % len(STAMPS)))
         return self.delays.withColumn("stamp", F.explode(seen_by))
 
     @cached_property
@@ -252,12 +287,24 @@ class Roles:
         folder = self._history(BY_MINUTE, lambda: minute_averages(self.run_delays, ["stamp"]))
         return snapshot_glob(folder, BY_MINUTE, stamps)
 
+    def _stop_runs(self) -> DataFrame:
+        return stop_averages(self.run_delays, self.run_stops, ["stamp"])
+
     def stop_snapshots(self) -> str:
         """Glob over the runs' averages per stop."""
-        folder = self._history(
-            BY_STOP, lambda: stop_averages(self.run_delays, self.run_stops, ["stamp"])
-        )
-        return snapshot_glob(folder, BY_STOP)
+        return snapshot_glob(self._history(BY_STOP, self._stop_runs), BY_STOP)
+
+    def drifting_stop_snapshots(self) -> str:
+        """The same, where every other run has its columns in another order and one more."""
+        key = self._key("drifting " + BY_STOP)
+        if key not in _HISTORIES:
+            folder, runs = scratch.new_folder(self.spark, "exports"), self._stop_runs()
+            early = F.col("stamp").isin(*STAMPS[::2])
+            write_snapshots(runs.filter(early), folder, BY_STOP)
+            turned = runs.filter(~early).select(*reversed(runs.columns), F.lit("x").alias("note"))
+            write_snapshots(turned, folder, BY_STOP)
+            _HISTORIES[key] = folder
+        return snapshot_glob(_HISTORIES[key], BY_STOP)
 
 
 def update_messages(updates: DataFrame, bare_stop: bool = False) -> DataFrame:
@@ -309,7 +356,7 @@ def vehicle_messages(vehicles: DataFrame) -> DataFrame:
     vehicle = F.struct(
         F.struct(
             F.col("trip_id").cast("string").alias("trip_id"),
-            F.nullif("route_id", F.lit("signup")).alias("route_id"),
+            F.nullif("route_id", F.lit("signup-3")).alias("route_id"),
         ).alias("trip"),
         F.lit("").alias("stop_id"),
         F.struct(
@@ -330,14 +377,16 @@ def vehicle_messages(vehicles: DataFrame) -> DataFrame:
 
 
 def pack_archives(table: DataFrame, name: str) -> DataFrame:
-    """Each batch of rows as one zip with one text table: (path, content)."""
+    """Each batch of rows as one zip of two text tables: (path, content)."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             blob = io.BytesIO()
             with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr(f"{name}.txt", batch.to_csv(index=False))
+                archive.writestr("feed_info.txt", "feed_publisher_name\nnobody\n")
                 archive.writestr("readme.md", "not a table")
-            yield pd.DataFrame({"path": [f"{number}.zip"], "content": [blob.getvalue()]})
+            yield pd.DataFrame({"path": [f"{part}-{number}.zip"], "content": [blob.getvalue()]})
 
     return table.mapInPandas(pack, "path string, content binary")

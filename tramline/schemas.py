@@ -17,17 +17,17 @@ STOPS = _struct(stop_id=TEXT, stop_name=TEXT, stop_lat=DOUBLE, stop_lon=DOUBLE)
 ROUTES = _struct(route_id=TEXT, route_short_name=TEXT, route_long_name=TEXT)
 TRIPS = _struct(trip_id=TEXT, route_id=TEXT)
 
-# Flattened feeds as they land in CSV: number columns with gaps carry a decimal part.
-TRIP_UPDATES_CSV = _struct(
+# Flattened feeds, as the flattening of messages gives them.
+TRIP_UPDATES = _struct(
     trip_id=TEXT,
     route_id=TEXT,
-    direction_id=DOUBLE,
+    direction_id=INT,
     stop_id=TEXT,
-    stop_sequence=DOUBLE,
-    arrival_time=DOUBLE,
-    departure_time=DOUBLE,
+    stop_sequence=INT,
+    arrival_time=LONG,
+    departure_time=LONG,
 )
-VEHICLE_POSITIONS_CSV = _struct(
+VEHICLE_POSITIONS = _struct(
     trip_id=TEXT,
     route_id=TEXT,
     stop_id=TEXT,
@@ -35,7 +35,7 @@ VEHICLE_POSITIONS_CSV = _struct(
     longitude=DOUBLE,
     bearing=DOUBLE,
     speed=DOUBLE,
-    timestamp=DOUBLE,
+    timestamp=LONG,
     vehicle_id=TEXT,
 )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"{SETTING} must name a folder every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_ROOTS:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+FILES_PER_RUN = 4
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -21,6 +24,19 @@ def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     _csv_writer(df.coalesce(1) if one_file else df).mode("overwrite").csv(path)
 
 
+def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An export read back with the types it was written from."""
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .schema(schema)
+        .csv(path)
+    )
+
+
 def replace_table(df: DataFrame, warehouse: str, name: str) -> DataFrame:
     """Overwrite warehouse table `name` and return it as read back."""
     path = f"{warehouse}/{name}"
@@ -47,9 +63,13 @@ def write_snapshot(df: DataFrame, export_dir: str, name: str, stamp: str) -> Non
 
 
 def write_snapshots(df: DataFrame, export_dir: str, name: str) -> None:
-    """Add all runs in column `stamp` in one job; runs written again replace themselves."""
+    """Add all runs in column `stamp` in one job; runs written again replace themselves.
+
+    Rows are dealt by stamp and a salt of `FILES_PER_RUN` values, which bounds the files of a run.
+    """
+    dealt = df.repartition("stamp", F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_RUN)))
     (
-        _csv_writer(df)
+        _csv_writer(dealt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("stamp")

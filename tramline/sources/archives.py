@@ -1,66 +1,135 @@
-"""Timetable zips: many archives expanded in parallel, one row per table line."""
+"""Timetable zips: the lines of the wanted members, parsed like the unpacked files."""
 
 from __future__ import annotations
 
 import csv
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LINES_SCHEMA = (
-    "archive string, table_name string, line_no bigint, header array<string>, fields array<string>"
-)
+from tramline.functions.text import blank_to_null, missing_to_null
+from tramline.sources.timetable import SUFFIX, finished
+
+LINES_SCHEMA = "archive string, table_name string, header string, line string"
+HEADERS_SCHEMA = "archive string, table_name string, header string"
 BATCH_LINES = 10_000
+# No quoted field is cut: the parser's own limit is switched off.
+CSV_OPTIONS = {"escape": '"', "maxCharsPerColumn": "-1"}
 
 
 def read_archives(spark: SparkSession, pattern: str) -> DataFrame:
-    """Archives as (path, content), one row per file."""
+    """Archives as (path, content), one row per file.
+
+    An archive is one value and one task; the file source takes archives below 2 GB.
+    """
     return spark.read.format("binaryFile").load(pattern).select("path", "content")
 
 
-def _archive_lines(path: str, content: bytes) -> Iterator[tuple]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        for member in archive.namelist():
-            if not member.endswith(".txt"):
-                continue
-            table = member.rsplit("/", 1)[-1].removesuffix(".txt")
-            with archive.open(member) as raw:
-                rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-                header = next(rows, [])
-                for line_no, fields in enumerate(rows, start=1):
-                    yield path, table, line_no, header, fields
+def _members(
+    batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None
+) -> Iterator[tuple[str, str, Iterator[str]]]:
+    """(archive, table, lines) of each text table; members not wanted are not opened."""
+    for batch in batches:
+        for path, content in zip(*batch.columns, strict=True):
+            with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                for member in archive.namelist():
+                    table = member.rsplit("/", 1)[-1].removesuffix(SUFFIX)
+                    if member.endswith(SUFFIX) and (wanted is None or table in wanted):
+                        with archive.open(member) as raw:
+                            text = io.TextIOWrapper(raw, encoding="utf-8-sig")
+                            yield path.as_py(), table, (line.rstrip("\n") for line in text)
 
 
-def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "table_name", "line_no", "header", "fields"]
-    pending: list[tuple] = []
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            for line in _archive_lines(path, content):
-                pending.append(line)
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names = [part.split()[0] for part in schema.split(", ")]
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
+
+
+def archive_headers(archives: DataFrame) -> DataFrame:
+    """(archive, table_name, header) of every text table; only first lines are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, table, lines in _members(batches, None):
+            yield _batch([(path, table, next(lines, ""))], HEADERS_SCHEMA)
+
+    return archives.select("path", "content").mapInArrow(run, HEADERS_SCHEMA)
+
+
+def expand_archives(archives: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+    """(path, content) to one row per data line of the wanted tables, text as it stands.
+
+    Lines leave in batches, never a whole archive; blank lines are none.
+    """
+    wanted = None if tables is None else frozenset(tables)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, table, lines in _members(batches, wanted):
+            header = next(lines, "")
+            pending = []
+            for line in lines:
+                if line.strip():
+                    pending.append((path, table, header, line))
                 if len(pending) == BATCH_LINES:
-                    yield pd.DataFrame(pending, columns=columns)
+                    yield _batch(pending, LINES_SCHEMA)
                     pending = []
-    if pending:
-        yield pd.DataFrame(pending, columns=columns)
+            if pending:
+                yield _batch(pending, LINES_SCHEMA)
+
+    return archives.select("path", "content").mapInArrow(run, LINES_SCHEMA)
+
+
+def archive_table(
+    lines: DataFrame, table: str, headers: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One table out of expanded lines, by header name, every column text.
 
+    `headers` are the header lines that occur; where they differ, a column that a file
+    lacks is NULL.  Empty text and missing marks are NULL.  `columns` picks some.
+    """
+    own = lines.filter(F.col("table_name") == table)
+    parts = []
+    for header in dict.fromkeys(headers):
+        names = next(csv.reader([header]))
+        ddl = ", ".join("`" + name.replace("`", "``") + "` string" for name in names)
+        fields = F.from_csv("line", ddl, CSV_OPTIONS)
+        parts.append(
+            own.filter(F.col("header") == header)
+            .select("archive", fields.alias("fields"))
+            .select("archive", *(blank_to_null(F.col(f"fields.`{n}`")).alias(n) for n in names))
+        )
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    kept = missing_to_null(united)
+    if columns is None:
+        return kept
+    absent = {c: F.lit(None).cast("string") for c in columns if c not in kept.columns}
+    return kept.withColumns(absent).select("archive", *columns)
 
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """(path, content) to one row per line; lines leave in batches, never a whole archive."""
-    return archives.select("path", "content").mapInPandas(_expand, LINES_SCHEMA)
 
+def load_archives(
+    spark: SparkSession, pattern: str, types: Mapping[str, T.StructType] | None = None
+) -> dict[str, DataFrame]:
+    """Every text table of the zips a glob names, as `load_timetable` gives the files of a folder.
 
-def archive_table(lines: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """One table out of expanded lines, columns taken by header name; empty text is NULL."""
-    # A short line has fewer fields than its header: index past the end gives NULL.
-    value = {
-        c: F.nullif(
-            F.get("fields", (F.array_position("header", c) - 1).cast("int")), F.lit("")
-        ).alias(c)
-        for c in columns
+    Each table reads its own member of each zip only.
+    """
+    archives = read_archives(spark, pattern)
+    # One row per distinct header of a table.
+    found: dict[str, list[str]] = {}
+    for row in archive_headers(archives).select("table_name", "header").distinct().collect():
+        found.setdefault(row.table_name, []).append(row.header)
+    return {
+        name: finished(
+            archive_table(expand_archives(archives, [name]), name, sorted(headers)).drop("archive"),
+            name,
+            types,
+        )
+        for name, headers in sorted(found.items())
+        if any(headers)
     }
-    return lines.filter(F.col("table_name") == table).select("archive", *value.values())

@@ -73,13 +73,44 @@ def with_vehicle_time(vehicles: DataFrame) -> DataFrame:
     return vehicles.withColumn("timestamp_dt", _instant(vehicles, "timestamp"))
 
 
+# Columns a feed may lack: messages need not set them.
+OPTIONAL_UPDATE_COLUMNS = ("route_id", "direction_id", "departure_time")
+OPTIONAL_VEHICLE_COLUMNS = ("route_id", "stop_id", "bearing", "speed")
+
+
+def _number(text: Column, kind: T.DataType) -> Column:
+    """Whole or decimal text; number columns with gaps reach CSV with a decimal part."""
+    plain = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(plain, text.try_cast("double").try_cast(kind))
+    return plain
+
+
+def _read_flat_csv(
+    spark: SparkSession, path: str, schema: T.StructType, optional: tuple[str, ...]
+) -> DataFrame:
+    """The columns of `schema`, taken by header name; an absent optional one is NULL."""
+    raw = missing_to_null(spark.read.option("header", True).option("escape", '"').csv(path))
+    absent = [f.name for f in schema if f.name not in raw.columns and f.name not in optional]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+
+    def column(field: T.StructField) -> Column:
+        if field.name not in raw.columns:
+            return F.lit(None).cast(field.dataType)
+        text = F.col(field.name)
+        return text if isinstance(field.dataType, T.StringType) else _number(text, field.dataType)
+
+    return raw.select(*(column(f).alias(f.name) for f in schema))
+
+
 def read_trip_updates_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Flattened trip updates from CSV."""
-    flat = spark.read.option("header", True).schema(schemas.TRIP_UPDATES_CSV).csv(path)
-    return with_update_times(missing_to_null(flat))
+    """Flattened trip updates from CSV, typed as the flattening types them."""
+    flat = _read_flat_csv(spark, path, schemas.TRIP_UPDATES, OPTIONAL_UPDATE_COLUMNS)
+    return with_update_times(flat)
 
 
 def read_vehicle_positions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Flattened vehicle positions from CSV."""
-    flat = spark.read.option("header", True).schema(schemas.VEHICLE_POSITIONS_CSV).csv(path)
-    return with_vehicle_time(missing_to_null(flat))
+    """Flattened vehicle positions from CSV, typed as the flattening types them."""
+    flat = _read_flat_csv(spark, path, schemas.VEHICLE_POSITIONS, OPTIONAL_VEHICLE_COLUMNS)
+    return with_vehicle_time(flat)

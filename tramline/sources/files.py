@@ -10,3 +10,15 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     return sorted(status.getPath().toString() for status in found or [])
+
+
+def folder_version(spark: SparkSession, folder: str) -> int:
+    """Number that changes with the names, sizes and times of what lies in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hash(
+        tuple(
+            (s.getPath().toString(), s.getLen(), s.getModificationTime())
+            for s in system.globStatus(path) or []
+        )
+    )

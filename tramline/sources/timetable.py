@@ -56,20 +56,28 @@ def typed(table: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def finished(
+    table: DataFrame, name: str, types: Mapping[str, T.StructType] | None = None
+) -> DataFrame:
+    """A text table as loads give it: declared types, seconds beside stop times."""
+    if types and name in types:
+        table = typed(table, types[name])
+    return with_stop_seconds(table) if name == "stop_times" else table
+
+
 def load_timetable(
     spark: SparkSession,
     folder: str,
     types: Mapping[str, T.StructType] | None = None,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Every `*.txt` table of a folder, keyed by file name.
 
     Without `types` all columns are text.  `TYPED_TABLES` gives the typed load.
+    `multiline` takes line breaks inside quoted fields.
     """
     tables: dict[str, DataFrame] = {}
     for path in matching_paths(spark, f"{folder}/*{SUFFIX}"):
         name = path.rsplit("/", 1)[-1].removesuffix(SUFFIX)
-        table = read_text_table(spark, path)
-        if types and name in types:
-            table = typed(table, types[name])
-        tables[name] = with_stop_seconds(table) if name == "stop_times" else table
+        tables[name] = finished(read_text_table(spark, path, multiline), name, types)
     return tables

@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from tramline.functions.clock import paris_wall_clock
-from tramline.functions.numbers import delay_totals, mean_minutes, round2
-from tramline.operators.delay import delay_micros
+from tramline.operators.questions import averages_of_totals, minute_totals
 
-LATENESS = "1 hour"
+TOTALS = "utc_minute bigint, sum_sec bigint, sum_us bigint, n_delay bigint"
 
 
-def stream_delay_by_minute(delays: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Tumbling one-minute mean on the arrival time.
+def append_minute_totals(delays: DataFrame, table: str, state: str) -> StreamingQuery:
+    """Add the totals per minute of each batch to `table`, until the source has no more.
 
-    State is a few sums per open minute.  Events later than `lateness` behind the
-    newest arrival are dropped by the watermark; events without an arrival have
-    no window.  The window is on the instant: in the repeated autumn hour one
-    local minute has two rows where the batch question has one.
+    Totals of a minute add up over batches, so no event is late: there is no watermark, no
+    state to keep, and any split of the input into batches gives the same averages.  A
+    batch that is run again after a failure replaces its own folder.  `table` and `state`
+    belong together: a new `state` starts over at batch 0.
     """
+
+    def add(batch: DataFrame, number: int) -> None:
+        minute_totals(batch).write.mode("overwrite").parquet(f"{table}/batch={number}")
+
     return (
-        delays.filter(F.col("arrival_dt_utc").isNotNull())
-        .withWatermark("arrival_dt_utc", lateness)
-        .groupBy(F.window("arrival_dt_utc", "1 minute"))
-        .agg(*delay_totals(delay_micros()))
-        .select(
-            paris_wall_clock(F.col("window.start")).alias("minute_ts"),
-            round2(mean_minutes()).alias("avg_delay_min"),
-        )
+        delays.writeStream.foreachBatch(add)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
     )
+
+
+def streamed_delay_by_minute(spark: SparkSession, table: str) -> DataFrame:
+    """Mean delay per Paris minute over all batches so far, as the batch question gives it."""
+    return averages_of_totals(spark.read.schema(f"{TOTALS}, batch bigint").parquet(table))
