@@ -48,12 +48,11 @@ def field():
     texts = []
     for _ in range(150):
         number = "".join(chance.choices("0123456789", k=7))
-        card = next(
-            c for c in (f"4{chance.randrange(10**14):014d}{d}" for d in range(10)) if pii_crf.luhn(c)
-        )
+        head = f"4{chance.randrange(10**14):014d}"
+        card = next(c for c in (f"{head}{d}" for d in range(10)) if pii_crf.luhn(c))
         parts = [
-            f"mail joe.{number}@mail.example.com now",
-            f"call +1 (212) {number[:3]}-{number[3:]} now",
+            f"mail joe.{chance.randrange(10**4)}@mail.example.com now",
+            f"call +1 (212) {number[:3]}-{number[3:]} or +1 (212) {number[:3]}-{number[3:]} now",
             f"from 10.{number[:2]}.7.{number[2]} here",
             f"card {card} paid",
             f"page {number[:2]} of {number[:3]}",

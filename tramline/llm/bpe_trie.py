@@ -18,7 +18,6 @@ special tokens in a text become those tokens; repeated rows each get their resul
 from __future__ import annotations
 
 import json
-import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -27,10 +26,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer as Library
 
 # Entries of either cache, and characters that share a trie.
 CACHE = 700_000
 PIECE = 1 << 21
+# Last letter that no version of Unicode has added to, and that composes with nothing before it.
+LATIN = "\u024f"
 
 
 def default_tokenizer() -> str:
@@ -152,6 +154,7 @@ class Tokenizer:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.library = Library.from_file(path)
         self.merges = Merges(spec["model"])
         self.trie = TrieEncoder(self.merges)
         self.symbols = byte_symbols()
@@ -187,9 +190,15 @@ class Tokenizer:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), chunks)
 
     def _words(self, chunk: str) -> list[str]:
-        """Normalised words: NFC, then lower case letter by letter."""
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        """Normalised words: NFC, then lower case letter by letter.
+
+        Beyond Latin letters the library normalises and splits, as which characters are
+        letters, and how they compose, depends on the version of Unicode.
+        """
+        if not chunk.isascii() and max(chunk) > LATIN:
+            text = self.library.normalizer.normalize_str(chunk)
+            spans = self.library.pre_tokenizer.pre_tokenize_str(text)
+            return [text[start:stop] for _, (start, stop) in spans]
         lower = chunk.lower()
         return [lower] if lower.isalpha() else self.word.findall(lower)
 

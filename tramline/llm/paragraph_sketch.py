@@ -184,8 +184,9 @@ def with_next(documents: DataFrame, ranges: int | None = None) -> tuple[DataFram
     parts = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = documents.schema["doc_id"].dataType.simpleString()
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts = ids.approxQuantile("doc_id", [n / parts for n in range(1, parts)], 0.2 / parts)
-    bounds = np.unique(np.array(cuts, np.int64))
+    shares = [n / parts for n in range(1, parts)] or [0.5]
+    cuts = ids.agg(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0]
+    bounds = np.unique(np.array(cuts or [], np.int64))
     # The first row of each range that has any; one number per range.
     number = F.lit(len(bounds)) - _rank(F.coalesce("doc_id", F.lit(0)), bounds)
     tops = (

@@ -165,16 +165,14 @@ class Leads:
 
 def _shifted(index: DataFrame, leads: DataFrame) -> DataFrame:
     """Where a window would start, by one of its terms."""
-    return (
-        index.join(leads, "term")
-        .select(*KEYS, "window", (F.col("position") - F.col("offset")).alias("start"))
-        .filter("start >= 0")
+    return index.join(leads, "term").select(
+        *KEYS, "window", (F.col("position") - F.col("offset")).alias("start")
     )
 
 
 def phrase_candidates(index: DataFrame, leads: Leads) -> DataFrame:
     """(document, version, window, start): the leads of the window stand where they should."""
-    first = _shifted(index, leads.ranked[0])
+    first = _shifted(index, leads.ranked[0]).filter("start >= 0")
     second = _shifted(index, leads.ranked[1])
     alone = leads.lengths.filter("length = 1").select("window")
     key = [*KEYS, "window", "start"]
@@ -186,7 +184,7 @@ def proximity_matches(index: DataFrame, leads: Leads, slop: int) -> DataFrame:
     """(document, version, window, start, distance): the two leads at most `slop` words off.
 
     `distance` is how far apart the starts are that the two leads point to; 0 is a phrase
-    candidate. Starts meet by stretches of the text, never all with all.
+    candidate. A start before the text is negative. Starts meet by stretches of the text, never all with all.
     """
     width = slop + 1
     first = _shifted(index, leads.ranked[0]).withColumn(

@@ -55,10 +55,9 @@ _STRETCH = 1 << 16
 
 
 def _powers(base: int) -> np.ndarray:
-    return np.cumprod(
-        np.concatenate([[1], np.full(_STRETCH, base, np.uint64)]).astype(np.uint64),
-        dtype=np.uint64,
-    )
+    factors = np.full(_STRETCH + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 _UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
