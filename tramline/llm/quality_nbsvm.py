@@ -154,10 +154,11 @@ def _labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", (F.col("mean") > 0.5).cast("int").alias("label"))
     )
     texts = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    # A null doc_id has no remainder and so no fold; the join drops it.
+    # A null doc_id has no remainder and so no fold; the join drops it. Labels grow with the
+    # documents, so they are not broadcast, however few they are.
     return (
         texts.filter(~held_out())
-        .join(known.filter(~held_out()), "doc_id")
+        .join(known.filter(~held_out()).hint("merge"), "doc_id")
         .select("text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).alias("share"))
     )
 
