@@ -3,6 +3,7 @@ import json
 import duckdb
 import pytest
 
+from tests.check import connect, differences
 from tramline.llm import queries, tool_calls
 
 TABLES = "/root/testdata/sf0.01"
@@ -99,6 +100,14 @@ def test_violations():
     assert tool_calls.parse("[" * 100_000)[1] is False
 
 
+def test_query_equals_its_sql(spark):
+    name = "op3_tool_calls"
+    found = differences(
+        spark, connect(TABLES), TABLES, name, queries.queries()[name], queries.oracle_sql()[name]
+    )
+    assert found == []
+
+
 def test_query_against_the_table(spark):
     rows = queries.op3_tool_calls(spark, TABLES).collect()
     turns = duckdb.sql(f"SELECT * FROM '{TABLES}/conversations.parquet'").fetchall()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tramline.llm.tables import join_same, stored
 
 WINDOW = 13
-BLOCK = 20_000
+BLOCK = 50_000
 LEADS = 2
 
 KEYS = ("document", "version")

@@ -164,6 +164,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+TOOL_CALLS_SQL = r"""
+WITH calls AS (
+    SELECT conv_id, turn, text, 't' || turn AS call_id,
+           turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+    FROM conversations WHERE role = 'user'
+), levels AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level
+    FROM calls
+), results AS (
+    SELECT conv_id, 't' || (turn - CASE WHEN role = 'system' THEN 0 ELSE 1 END) AS call_id,
+           min(turn) AS first_turn,
+           string_agg(to_json(text)::VARCHAR, ',' ORDER BY turn) AS contents
+    FROM conversations WHERE role <> 'user' GROUP BY 1, 2
+), checked AS (
+    SELECT *, '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE
+             '"n_chars":' || length(text) || ',"question":' || to_json(text)::VARCHAR END
+             || '},"name":"ask"}' AS call,
+           CASE WHEN text IS NULL THEN '"$.n_chars: missing","$.question: missing"'
+                WHEN text = '' THEN '"$.question: below minLength","$.n_chars: below minimum"'
+                WHEN length(text) > 1000 THEN '"$.n_chars: above maximum"' END AS problems
+    FROM levels
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+       CAST(coalesce(c.level, 0) AS INTEGER) AS level,
+       CAST(coalesce(c.turn, r.first_turn) AS BIGINT) AS turn,
+       CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'pending'
+            ELSE 'answered' END AS status,
+       c.problems IS NULL AS valid,
+       '{' || coalesce('"call":' || c.call || ',', '')
+         || '"id":"' || coalesce(c.call_id, r.call_id) || '",'
+         || coalesce('"problems":[' || c.problems || '],', '')
+         || coalesce('"results":[' || r.contents || '],', '')
+         || '"status":"' || CASE WHEN c.call_id IS NULL THEN 'orphan'
+              WHEN r.call_id IS NULL THEN 'pending' ELSE 'answered' END || '"}' AS message
+FROM checked c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
     SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line
@@ -250,6 +287,7 @@ FROM tokens t LEFT JOIN hits h USING (doc_id) LEFT JOIN named n USING (doc_id)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_tool_calls": TOOL_CALLS_SQL,
         "op7_line_dedup": LINE_DEDUP_SQL,
         "op9_decontamination": DECONTAMINATION_SQL,
     }
