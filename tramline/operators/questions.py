@@ -168,14 +168,18 @@ def position_bus_vehicles(vehicle_positions: DataFrame, delays: DataFrame) -> Da
 
     The result is vehicles times stop events per trip.  The left join is taken as
     matched and unmatched vehicles: an inner join can be split on either side when
-    a trip is hot, a left join only on the left.  Sorting on all columns keeps
-    positions of one second apart, so no range partition grows without bound.
+    a trip is hot, a left join only on the left.  Vehicles without a trip go past the
+    joins, so both joins ask for the same rows and share one exchange.  Sorting on all
+    columns keeps positions of one second apart, so no range partition grows without bound.
     """
-    vehicles = vehicles_with_time(vehicle_positions)
+    every = vehicles_with_time(vehicle_positions)
+    vehicles = every.filter(F.col("trip_id").isNotNull())
     events = delays.select("trip_id", "delay_min")
     matched = vehicles.join(events, "trip_id")
     unmatched = vehicles.join(events.select("trip_id").distinct(), "trip_id", "left_anti")
-    joined = matched.unionByName(unmatched, allowMissingColumns=True)
+    joined = matched.unionByName(unmatched, allowMissingColumns=True).unionByName(
+        every.filter(F.col("trip_id").isNull()), allowMissingColumns=True
+    )
     return joined.orderBy(
         F.desc_nulls_last("ts_utc"), "trip_id", "route_id", "latitude", "longitude", "delay_min"
     ).select(
