@@ -23,9 +23,6 @@ from tramline.functions.clock import (
 
 EVENT_KEY = ["trip_id", "stop_sequence"]
 
-# No instant a calendar can hold.
-NO_ORIGIN = -(2**63)
-
 
 def delay_micros() -> Column:
     """Exact delay of an event in microseconds, NULL without an arrival."""
@@ -37,16 +34,6 @@ def observed_first_stops(trips_updates: DataFrame) -> DataFrame:
     return trips_updates.groupBy("trip_id").agg(F.min("stop_sequence").alias("first_seq"))
 
 
-def first_observed_rows(trips_updates: DataFrame) -> DataFrame:
-    """Feed rows at the first stop of their trip; several where the feed repeats it."""
-    first = observed_first_stops(trips_updates).withColumnRenamed("trip_id", "first_trip")
-    return trips_updates.join(
-        first,
-        (trips_updates.trip_id == first.first_trip)
-        & (trips_updates.stop_sequence == first.first_seq),
-    ).drop("first_trip", "first_seq")
-
-
 def _observed(trips_updates: DataFrame) -> DataFrame:
     return trips_updates.select(*EVENT_KEY, F.col("arrival_dt").alias("arrival_dt_utc"))
 
@@ -69,21 +56,28 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     timetable second zero, is joined on trip_id alone, and adaptive execution
     splits a hot trip there.  A window over the trip would shuffle less but put
     all its events in one task.
+
+    The origins come from the same joined rows, grouped as they lie.  They keep the stop
+    in their list, so both branches need the same columns of feed and timetable, and
+    each is shuffled once.
     """
-    observed = _observed(trips_updates)
+    known = _observed(trips_updates).filter(
+        F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()
+    )
+    scheduled = _scheduled(known, stop_times)
+    first = observed_first_stops(known).withColumnRenamed("first_seq", "stop_sequence")
     origin = F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
-    # A missing arrival is tested on the finished number, which needs both inputs.
-    # A plain null test would be pushed into the feed scan, and the feed could then
-    # not be shuffled once for the events and the first stops.
     origins = (
-        _scheduled(first_observed_rows(observed), stop_times)
-        .select("trip_id", F.coalesce(origin, F.lit(NO_ORIGIN)).alias("origin_us"))
-        .filter(F.col("origin_us") != NO_ORIGIN)
+        scheduled.join(first, EVENT_KEY)
+        .groupBy(*EVENT_KEY)
+        .agg(F.collect_list(F.struct("stop_id", origin.alias("origin_us"))).alias("first"))
+        .select("trip_id", F.explode("first").alias("first"))
+        .select("trip_id", F.col("first.origin_us").alias("origin_us"))
+        .filter(F.col("origin_us").isNotNull())
     )
     scheduled_us = F.col("origin_us") + F.col("arrival_time_sec") * MICROS_PER_SECOND
     return (
-        _scheduled(observed, stop_times)
-        .join(origins, "trip_id")
+        scheduled.join(origins, "trip_id")
         .withColumn("scheduled_ts_utc", F.timestamp_micros(scheduled_us))
         .select(
             *EVENT_KEY,

@@ -158,6 +158,9 @@ stop_runs AS (
   GROUP BY ALL
 )"""
 )
+_IN_RANGE = (
+    "snapshot_ts_temps >= TIMESTAMP '2025-09-12' AND snapshot_ts_temps < TIMESTAMP '2025-09-20'"
+)
 _SELECTED = "(stamp LIKE '2025091%' AND stamp >= '20250912' OR stamp LIKE '20250922%')"
 
 _HEATMAP = """SELECT strftime(minute_ts, '%Y-%m-%d') AS jour_date, strftime(minute_ts, '%H') AS heure,
@@ -388,10 +391,16 @@ FROM minutes WHERE {_SELECTED}""",
         "stop_delay_evolution": f"""
 WITH {_RUN_STOPS} SELECT * FROM stop_runs WHERE stop_id IN {WATCHED}""",
         "stop_delay_evolution_all": f"WITH {_RUN_STOPS} SELECT * FROM stop_runs",
+        "stop_delay_evolution_dates": f"""
+WITH {_RUN_STOPS} SELECT * FROM stop_runs WHERE {_IN_RANGE}""",
         "stop_delay_range": f"""
 WITH {_RUN_STOPS}
 SELECT stop_id, stop_name, MIN(avg_delay_min) AS min_delay, MAX(avg_delay_min) AS max_delay
 FROM stop_runs WHERE avg_delay_min IS NOT NULL GROUP BY stop_id, stop_name""",
+        "stop_delay_range_dates": f"""
+WITH {_RUN_STOPS}
+SELECT stop_id, stop_name, MIN(avg_delay_min) AS min_delay, MAX(avg_delay_min) AS max_delay
+FROM stop_runs WHERE avg_delay_min IS NOT NULL AND {_IN_RANGE} GROUP BY stop_id, stop_name""",
         "daily_run": f"""
 WITH {_RELATIVE}, {_VEHICLES}, {_STOPS}, {_TRIPS}, {_ROUTES},
 minutes AS (SELECT {_MINUTE} AS minute_ts, {_AVG} FROM events_sec GROUP BY 1),

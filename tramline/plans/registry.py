@@ -23,6 +23,7 @@ from tramline.streaming.snapshots import append_history, stream_snapshots
 REPORT_DAY = "1998-07-07"
 AS_OF = "2000-01-01 00:00:00"
 WATCHED = ("7", "19", "42", "63", "88")
+STAMP_RANGE = "2025091[2-9]*"
 STREAM_FILES = 8
 
 Query = Callable[[Roles], DataFrame]
@@ -300,8 +301,9 @@ def _minute_history(r: Roles, stamps: str = "*") -> DataFrame:
     )
 
 
-def _stop_history(r: Roles) -> DataFrame:
-    return snapshots.read_snapshots(r.spark, r.drifting_stop_snapshots(), schemas.STOP_SNAPSHOT)
+def _stop_history(r: Roles, stamps: str = "*") -> DataFrame:
+    files = r.drifting_stop_snapshots(stamps)
+    return snapshots.read_snapshots(r.spark, files, schemas.STOP_SNAPSHOT)
 
 
 @query
@@ -311,13 +313,13 @@ def delay_heatmap(r: Roles) -> DataFrame:
 
 @query
 def delay_heatmap_selected_runs(r: Roles) -> DataFrame:
-    first, second = _minute_history(r, "2025091[2-9]*"), _minute_history(r, "20250922*")
+    first, second = _minute_history(r, STAMP_RANGE), _minute_history(r, "20250922*")
     return history.delay_heatmap(first.unionByName(second), include_future=True)
 
 
 @query
 def snapshot_union(r: Roles) -> DataFrame:
-    first, second = _minute_history(r, "2025091[2-9]*"), _minute_history(r, "20250922*")
+    first, second = _minute_history(r, STAMP_RANGE), _minute_history(r, "20250922*")
     return first.unionByName(second, allowMissingColumns=True).drop("filename")
 
 
@@ -331,11 +333,22 @@ def stop_delay_evolution_all(r: Roles) -> DataFrame:
     return history.stop_delay_evolution(_stop_history(r), None)
 
 
+@query
+def stop_delay_evolution_dates(r: Roles) -> DataFrame:
+    """All stops over the snapshots of some days."""
+    return history.stop_delay_evolution(_stop_history(r, STAMP_RANGE), None)
+
+
 @query
 def stop_delay_range(r: Roles) -> DataFrame:
     return history.stop_delay_range(_stop_history(r))
 
 
+@query
+def stop_delay_range_dates(r: Roles) -> DataFrame:
+    return history.stop_delay_range(_stop_history(r, STAMP_RANGE))
+
+
 # -- streams, run to the end of what is there
 
 

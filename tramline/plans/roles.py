@@ -294,7 +294,7 @@ class Roles:
         """Glob over the runs' averages per stop."""
         return snapshot_glob(self._history(BY_STOP, self._stop_runs), BY_STOP)
 
-    def drifting_stop_snapshots(self) -> str:
+    def drifting_stop_snapshots(self, stamps: str = "*") -> str:
         """The same, where every other run has its columns in another order and one more."""
         key = self._key("drifting " + BY_STOP)
         if key not in _HISTORIES:
@@ -304,7 +304,7 @@ class Roles:
             turned = runs.filter(~early).select(*reversed(runs.columns), F.lit("x").alias("note"))
             write_snapshots(turned, folder, BY_STOP)
             _HISTORIES[key] = folder
-        return snapshot_glob(_HISTORIES[key], BY_STOP)
+        return snapshot_glob(_HISTORIES[key], BY_STOP, stamps)
 
 
 def update_messages(updates: DataFrame, bare_stop: bool = False) -> DataFrame:
