@@ -55,8 +55,10 @@ def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b")))
+    moved = down.join(least, "a").filter("b <> m")
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+        least.select("a", F.col("m").alias("b"))
+    )
 
 
 def _state(links: DataFrame) -> tuple:

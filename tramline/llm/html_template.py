@@ -4,10 +4,10 @@ The tokens of a page are its start tags and its text blocks, each with the path
 above it. Over the pages of a host, tokens with the same occurrence vector (as often on the
 same pages) form a class; a class is valid if it covers at least half of the host's pages, and
 `MIN_PAGES` of them. Vectors are compared by their sum of hashed (page, count) pairs, which adds
-up in steps, so no task gathers a host. Pages that agree in all blocks outside
-of menus and the like count once: copies of an article are no template. Classes nest by path: text of a valid class that lies in an
-element of a valid class is template text, and what else a page holds is in the slots. Slots in
-menus, headers, footers, sidebars, notices, adverts, forms and comments are left out, by the names
+up in steps, so no task gathers a host. Pages that agree in all blocks outside of menus and the
+like count once: copies of an article are no template. Classes nest by path: text of a valid class
+that lies in an element of a valid class is template text, and what else a page holds is in the
+slots. Slots in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out, by the names
 of the elements around them; of a page with an article (or else a main) element, the slots in it
 are the text, else all slots that are not lists of links.
 

@@ -127,10 +127,8 @@ def tokens(text: str, base: list[Span]) -> Tokens:
         end = start + len(word)
         while at < len(order) and order[at][2] <= start:
             at += 1
-        label = next(
-            (1 + KINDS.index(k) for k, s, e in order[at : at + len(KINDS)] if s < end and e > start),
-            0,
-        )
+        near = order[at : at + len(KINDS)]
+        label = next((1 + KINDS.index(k) for k, s, e in near if s < end and e > start), 0)
         found.spans.append((start, end))
         found.words.append(word)
         found.follows.append(number == before + 1)
@@ -144,7 +142,9 @@ def _shape(word: str, follows: bool) -> list[int]:
     digits = _digits(word)
     letters = sum(c.isalpha() for c in word)
     parts = word.split(".")
-    valid_ip = len(parts) == 4 and all(p.isascii() and p.isdigit() and int(p[:9]) <= 255 for p in parts)
+    valid_ip = len(parts) == 4 and all(
+        p.isascii() and p.isdigit() and int(p[:9]) <= 255 for p in parts
+    )
     facts = (
         True,
         "@" in word,
@@ -281,7 +281,8 @@ def train(texts: list[str], steps: int = 300) -> Field | None:
         speed = 0.9 * speed - 0.5 * gradient
         weights += speed
     both = np.concatenate(skip)
-    return Field(weights, _affinity(np.concatenate(chain)), _affinity(np.concatenate([both, both[:, ::-1]])))
+    both = np.concatenate([both, both[:, ::-1]])
+    return Field(weights, _affinity(np.concatenate(chain)), _affinity(both))
 
 
 def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
@@ -336,13 +337,14 @@ def personal_data(documents: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, base, spans), one row per input row: the pattern matches, and all spans."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     struct = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+    fields = ("kind", "start", "end")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [find_spans(text.as_py(), field) for text in batch.column(1)]
             columns = [
                 pa.array(
-                    [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f[n]] for f in found],
+                    [[dict(zip(fields, s, strict=True)) for s in f[n]] for f in found],
                     pa.list_(struct),
                 )
                 for n in (0, 1)

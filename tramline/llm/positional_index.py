@@ -184,7 +184,8 @@ def proximity_matches(index: DataFrame, leads: Leads, slop: int) -> DataFrame:
     """(document, version, window, start, distance): the two leads at most `slop` words off.
 
     `distance` is how far apart the starts are that the two leads point to; 0 is a phrase
-    candidate. A start before the text is negative. Starts meet by stretches of the text, never all with all.
+    candidate. A start before the text is negative. Starts meet by stretches of the text, never
+    all with all.
     """
     width = slop + 1
     first = _shifted(index, leads.ranked[0]).withColumn(
@@ -268,7 +269,8 @@ def contamination(
         .groupBy(*KEYS)
         .agg(F.collect_list(F.struct("start", "window", "phrase")).alias("candidates"))
     )
-    checked = join_same(texts, per_document, [*KEYS], "left").select(*KEYS, "text", "candidates")
+    checked = join_same(texts, per_document, [*KEYS], "left")
+    checked = checked.select(*KEYS, "text", "candidates")
     schema = (
         f"document {kinds[0]}, version {kinds[1]}, n_words long, n_hit long, windows array<long>"
     )

@@ -79,7 +79,7 @@ def op3_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     )
     results = turns.filter("role <> 'user'").select(
         "conv_id",
-        F.concat(F.lit("t"), F.col("turn") - F.when(F.col("role") == "system", 0).otherwise(1)).alias("call_id"),
+        F.concat(F.lit("t"), F.col("turn") - (F.col("role") != "system").cast("int")).alias("call_id"),
         "turn",
         F.col("text").alias("content"),
     )
