@@ -22,7 +22,6 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,12 +113,12 @@ def parse(arguments: str | None) -> tuple[object, bool]:
     return value, isinstance(value, dict)
 
 
-def _peel(nodes: pd.DataFrame) -> pd.DataFrame:
-    """Levels of the calls of one conversation; -1 on cycles and behind them."""
-    known = set(nodes["call_id"])
+def _peel(calls: list[tuple]) -> list[int]:
+    """Levels of (call_id, depends_on) of one conversation; -1 on cycles and behind them."""
+    known = {call for call, _ in calls}
     open_deps, users = {}, {}
-    for call, deps in zip(nodes["call_id"], nodes["depends_on"], strict=True):
-        named = {d for d in (deps if deps is not None else ()) if d in known}
+    for call, deps in calls:
+        named = known.intersection(deps or ())
         open_deps[call] = len(named)
         for dep in named:
             users.setdefault(dep, []).append(call)
@@ -135,12 +134,35 @@ def _peel(nodes: pd.DataFrame) -> pd.DataFrame:
                 if not open_deps[user]:
                     following.append(user)
         ready, depth = following, depth + 1
-    return pd.DataFrame(
-        {
-            "conv_id": nodes["conv_id"],
-            "call_id": nodes["call_id"],
-            "level": [level.get(call, -1) for call in nodes["call_id"]],
-        }
+    return [level.get(call, -1) for call, _ in calls]
+
+
+def _peel_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of rows (conv_id, call_id, depends_on) in order of the conversation."""
+    current, calls = None, []
+    for batch in batches:
+        kinds = [batch.schema.field(n).type for n in (0, 1)]
+        done: list[tuple] = []
+        for conv, call, deps in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if calls and conv != current:
+                done.append((current, calls))
+                calls = []
+            current = conv
+            calls.append((call, deps))
+        if done:
+            yield _levels_batch(done, kinds)
+    if calls:
+        yield _levels_batch([(current, calls)], kinds)
+
+
+def _levels_batch(done: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([conv for conv, calls in done for _ in calls], kinds[0]),
+            pa.array([call for _, calls in done for call, _ in calls], kinds[1]),
+            pa.array([level for _, calls in done for level in _peel(calls)], pa.int32()),
+        ],
+        names=["conv_id", "call_id", "level"],
     )
 
 
@@ -179,7 +201,9 @@ def call_levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
     large = stored(sizes.filter(F.col("count") > together).select("conv_id"), "large-conversations")
     nodes = calls.select("conv_id", "call_id", "depends_on")
     small = join_same(nodes, large, ["conv_id"], "left_anti")
-    levels = small.groupBy("conv_id").applyInPandas(_peel, schema)
+    levels = (
+        small.repartition("conv_id").sortWithinPartitions("conv_id").mapInArrow(_peel_sorted, schema)
+    )
     if large.isEmpty():
         return levels
     rest = stored(join_same(nodes, large, ["conv_id"], "left_semi"), "large-calls")
