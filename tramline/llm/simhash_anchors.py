@@ -256,8 +256,11 @@ def one_of_each(
     classes = near_duplicates(documents, shingle, max_bits)
     keep = (
         classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id")
-        .distinct()
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("same__times"))
     )
-    kept = join_same(documents, keep, ["doc_id"], "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    kept = join_same(documents, keep, ["doc_id"], "inner")
+    # Few ids occur in several rows; only those are shuffled again.
+    once = kept.filter("same__times = 1")
+    several = kept.filter("same__times > 1").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(several).select(*documents.columns)
