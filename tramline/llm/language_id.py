@@ -157,9 +157,12 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
     )
     # At most PLACES + 1 rows for each language.
     counts: dict[str, np.ndarray] = {}
-    for lang, part in sums.toPandas().groupby("lang"):
+    found = sums.toArrow()
+    langs = found["lang"].to_numpy()
+    for lang in sorted(set(langs)):
+        own = langs == lang
         counts[lang] = np.zeros(PLACES + 1)
-        counts[lang][part["place"]] = part["n"]
+        counts[lang][found["place"].to_numpy()[own]] = found["n"].to_numpy()[own]
     if not counts:
         return Model()
     model = Model()

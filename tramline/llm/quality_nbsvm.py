@@ -211,9 +211,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     sums = gathered.filter("place is not null").groupBy("label", "place").agg(F.sum("n").alias("n"))
     # At most 2 * (FEATURES + 1) rows.
-    counted = sums.toPandas()
+    counted = sums.toArrow()
     counts = np.zeros((2, FEATURES + 1))
-    counts[counted["label"], counted["place"]] = counted["n"]
+    counts[counted["label"].to_numpy(), counted["place"].to_numpy()] = counted["n"].to_numpy()
     totals = counts[:, FEATURES]
     if not totals.all():
         share = float(totals[1] / totals.sum()) if totals.any() else 0.5
@@ -223,8 +223,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows, positive = [], []
     for label in (0, 1):
         chosen = gathered.filter((F.col("label") == label) & F.col("sampled").isNotNull())
-        for row in chosen.select("sampled").limit(sample).toPandas()["sampled"]:
-            rows.append(np.asarray(row, np.int32))
+        for places in chosen.select("sampled").limit(sample).toArrow()["sampled"]:
+            rows.append(places.values.to_numpy().astype(np.int32))
             positive.append(label == 1)
     if len(set(positive)) < 2:
         odds = np.log(totals[1] / totals[0])
