@@ -86,6 +86,47 @@ def test_template_text_is_no_slot(spark):
     assert found[201].text == "article 8 first\nShare this story\narticle 8 last"
 
 
+def article(*parts):
+    return body("<article>", *(f"<p>{part}</p>" for part in parts), "</article>")
+
+
+def texts_of(spark, pages):
+    rows = [(n, "https://a.example/", page, "h", "t") for n, page in enumerate(pages)]
+    found = collected(html_template.extract(pages_table(spark, rows)), "page_id")
+    return [found[n].text.split("\n") for n in range(len(pages))]
+
+
+def test_near_copies_count_once(spark):
+    lines = [f"line {n} of the copied story" for n in range(8)]
+    copies = [[*lines[:n], f"seen at {n}:00", *lines[n + 1 :]] for n in range(6)]
+    assert texts_of(spark, [article(*copy) for copy in copies]) == copies
+    shared = "share this"
+    others = [[f"a story of its own, number {n}", f"and its end {n}"] for n in range(5)]
+    pages = [article(*copy, shared) for copy in copies]
+    pages += [article(first, shared, last) for first, last in others]
+    assert texts_of(spark, pages) == copies + others
+
+
+def test_versions_that_drift_apart_count_once(spark):
+    versions = [[f"line {max(n, n + 10 * ((v - n + 9) // 10))} of a story" for n in range(10)] for v in range(12)]
+    assert texts_of(spark, [article(*version) for version in versions]) == versions
+
+
+def test_text_alone_in_its_class_is_no_template(spark):
+    stories = [[f"a story of its own, number {n}"] + ["as told before"] * (n < 5) for n in range(8)]
+    assert texts_of(spark, [article(*story) for story in stories]) == stories
+
+
+def test_members_out_of_order_are_no_template(spark):
+    def story(n, *ends):
+        return [f"a story of its own, number {n}, which goes on", *ends]
+
+    in_order = [story(n, "one", "two") for n in range(6)]
+    assert texts_of(spark, [article(*s) for s in in_order]) == [s[:1] for s in in_order]
+    mixed = [story(n, *(["one", "two"] if n % 2 else ["two", "one"])) for n in range(6)]
+    assert texts_of(spark, [article(*s) for s in mixed]) == mixed
+
+
 def test_awkward_rows(spark):
     rows = [(1, "http://x/", None, "", ""), (2, "", "", "", ""), (None, "no url", "<p>t", "", "")]
     found = html_template.extract(pages_table(spark, rows * 2)).collect()

@@ -5,11 +5,13 @@ above it. Over the pages of a host, tokens with the same occurrence vector (as o
 same pages) form a class; a class is valid if it covers at least half of the host's pages, and
 `MIN_PAGES` of them. Vectors are compared by their sum of hashed (page, count) pairs, which adds
 up in steps, so no task gathers a host. Pages that agree in all blocks outside of menus and the
-like count once: copies of an article are no template. Classes nest by path: text of a valid class
-that lies in an element of a valid class is template text, and what else a page holds is in the
-slots. Slots in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out, by the names
-of the elements around them; of a page with an article (or else a main) element, the slots in it
-are the text, else all slots that are not lists of links.
+like count once, and so do near copies: a page with over half of its text on other pages of the
+host counts as one with the page that had most of it first. Copies of an article are no template.
+Text is template text if its class is valid, has several members, which come in one order on every
+page, and the element around it is of a valid class; text alone in its class stays. What else a
+page holds is in the slots. Slots in menus, headers, footers, sidebars, notices, adverts, forms
+and comments are left out, by the names of the elements around them; of a page with an article
+(or else a main) element, the slots in it are the text, else all slots that are not lists of links.
 
 Defined cases: a null or empty page has an empty text; a page without a host takes part in no
 template; tags that are never closed, or cut off by the end of the page, end with the page;
@@ -109,6 +111,7 @@ class Block:
     aside: bool
     content: str
     linked: int  # characters inside links
+    after: int  # how many different start tags came before
 
 
 def _is_aside(name: str, attributes: str) -> bool:
@@ -190,7 +193,9 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
             joined = _SPACE.sub(" ", "".join(part for part, _ in parts)).strip()
             if joined:
                 linked = sum(len(part.strip()) for part, link in parts if link)
-                blocks.append(Block(holder.path, joined, holder.aside, holder.content, linked))
+                blocks.append(
+                    Block(holder.path, joined, holder.aside, holder.content, linked, len(tags))
+                )
             parts.clear()
 
     at = 0
@@ -246,10 +251,14 @@ def tag_token(path: str) -> int:
 
 
 def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page_key, token, parent, times) of every token of every page with a host."""
-    names = ["host", "page", "token", "parent", "times"]
+    """(host, page_key, raw, token, parent, times, place, size) of every token of pages with a host.
+
+    `raw` tells pages of one key apart, `place` is that of the first occurrence on the page, and
+    `size` counts the characters that a text has in the slots.
+    """
+    names = ["host", "page", "raw", "token", "parent", "times", "place", "size"]
     for batch in batches:
-        columns: list[list] = [[], [], [], [], []]
+        columns: list[list] = [[] for _ in names]
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             host = host_of(url)
             if host is None or not page:
@@ -257,73 +266,157 @@ def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tags, blocks = parse(page)
             key = _hash("page", *(b.text for b in blocks if not b.aside))
             texts = Counter((text_token(b), tag_token(b.path)) for b in blocks)
+            seen = [(n, 1, tag_token(path)) for n, path in enumerate(tags)]
+            seen += [(block.after, 0, text_token(block)) for block in blocks]
+            seen.sort(key=lambda found: found[:2])
+            places: dict[int, int] = {}
+            for place, (_, _, token) in enumerate(seen):
+                places.setdefault(token, place)
+            sizes: Counter = Counter()
+            for block in _slots(blocks):
+                sizes[text_token(block)] += len(block.text)
             rows = [(tag_token(p), None, n) for p, n in tags.items()]
             rows += [(token, parent, n) for (token, parent), n in texts.items()]
-            for token, parent, times in rows:
-                for column, value in zip(columns, (host, key, token, parent, times), strict=True):
+            own = (host, key, _hash("raw", page))
+            for row in rows:
+                for column, value in zip(columns, (*own, *row, places[row[0]], sizes[row[0]]), strict=True):
                     column.append(value)
             if len(columns[0]) > 50_000:
                 yield _batch(columns, names)
-                columns = [[], [], [], [], []]
+                columns = [[] for _ in names]
         if columns[0]:
             yield _batch(columns, names)
 
 
 def _batch(columns: list[list], names: list[str]) -> pa.RecordBatch:
-    types = [pa.string(), *[pa.int64()] * 4]
+    types = [pa.string(), *[pa.int64()] * 7]
     arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def near_copies(tokens: DataFrame) -> DataFrame:
+    """(host, page, original) of pages with over half of their text on other pages of the host.
+
+    Each shared text speaks for the least page that has it; a page goes to the one that most of
+    its text speaks for, and from there on to that page's own. Pages only go to lesser ones.
+    """
+    texts = tokens.filter("size > 0").select("host", "page", "token", "size")
+    shared = (
+        texts.groupBy("host", "token")
+        .agg(F.min("page").alias("first"), F.max("page").alias("last"))
+        .filter("first < last")
+        .select("host", "token", "first")
+    )
+    by_first = (
+        texts.join(shared, ["host", "token"], "left")
+        .groupBy("host", "page", "first")
+        .agg(F.sum("size").alias("size"))
+    )
+    best = F.max(F.when(F.col("first").isNotNull(), F.struct("size", F.bitwise_not("first"), "first")))
+    copies = (
+        by_first.groupBy("host", "page")
+        .agg(
+            F.sum("size").alias("all"),
+            F.sum(F.when(F.col("first").isNotNull(), F.col("size"))).alias("shared"),
+            best["first"].alias("original"),
+        )
+        .filter("2 * shared > all and original < page")
+        .select("host", "page", "original")
+    )
+    copies = stored(copies, "near-copies")
+    while True:
+        above = copies.select("host", F.col("page").alias("original"), F.col("original").alias("next"))
+        if copies.join(above, ["host", "original"], "left_semi").isEmpty():
+            return copies
+        jumped = copies.join(above, ["host", "original"], "left")
+        copies = stored(
+            jumped.select("host", "page", F.coalesce("next", "original").alias("original")),
+            "near-copies",
+        )
+
+
 def deduce_templates(pages: DataFrame) -> DataFrame:
     """(host, template): the text tokens of valid classes that lie in elements of valid classes."""
-    tokens = pages.select("url", "html").mapInArrow(
-        _page_tokens, "host string, page long, token long, parent long, times long"
+    tokens = stored(
+        pages.select("url", "html").mapInArrow(
+            _page_tokens,
+            "host string, page long, raw long, token long, parent long, times long, place long, "
+            "size long",
+        ),
+        "page-tokens",
     )
     # Copies of one article are one entry of the vectors.
-    entries = tokens.groupBy("host", "token", "parent", "page").agg(F.max("times").alias("times"))
+    own = tokens.join(near_copies(tokens), ["host", "page"], "left")
+    entries = (
+        own.withColumn("article", F.coalesce("original", "page"))
+        .groupBy("host", "token", "parent", "article")
+        .agg(F.max("times").alias("times"), F.max("size").alias("size"))
+    )
     vectors = stored(
         entries.groupBy("host", "token", "parent").agg(
             F.count("*").alias("support"),
-            F.sum(F.xxhash64("page", "times").cast("decimal(38,0)")).alias("vector"),
+            F.sum(F.xxhash64("article", "times").cast("decimal(38,0)")).alias("vector"),
+            F.max("size").alias("size"),
         ),
         "token-vectors",
     )
     # A token of every page: the largest support of a host is its number of pages.
     hosts = vectors.groupBy("host").agg(F.max("support").alias("pages"))
-    classes = (
-        vectors.groupBy("host", "vector", "support")
-        .agg(F.count("*").alias("members"))
-        .join(hosts, "host")
-        .filter((F.col("support") >= MIN_PAGES) & (F.col("support") >= MIN_SHARE * F.col("pages")))
+    valid = vectors.join(hosts, "host").filter(
+        (F.col("support") >= MIN_PAGES) & (F.col("support") >= MIN_SHARE * F.col("pages"))
     )
-    valid = vectors.join(classes, ["host", "vector", "support"], "left_semi")
     elements = valid.filter("parent is null").select("host", F.col("token").alias("parent"))
+    # Only text that would be in a slot is looked for.
+    classes = (
+        valid.groupBy("host", "vector", "support")
+        .agg(F.count("*").alias("members"), F.max("size").alias("size"))
+        .filter("members > 1 and size > 0")
+    )
+    members = stored(
+        valid.join(classes.drop("size"), ["host", "vector", "support"]).select(
+            "host", "token", "parent", "vector", "support", "size", "members"
+        ),
+        "class-members",
+    )
+    # Of near copies, those that lack a member say nothing about the order.
+    orders = (
+        tokens.select("host", "raw", "token", "place")
+        .join(members.drop("parent", "size"), ["host", "token"])
+        .groupBy("host", "raw", "vector", "support", "members")
+        .agg(F.sort_array(F.collect_set(F.struct("place", "token")))["token"].alias("order"))
+        .filter(F.size("order") == F.col("members"))
+        .groupBy("host", "vector", "support")
+        .agg(F.min(F.xxhash64("order")).alias("least"), F.max(F.xxhash64("order")).alias("most"))
+    )
+    ordered = orders.filter("least = most").select("host", "vector", "support")
     return (
-        valid.filter("parent is not null")
+        members.filter("parent is not null and size > 0")
+        .join(ordered, ["host", "vector", "support"], "left_semi")
         .join(elements, ["host", "parent"], "left_semi")
         .groupBy("host")
         .agg(F.collect_set("token").alias("template"))
     )
 
 
-def main_text(page: str | None, template: frozenset[int]) -> str:
-    """The slots of the article, one block per line."""
-    if not page:
-        return ""
-    _, blocks = parse(page)
+def _slots(blocks: list[Block]) -> Iterator[Block]:
+    """The blocks of the article, or of a page without one."""
     contents = {block.content for block in blocks if not block.aside}
     wanted = "article" if "article" in contents else "main" if "main" in contents else None
-    kept = []
     for block in blocks:
         if block.aside or (wanted and block.content != wanted):
             continue
         if not wanted and 2 * block.linked > len(block.text):
             continue
-        if template and text_token(block) in template:
-            continue
-        kept.append(block.text)
-    return "\n".join(kept)
+        yield block
+
+
+def main_text(page: str | None, template: frozenset[int]) -> str:
+    """The slots of the article, one block per line."""
+    if not page:
+        return ""
+    _, blocks = parse(page)
+    kept = (b for b in _slots(blocks) if not template or text_token(b) not in template)
+    return "\n".join(block.text for block in kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
