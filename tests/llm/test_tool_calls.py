@@ -1,4 +1,5 @@
 import json
+import random
 
 import duckdb
 import pytest
@@ -86,6 +87,39 @@ def test_long_chain_in_one_task(spark):
     assert levels == {f"c{n}": n for n in range(3000)}
 
 
+def levels_of(spark, calls, together):
+    frame = spark.createDataFrame(calls, "conv_id long, call_id string, depends_on array<string>")
+    rows = tool_calls.call_levels(frame, together).collect()
+    found = {(r.conv_id, r.call_id): r.level for r in rows}
+    assert len(found) == len(rows) == len(calls)
+    return found
+
+
+def test_chain_well_over_the_bound(spark, monkeypatch):
+    writes = []
+    stored = tool_calls.stored
+
+    def counted(frame, label):
+        writes.append(label)
+        assert len(writes) < 60
+        return stored(frame, label)
+
+    monkeypatch.setattr(tool_calls, "stored", counted)
+    calls = [(1, f"c{n}", [f"c{n - 1}"]) for n in range(50_000)]
+    found = levels_of(spark, calls, tool_calls.TOGETHER)
+    assert found == {(1, f"c{n}"): n for n in range(50_000)}
+
+
+def test_chains_that_meet_part_and_loop(spark):
+    rng = random.Random(5)
+    calls = [(1, f"c{n}", [f"c{n - 1}", f"c{n - 1 - n % 3}"]) for n in range(30)]
+    calls += [(2, f"c{n}", [f"c{rng.randrange(60)}" for _ in range(n % 3)]) for n in range(50)]
+    calls += [(3, f"c{n}", rng.sample([f"c{m}" for m in range(n)], min(n, n % 4))) for n in range(60)]
+    calls += [(4, "a", ["c"]), (4, "b", ["a"]), (4, "c", ["b"]), (4, "d", ["c", "e"]), (4, "e", None)]
+    calls += [(5, "a", ["a"]), (5, "b", ["a"]), (5, "c", [None, "gone"]), (5, "d", ["c", "c"])]
+    assert levels_of(spark, calls, 1) == levels_of(spark, calls, 1000)
+
+
 def test_violations():
     broken = tool_calls.violations
     assert broken({"a": 1}, SCHEMA) == []

@@ -2,10 +2,14 @@
 
 Calls and results are joined by conversation and identifier. A call may name calls it depends
 on; its level is one more than the highest level among them, so an order by (level, turn) is
-topological. Levels are found by peeling calls whose dependencies all have one: inside one task
-for a conversation of up to `TOGETHER` calls, else in rounds over the whole table, one for
-each level. Arguments are checked against the schema of the called tool. Each call, with its
-results, becomes one line of JSON with sorted keys, no spare white space and shortest numbers.
+topological. Levels are found by peeling calls whose dependencies all have one, inside one task
+for a conversation of up to `TOGETHER` calls. In larger ones the calls that wait for one call only
+are chains, whose lengths pointer doubling finds in rounds that grow with the logarithm of the
+longest; the calls left then wait for ends of chains, and the same is done with them until none is
+left. So rounds grow with how often chains meet one after the other (in each call, if each waits
+for the last two), not with levels. Arguments are checked against the schema of the called tool.
+Each call, with its results, becomes one line of JSON with sorted keys, no spare white space and
+shortest numbers.
 
 Defined cases: a call without a result has `status` "pending"; a result without a call "orphan";
 a null identifier links to nothing. Of calls that share an identifier the first by turn is the
@@ -166,31 +170,76 @@ def _levels_batch(done: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch
     )
 
 
-def _peel_in_rounds(nodes: DataFrame) -> DataFrame:
-    """The same levels over any number of calls, one round for each level."""
+def _contract_chains(nodes: DataFrame) -> DataFrame:
+    """The same levels over any number of calls, by chains.
+
+    An edge leads from a call to one it waits for, or to null, the start of all, with the most
+    levels between them. A call with one edge is a link of a chain.
+    """
     key = ["conv_id", "call_id"]
-    named = nodes.select("conv_id", F.col("call_id"), F.explode_outer("depends_on").alias("dep"))
-    callee = nodes.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("is_call"))
-    edges = stored(
-        join_same(named.filter("dep is not null").distinct(), callee, ["conv_id", "dep"], "inner")
-        .select("conv_id", "call_id", "dep"),
-        "call-edges",
-    )
-    rest = stored(nodes.select(*key), "calls")
-    levels, depth = None, 0
+    named = nodes.select(*key, F.explode_outer("depends_on").alias("dep"))
+    callee = nodes.select("conv_id", F.col("call_id").alias("dep"))
+    known = join_same(
+        named.filter("dep is not null").distinct(), callee, ["conv_id", "dep"], "left_semi"
+    ).withColumn("far", F.lit(1).cast("long"))
+    known = stored(known, "call-edges")
+    starts = join_same(nodes.select(*key), known.select(*key).distinct(), key, "left_anti")
+    none = F.lit(None).cast(nodes.schema["call_id"].dataType)
+    starts = starts.select(*key, none.alias("dep"), F.lit(0).cast("long").alias("far"))
+    edges = stored(known.unionByName(starts), "call-edges")
+    rounds = []
     while True:
-        blocked = edges.select(*key).distinct()
-        ready = stored(
-            join_same(rest, blocked, key, "left_anti").withColumn("level", F.lit(depth)), "level"
+        waits = edges.groupBy(*key).agg(
+            F.count("*").alias("n"), F.max("dep").alias("dep"), F.max("far").alias("far")
+        )
+        links = stored(waits.filter("n = 1").drop("n"), "call-links")
+        count = links.count()
+        if not count:
+            break
+        # After so many doublings only links on a cycle, or behind one, still lead to links.
+        for _ in range(count.bit_length()):
+            if _behind(links, links, "left_semi").isEmpty():
+                break
+            links = stored(_through(links, links), "call-links")
+        rounds.append(links)
+        rest = join_same(edges, links.select(*key), key, "left_anti")
+        edges = stored(
+            _through(rest, links).groupBy(*key, "dep").agg(F.max("far").alias("far")), "call-edges"
         )
-        if ready.isEmpty():
-            last = rest.withColumn("level", F.lit(-1))
-            return last if levels is None else levels.unionByName(last)
-        levels = ready if levels is None else levels.unionByName(ready)
-        done = ready.select("conv_id", F.col("call_id").alias("dep"))
-        edges = stored(join_same(edges, done, ["conv_id", "dep"], "left_anti"), "call-edges")
-        rest = stored(join_same(rest, ready.select(*key), key, "left_anti"), "calls")
-        depth += 1
+    # What waits for several calls to the end is on a cycle or behind one.
+    left = edges.select(*key).distinct().withColumn("level", F.lit(-1).cast("long"))
+    levels = stored(left, "call-levels")
+    for links in reversed(rounds):
+        ends = levels.select(
+            F.col("conv_id").alias("end_conv"), F.col("call_id").alias("end"), "level"
+        )
+        met = (F.col("conv_id").eqNullSafe(F.col("end_conv"))) & (F.col("dep") == F.col("end"))
+        level = (
+            F.when(F.col("dep").isNull(), F.col("far"))
+            .when(F.col("level") >= 0, F.col("level") + F.col("far"))
+            .otherwise(-1)
+        )
+        found = links.join(ends, met, "left").select(*key, level.alias("level"))
+        levels = stored(levels.unionByName(found), "call-levels")
+    return levels
+
+
+def _behind(edges: DataFrame, links: DataFrame, how: str) -> DataFrame:
+    """Edges with the link that starts where they lead to, if any."""
+    after = links.toDF("link_conv", "link", "next", "farther")
+    met = (F.col("conv_id").eqNullSafe(F.col("link_conv"))) & (F.col("dep") == F.col("link"))
+    return edges.join(after, met, how)
+
+
+def _through(edges: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges that lead to a link lead on to where it leads."""
+    linked = F.col("link").isNotNull()
+    return _behind(edges, links, "left").select(
+        "conv_id",
+        "call_id",
+        F.when(linked, F.col("next")).otherwise(F.col("dep")).alias("dep"),
+        (F.col("far") + F.when(linked, F.col("farther")).otherwise(0)).alias("far"),
+    )
 
 
 def call_levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
@@ -207,7 +256,7 @@ def call_levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
     if large.isEmpty():
         return levels
     rest = stored(join_same(nodes, large, ["conv_id"], "left_semi"), "large-calls")
-    return levels.unionByName(_peel_in_rounds(rest).selectExpr("conv_id", "call_id", "level"))
+    return levels.unionByName(_contract_chains(rest).selectExpr("conv_id", "call_id", "int(level) level"))
 
 
 def _formatted(schemas: dict[str, dict]):
