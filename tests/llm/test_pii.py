@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -79,6 +80,24 @@ def test_similar_tokens_take_the_label_across_the_document():
     assert set(base) <= set(spans) and all(kind.startswith("like_") for kind, _, _ in added + alone)
 
 
+def test_evidence_reaches_every_occurrence():
+    labels = len(pii_crf.LABELS)
+    # Only links tell: nothing by shape or neighbour.
+    plain = pii_crf.Field(
+        np.zeros((3 * pii_crf.WIDTH, labels)), np.zeros((labels, labels)), 6 * np.eye(labels)
+    )
+    number, again = "call +1 (212) 555-0187 now", " or dial 212-555-0187 again" * 40
+    for text in (number + again, again + " or " + number):
+        base = pii_crf.base_spans(text)
+        assert [kind for kind, _, _ in base] == ["phone"]
+        found = pii_crf.tokens(text, base)
+        repeated = [n for n, word in enumerate(found.words) if word == "212-555-0187"]
+        chances = plain.chances(found)[repeated]
+        assert len(chances) == 40 and chances[:, 4].min() > pii_crf.SURE
+        added = [span for span in pii_crf.find_spans(text, plain)[1] if span not in base]
+        assert [text[s:e] for kind, s, e in added if kind == "like_phone"] == ["212-555-0187"] * 40
+
+
 def test_messages_agree_with_enumeration_on_a_tree():
     trained = field()
     text = "call +1 (212) 555-0187 and 12 34"
