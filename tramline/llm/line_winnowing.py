@@ -2,10 +2,11 @@
 
 A run is a stretch of consecutive non-blank lines. Every line opens the shortest run of at
 least `min_words` words that starts with it and closes the shortest one that ends with it.
-The smallest line hash of such a window is its fingerprint. Two equal stretches of at least
-`min_words` words hold equal windows, so they select equal minima: none can be missed. Windows
-are joined by fingerprint and content. The windows that start and end at each line of a match
-extend it both ways, so a repeated stretch is covered from its first line to its last.
+Two equal stretches of at least `min_words` words hold equal windows, so none can be missed. All
+windows are kept and joined by content, a digest of their line hashes; the smallest line hash, the
+fingerprint, is part of the key but selects nothing, as joining selected minima would pair all
+places of a common line. The windows that start and end at each line of a match cover a repeated
+stretch from its first line to its last.
 
 A window is a repeat if an equal one came before it, by doc_id and then by line, and if the
 two do not overlap inside one document. All lines of repeats are deleted, with blank lines
