@@ -3,7 +3,7 @@ import zipfile
 from tests.helpers import at
 from tests.test_sources import STOP_TIMES
 from tramline import schemas
-from tramline.plans.daily import BY_MINUTE, run_daily
+from tramline.plans.daily import BY_MINUTE, load_warehouse, run_daily
 from tramline.sources.feeds import flatten_trip_updates, flatten_vehicle_positions
 
 EPOCH = 1757664000  # 08:00 UTC on 12 September 2025
@@ -125,3 +125,19 @@ def test_archives_and_earlier_files(spark, tmp_path):
         ("2025-09-13", "03", 2.0, 1),
     ]
     assert rows(results["trips_plus_routes"])[0] == ("A", "r1", "North", "1", "Line 1")
+
+
+def test_line_breaks_in_a_zipped_timetable(spark, tmp_path):
+    write_timetable(tmp_path / "gtfs")
+    (tmp_path / "gtfs" / "trips.txt").write_text('trip_id,route_id,headsign\nA,r1,"North\nEnd"\n')
+    with zipfile.ZipFile(tmp_path / "gtfs.zip", "w") as archive:
+        for file in (tmp_path / "gtfs").iterdir():
+            archive.write(file, file.name)
+    loaded = [
+        load_warehouse(
+            spark, str(tmp_path / given), *feeds_of(spark, 120), str(tmp_path / f"w{n}"), True
+        )
+        for n, given in enumerate(("*.zip", "gtfs"))
+    ]
+    for tables in loaded:
+        assert rows(tables["trips"].select("trip_id", "headsign")) == [("A", "North\nEnd")]

@@ -199,6 +199,15 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert rows(table) == [("1", "two\nlines")]
 
 
+def test_quoted_line_breaks_in_archives(spark, tmp_path):
+    text = 'stop_id,stop_name\n1,"two\n\nlines, ""so"""\n2,3" wide\n"4",\n\n5,"""open\n"\n'
+    (tmp_path / "g.zip").write_bytes(zipped({"stops.txt": text}))
+    (tmp_path / "stops.txt").write_text(text)
+    whole = rows(archives.load_archives(spark, f"{tmp_path}/*.zip", multiline=True)["stops"])
+    assert whole == rows(timetable.load_timetable(spark, str(tmp_path), multiline=True)["stops"])
+    assert whole == [("1", 'two\n\nlines, "so"'), ("2", '3" wide'), ("4", None), ("5", '"open\n')]
+
+
 def test_snapshots_with_drifting_headers(spark, tmp_path):
     (tmp_path / "avg_delay_by_stop_20250912_100000.csv").write_text(
         "stop_id,stop_name,stop_lat,stop_lon,avg_delay_min\n1,A,43.5,7.25,1.5\n"

@@ -46,15 +46,17 @@ def load_warehouse(
     trip_updates: DataFrame,
     vehicle_positions: DataFrame,
     warehouse: str,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the tables of one run: the timetable, both feeds and the delays.
 
-    `timetable` is a folder of unpacked text tables, or a glob that ends with .zip.
+    `timetable` is a folder of unpacked text tables, or a glob that ends with .zip;
+    `multiline` takes line breaks inside its quoted fields.
     """
     if timetable.endswith(".zip"):
-        sources = load_archives(spark, timetable, TYPED_TABLES)
+        sources = load_archives(spark, timetable, TYPED_TABLES, multiline)
     else:
-        sources = load_timetable(spark, timetable, TYPED_TABLES)
+        sources = load_timetable(spark, timetable, TYPED_TABLES, multiline)
     sources["trips_updates"] = with_update_times(trip_updates)
     sources["vehicle_positions"] = with_vehicle_time(vehicle_positions)
     loaded = {
@@ -131,13 +133,17 @@ def run_daily(
     as_of: dt.datetime | str | None = None,
     watched_stops: tuple[str, ...] | None = history.WATCHED_STOPS,
     earlier: Mapping[str, Sequence[str]] | None = None,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Load and answer.  Give `stamp` and `as_of` to repeat an earlier run.
 
     "Now" is taken once, for the label and for the heatmap.  `earlier` names snapshot
     files from elsewhere by question, such as `{BY_MINUTE: ["old/avg_delay_by_minute_*.csv"]}`.
+    `multiline` takes line breaks inside quoted fields of the timetable.
     """
     now = dt.datetime.now(dt.timezone.utc)
     run = DailyRun(warehouse_dir, export_dir, stamp or run_stamp(now))
-    loaded = load_warehouse(spark, timetable, trip_updates, vehicle_positions, run.tables)
+    loaded = load_warehouse(
+        spark, timetable, trip_updates, vehicle_positions, run.tables, multiline
+    )
     return answer_questions(spark, loaded, run, as_of or now, watched_stops, earlier)

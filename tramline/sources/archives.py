@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
@@ -21,6 +22,7 @@ HEADERS_SCHEMA = "archive string, table_name string, header string"
 BATCH_LINES = 10_000
 # No quoted field is cut: the parser's own limit is switched off.
 CSV_OPTIONS = {"escape": '"', "maxCharsPerColumn": "-1"}
+_QUOTE_OPENS = re.compile(r'(?:^|,)"')
 
 
 def read_archives(spark: SparkSession, pattern: str) -> DataFrame:
@@ -31,8 +33,38 @@ def read_archives(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", "content")
 
 
+def _is_open(line: str, is_open: bool) -> bool:
+    """Whether a quoted field is open after the line; two quotes inside one are a character."""
+    at = 0
+    while True:
+        if is_open:
+            at = line.find('"', at)
+            if at < 0:
+                return True
+            is_open = line.startswith('""', at)
+            at += 1 + is_open
+        else:
+            opening = _QUOTE_OPENS.search(line, at)
+            if opening is None:
+                return False
+            is_open, at = True, opening.end()
+
+
+def _records(lines: Iterator[str]) -> Iterator[str]:
+    """Physical lines, joined while a quoted field is open."""
+    parts: list[str] = []
+    for line in lines:
+        is_open = _is_open(line, bool(parts))
+        parts.append(line)
+        if not is_open:
+            yield "\n".join(parts)
+            parts = []
+    if parts:
+        yield "\n".join(parts)
+
+
 def _members(
-    batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None
+    batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None, multiline: bool
 ) -> Iterator[tuple[str, str, Iterator[str]]]:
     """(archive, table, lines) of each text table; members not wanted are not opened."""
     for batch in batches:
@@ -43,7 +75,8 @@ def _members(
                     if member.endswith(SUFFIX) and (wanted is None or table in wanted):
                         with archive.open(member) as raw:
                             text = io.TextIOWrapper(raw, encoding="utf-8-sig")
-                            yield path.as_py(), table, (line.rstrip("\n") for line in text)
+                            lines = (line.rstrip("\n") for line in text)
+                            yield path.as_py(), table, _records(lines) if multiline else lines
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -52,25 +85,28 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
 
 
-def archive_headers(archives: DataFrame) -> DataFrame:
+def archive_headers(archives: DataFrame, multiline: bool = False) -> DataFrame:
     """(archive, table_name, header) of every text table; only first lines are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, table, lines in _members(batches, None):
+        for path, table, lines in _members(batches, None, multiline):
             yield _batch([(path, table, next(lines, ""))], HEADERS_SCHEMA)
 
     return archives.select("path", "content").mapInArrow(run, HEADERS_SCHEMA)
 
 
-def expand_archives(archives: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+def expand_archives(
+    archives: DataFrame, tables: Sequence[str] | None = None, multiline: bool = False
+) -> DataFrame:
     """(path, content) to one row per data line of the wanted tables, text as it stands.
 
-    Lines leave in batches, never a whole archive; blank lines are none.
+    Lines leave in batches, never a whole archive; blank lines are none.  `multiline`
+    keeps line breaks inside quoted fields in one row.
     """
     wanted = None if tables is None else frozenset(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, table, lines in _members(batches, wanted):
+        for path, table, lines in _members(batches, wanted, multiline):
             header = next(lines, "")
             pending = []
             for line in lines:
@@ -113,23 +149,30 @@ def archive_table(
 
 
 def load_archives(
-    spark: SparkSession, pattern: str, types: Mapping[str, T.StructType] | None = None
+    spark: SparkSession,
+    pattern: str,
+    types: Mapping[str, T.StructType] | None = None,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Every text table of the zips a glob names, as `load_timetable` gives the files of a folder.
 
-    Each table reads its own member of each zip only.
+    Each table reads its own member of each zip only.  `multiline` takes line breaks
+    inside quoted fields.
     """
     archives = read_archives(spark, pattern)
     # One row per distinct header of a table.
     found: dict[str, list[str]] = {}
-    for row in archive_headers(archives).select("table_name", "header").distinct().collect():
+    headers = archive_headers(archives, multiline).select("table_name", "header").distinct()
+    for row in headers.collect():
         found.setdefault(row.table_name, []).append(row.header)
     return {
         name: finished(
-            archive_table(expand_archives(archives, [name]), name, sorted(headers)).drop("archive"),
+            archive_table(
+                expand_archives(archives, [name], multiline), name, sorted(own)
+            ).drop("archive"),
             name,
             types,
         )
-        for name, headers in sorted(found.items())
-        if any(headers)
+        for name, own in sorted(found.items())
+        if any(own)
     }
