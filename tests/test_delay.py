@@ -189,6 +189,14 @@ def test_feed_and_timetable_are_shuffled_once(spark):
     assert "Window" not in executed
 
 
+def test_repeats_of_a_first_stop_are_not_gathered(spark):
+    feed_rows = [("A", 0, at(8, n % 3)) for n in range(30)] + [("A", 0, None), ("A", 1, at(9))]
+    plan_rows = [("A", 0, "s1", 28800), ("A", 0, "s2", 28800), ("A", 0, "s3", 28860), ("A", 1, "s4", 32400)]
+    delays = delay.trip_relative_delays(feed(spark, feed_rows), plan(spark, plan_rows))
+    assert as_events(delays) == brute_force(feed_rows, plan_rows)
+    assert "collect_list" not in delays._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_service_day(spark):
     rows = [("A", 1, at(8, 5)), ("A", 2, None)]
     found = delay.service_day_delays(feed(spark, rows), plan(spark, PLAN))

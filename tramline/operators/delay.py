@@ -57,9 +57,10 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     splits a hot trip there.  A window over the trip would shuffle less but put
     all its events in one task.
 
-    The origins come from the same joined rows, grouped as they lie.  They keep the stop
-    in their list, so both branches need the same columns of feed and timetable, and
-    each is shuffled once.
+    The origins come from the same joined rows, grouped as they lie.  They are grouped by
+    stop too, so both branches need the same columns of feed and timetable, and each is
+    shuffled once.  Equal origins are one row with a count, which the join carries: no
+    row grows with how often a first stop repeats.
     """
     known = _observed(trips_updates).filter(
         F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()
@@ -69,15 +70,17 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     origin = F.unix_micros("arrival_dt_utc") - F.col("arrival_time_sec") * MICROS_PER_SECOND
     origins = (
         scheduled.join(first, EVENT_KEY)
-        .groupBy(*EVENT_KEY)
-        .agg(F.collect_list(F.struct("stop_id", origin.alias("origin_us"))).alias("first"))
-        .select("trip_id", F.explode("first").alias("first"))
-        .select("trip_id", F.col("first.origin_us").alias("origin_us"))
-        .filter(F.col("origin_us").isNotNull())
+        .withColumn("origin_us", origin)
+        .groupBy(*EVENT_KEY, "stop_id", "origin_us")
+        .agg(F.count("origin_us").alias("times"))
+        # Unlike a filter on the origin, this one is not pushed into one branch.
+        .filter("times > 0")
+        .select("trip_id", "origin_us", "times")
     )
     scheduled_us = F.col("origin_us") + F.col("arrival_time_sec") * MICROS_PER_SECOND
     return (
         scheduled.join(origins, "trip_id")
+        .withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
         .withColumn("scheduled_ts_utc", F.timestamp_micros(scheduled_us))
         .select(
             *EVENT_KEY,
