@@ -12,6 +12,7 @@ from tramline.llm import (
     html_template,
     language_id,
     line_winnowing,
+    minhash_postings,
     paragraph_sketch,
     pii_crf,
     positional_index,
@@ -149,6 +150,11 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of the shingle set and class of every document."""
+    return minhash_postings.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -161,6 +167,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
+        "op11_minhash_near_dedup": op11_minhash_near_dedup,
     }
 
 
@@ -284,10 +291,42 @@ SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words,
 FROM tokens t LEFT JOIN hits h USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
+MINHASH_SQL = r"""
+WITH RECURSIVE tokens AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS shingle
+    FROM tokens, unnest(range(1, greatest(1, len(words) - 3) + 1)) AS u(i)
+    WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM tokens
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), named AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+       doc_id = component_id AS kept
+FROM named LEFT JOIN sizes USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_tool_calls": TOOL_CALLS_SQL,
         "op7_line_dedup": LINE_DEDUP_SQL,
         "op9_decontamination": DECONTAMINATION_SQL,
+        "op11_minhash_near_dedup": MINHASH_SQL,
     }
