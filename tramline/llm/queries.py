@@ -13,7 +13,9 @@ from tramline.llm import (
     language_id,
     line_winnowing,
     minhash_postings,
+    negative_joins,
     paragraph_sketch,
+    phrase_subtrees,
     pii_crf,
     positional_index,
     quality_nbsvm,
@@ -155,6 +157,25 @@ def op11_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_postings.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of every language whose words occur together most."""
+    return phrase_subtrees.mine(read_table(spark, folder, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its positives."""
+    embeddings = read_table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings.filter(
+        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & negative_joins.usable("embedding")
+    ).select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        label.alias("label"),
+        negative_joins.scaled("embedding", 256).alias("vector"),
+    )
+    return negative_joins.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -168,6 +189,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
         "op11_minhash_near_dedup": op11_minhash_near_dedup,
+        "op12_phrase_collocations": op12_phrase_collocations,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -322,6 +345,66 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM named LEFT JOIN sizes USING (doc_id)
 """
 
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+    FROM documents, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS u(piece)
+), phrases AS (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM pieces, unnest(range(1, 6)) AS s(size), unnest(range(1, len(words) - size + 2)) AS u(i)
+    GROUP BY lang, size, phrase
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE size = 1 GROUP BY lang
+), frequent AS (
+    SELECT * FROM phrases WHERE f >= 100
+), cuts AS (
+    SELECT c.lang, c.phrase, c.size, c.f AS a, k, x.f AS l, y.f AS r, n,
+           (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+    FROM frequent c, unnest(range(1, c.size)) AS u(k), totals t, frequent x, frequent y
+    WHERE c.size > 1 AND t.lang = c.lang AND x.lang = c.lang AND y.lang = c.lang
+      AND x.phrase = array_to_string(string_split(c.phrase, ' ')[1 : k], ' ')
+      AND y.phrase = array_to_string(string_split(c.phrase, ' ')[k + 1 : c.size], ' ')
+), lowest AS (
+    SELECT lang, phrase, size, a, n, l, r, score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+    SELECT DISTINCT b.lang, array_to_string(string_split(b.phrase, ' ')[i : i + m - 1], ' ') AS phrase, b.a
+    FROM lowest b, unnest(range(2, b.size)) AS s(m), unnest(range(1, b.size - m + 2)) AS u(i)
+), apart AS (
+    SELECT * FROM lowest c WHERE NOT EXISTS (
+        SELECT 1 FROM held h WHERE h.lang = c.lang AND h.phrase = c.phrase AND h.a >= c.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM apart QUALIFY rank <= 2000
+"""
+
+NEGATIVES_SQL = r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+           CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                               ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT alike
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -329,4 +412,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": LINE_DEDUP_SQL,
         "op9_decontamination": DECONTAMINATION_SQL,
         "op11_minhash_near_dedup": MINHASH_SQL,
+        "op12_phrase_collocations": COLLOCATIONS_SQL,
+        "op13_hard_negatives": NEGATIVES_SQL,
     }
