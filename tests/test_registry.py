@@ -1,4 +1,7 @@
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -33,6 +36,21 @@ def test_entry(spark):
     assert entry(spark).columns == ["route_id", "avg_delay_min"]
 
 
+@pytest.mark.parametrize("without", [("tramline/llm",), ("tramline/llm", "corpus_pipeline.py")])
+def test_the_rest_works_without_the_training_operators(tmp_path, without):
+    root = Path(__file__).parent.parent
+    copy = tmp_path / "copy"
+    copy.mkdir()
+    shutil.copytree(root / "tramline", copy / "tramline", ignore=shutil.ignore_patterns(
+        "__pycache__", *(Path(p).name for p in without)))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if name not in without and (root / name).exists():
+            shutil.copy(root / name, copy / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(queries()))] * 2, done.stderr
+
+
 @pytest.mark.parametrize("name", ["trip_relative_delay", "avg_delay_by_minute", "avg_delay_by_stop",
                                   "vehicle_positions_with_delay", "static_tables_load"])
 def test_plans_stay_in_the_jvm_and_read_few_columns(spark, name):
