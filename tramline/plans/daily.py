@@ -28,7 +28,8 @@ class DailyRun:
     """Where a run writes, and its label.
 
     Every run has a warehouse folder of its own: tables of an earlier run neither stay
-    behind nor change under those who read them.
+    behind nor change under those who read them.  A run repeated with the same label puts its
+    tables and answers in place of the first ones', whose readers go on with what they opened.
     """
 
     warehouse: str
@@ -85,8 +86,7 @@ def answer_questions(
     delays = warehouse["delays"]
 
     def save(name: str, result: DataFrame) -> DataFrame:
-        export.write_snapshot(result, run.export_dir, name, run.stamp)
-        written = export.snapshot_glob(run.export_dir, name, run.stamp)
+        written = export.write_snapshot(result, run.export_dir, name, run.stamp)
         return export.read_export(spark, written, result.schema)
 
     def past(name: str, schema: T.StructType, same_header: bool) -> DataFrame:

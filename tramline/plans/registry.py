@@ -17,7 +17,7 @@ from tramline.plans.roles import STAMPS, Roles, pack_archives, update_messages,
 from tramline.sinks import export
 from tramline.sources import archives, feeds, snapshots, timetable
 from tramline.streaming.minutes import append_minute_totals, streamed_delay_by_minute
-from tramline.streaming.snapshots import append_history, stream_snapshots
+from tramline.streaming.snapshots import append_history, stream_snapshots, streamed_history
 
 # Parameters of the registered reports.
 REPORT_DAY = "1998-07-07"
@@ -362,16 +362,20 @@ def stream_avg_delay_by_minute(r: Roles) -> DataFrame:
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{folder}/events")
     )
-    append_minute_totals(events, f"{folder}/table", f"{folder}/state").awaitTermination()
+    # Two merges and some batches that are still apart.
+    append_minute_totals(
+        events, f"{folder}/table", f"{folder}/state", merge_every=3
+    ).awaitTermination()
     return streamed_delay_by_minute(r.spark, f"{folder}/table")
 
 
 @query
 def stream_stop_snapshots(r: Roles) -> DataFrame:
-    rows = stream_snapshots(r.spark, r.stop_snapshots(), schemas.STOP_SNAPSHOT)
+    """Snapshots of two headers, a few files at once."""
+    stream = stream_snapshots(r.spark, r.drifting_stop_snapshots(), schemas.STOP_SNAPSHOT, 5)
     folder = scratch.new_folder(r.spark, "stop-history")
-    append_history(rows, f"{folder}/table", f"{folder}/state").awaitTermination()
-    return r.spark.read.parquet(f"{folder}/table").drop("filename", "snapshot_day")
+    append_history(stream, f"{folder}/table", f"{folder}/state").awaitTermination()
+    return streamed_history(r.spark, f"{folder}/table").drop("filename", "note")
 
 
 # -- the whole job

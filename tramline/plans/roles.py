@@ -23,6 +23,7 @@ from tramline.operators.questions import minute_averages, stop_averages
 from tramline.plans.daily import BY_MINUTE, BY_STOP
 from tramline.session import prepare
 from tramline.sinks.export import replace_table, snapshot_glob, write_snapshots
+from tramline.sinks.versions import newest
 from tramline.sources.feeds import with_update_times, with_vehicle_time
 from tramline.sources.files import folder_version
 from tramline.sources.timetable import with_stop_seconds
@@ -105,7 +106,7 @@ class Roles:
         def load() -> str:
             warehouse = scratch.new_folder(self.spark, "warehouse")
             replace_table(build(), warehouse, name)
-            return f"{warehouse}/{name}"
+            return newest(self.spark, warehouse, name)
 
         return self._open(f"warehouse/{name}", load)
 
