@@ -169,6 +169,8 @@ def _met(postings: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
     known = postings.select("token", "node").join(lists, "token")
     short = (
         known.filter(F.col("members") <= crowd)
+        # Dealt again, so that the join before may split a long list.
+        .repartition("token")
         .groupBy("token")
         .agg(F.array_sort(F.collect_list("node")).alias("nodes"))
         .select("nodes", F.posexplode("nodes").alias("at", "a"))
