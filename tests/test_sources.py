@@ -180,6 +180,47 @@ def test_many_archive_lines_leave_in_batches(spark):
     )
 
 
+def test_seven_tables_read_each_archive_once(spark, tmp_path):
+    """What the file source gives is noted for each archive that a task asks for."""
+    names = [f"t{n}" for n in range(7)]
+    for n in range(3):
+        tables = {f"{t}.txt": f"id,{t}\n{n},x\n" for t in names}
+        (tmp_path / f"{n}.zip").write_bytes(zipped(tables))
+    noted = str(tmp_path / "noted")
+
+    def note(batches):
+        for batch in batches:
+            with open(noted, "a") as file:
+                file.writelines(f"{path}\n" for path in batch.column(0).to_pylist())
+            yield batch
+
+    given = archives.read_archives(spark, f"{tmp_path}/*.zip")
+    found = archives.archive_tables(given.mapInArrow(note, given.schema))
+    assert sorted(found) == names
+    for name in names:
+        assert sorted(rows(found[name])) == [(str(n), "x") for n in range(3)]
+    with open(noted) as file:
+        assert len(file.readlines()) == 3
+
+
+@pytest.mark.parametrize("kind", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2])
+def test_members_in_many_parts(spark, monkeypatch, kind):
+    text = "n,note\r\n" + "".join(f"{i},é{i * 7919 % 10007}\n" for i in range(30_000))
+    blob = io.BytesIO()
+    with zipfile.ZipFile(blob, "w", kind) as archive:
+        archive.writestr("deep/folder/t.txt", text)
+        archive.writestr("head.txt", "a,b\n")
+        archive.writestr("none.txt", "")
+    packed = spark.createDataFrame([("a.zip", bytearray(blob.getvalue()))], "path string, content binary")
+    monkeypatch.setattr(archives, "PART_BYTES", 1000)
+    assert archives.archive_members(packed, ["t"]).count() > 1
+    found = archives.archive_tables(packed)
+    assert sorted(found) == ["head", "t"]
+    assert found["head"].count() == 0 and found["head"].columns == ["a", "b"]
+    total = found["t"].agg(F.count("*"), F.sum(F.col("n").cast("int")), F.count_distinct("note"))
+    assert tuple(total.first()) == (30_000, 30_000 * 29_999 // 2, 10_007)
+
+
 def test_feed_columns_are_taken_by_name(spark, tmp_path):
     (tmp_path / "u.csv").write_text(
         "route_id,trip_id,stop_sequence,stop_id,departure_time,arrival_time\n"

@@ -270,14 +270,10 @@ def flat_vehicle_load(r: Roles) -> DataFrame:
 
 @query
 def expand_archives(r: Roles) -> DataFrame:
-    """Zips of two tables, of which one member is read, through to the loaded table."""
+    """Zips of two tables, read once for both, through to the loaded table."""
     folder = scratch.new_folder(r.spark, "archives")
     packed = export.replace_table(pack_archives(r.stop_times_text, "stop_times"), folder, "zips")
-    found = archives.archive_headers(packed).filter("table_name = 'stop_times'")
-    headers = [row.header for row in found.select("header").distinct().collect()]
-    lines = archives.expand_archives(packed, ["stop_times"])
-    table = archives.archive_table(lines, "stop_times", headers).drop("archive")
-    return timetable.finished(table, "stop_times")
+    return archives.archive_tables(packed)["stop_times"]
 
 
 @query

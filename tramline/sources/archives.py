@@ -1,4 +1,8 @@
-"""Timetable zips: the lines of the wanted members, parsed like the unpacked files."""
+"""Timetable zips: the lines of the wanted members, parsed like the unpacked files.
+
+An archive is read once, for all its tables.  The task that reads it only cuts out the members, still
+packed; each member is then unpacked by a task of its own.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,27 @@ import csv
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tramline import scratch
 from tramline.functions.text import blank_to_null, missing_to_null
 from tramline.sources.timetable import SUFFIX, finished
 
+MEMBERS_SCHEMA = "archive string, member string, part int, deflated boolean, bytes binary"
 LINES_SCHEMA = "archive string, table_name string, header string, line string"
-HEADERS_SCHEMA = "archive string, table_name string, header string"
 BATCH_LINES = 10_000
+# Packed bytes of one row.
+PART_BYTES = 1 << 22
+# Length of a member's own header without its name and extra field, and where their lengths are.
+LOCAL_HEADER, LENGTHS_AT = 30, 26
 # No quoted field is cut: the parser's own limit is switched off.
 CSV_OPTIONS = {"escape": '"', "maxCharsPerColumn": "-1"}
 _QUOTE_OPENS = re.compile(r'(?:^|,)"')
@@ -28,7 +39,7 @@ _QUOTE_OPENS = re.compile(r'(?:^|,)"')
 def read_archives(spark: SparkSession, pattern: str) -> DataFrame:
     """Archives as (path, content), one row per file.
 
-    An archive is one value and one task; the file source takes archives below 2 GB.
+    The file source takes archives below 2 GB.
     """
     return spark.read.format("binaryFile").load(pattern).select("path", "content")
 
@@ -63,36 +74,85 @@ def _records(lines: Iterator[str]) -> Iterator[str]:
         yield "\n".join(parts)
 
 
-def _members(
-    batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None, multiline: bool
-) -> Iterator[tuple[str, str, Iterator[str]]]:
-    """(archive, table, lines) of each text table; members not wanted are not opened."""
-    for batch in batches:
-        for path, content in zip(*batch.columns, strict=True):
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                for member in archive.namelist():
-                    table = member.rsplit("/", 1)[-1].removesuffix(SUFFIX)
-                    if member.endswith(SUFFIX) and (wanted is None or table in wanted):
-                        with archive.open(member) as raw:
-                            text = io.TextIOWrapper(raw, encoding="utf-8-sig")
-                            lines = (line.rstrip("\n") for line in text)
-                            yield path.as_py(), table, _records(lines) if multiline else lines
-
-
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    names = [part.split()[0] for part in schema.split(", ")]
-    columns = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
+def table_of(member: str) -> str:
+    return member.rsplit("/", 1)[-1].removesuffix(SUFFIX)
+
 
+def _packed(content: bytes, member: zipfile.ZipInfo) -> tuple[bool, bytes]:
+    """Whether the bytes of a member are deflated, and the bytes as they lie in the archive."""
+    start = member.header_offset
+    name = int.from_bytes(content[start + LENGTHS_AT : start + LENGTHS_AT + 2], "little")
+    extra = int.from_bytes(content[start + LENGTHS_AT + 2 : start + LENGTHS_AT + 4], "little")
+    at = start + LOCAL_HEADER + name + extra
+    return member.compress_type == zipfile.ZIP_DEFLATED, content[at : at + member.compress_size]
 
-def archive_headers(archives: DataFrame, multiline: bool = False) -> DataFrame:
-    """(archive, table_name, header) of every text table; only first lines are read."""
+
+def archive_members(archives: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+    """(archive, member, part, deflated, bytes): text tables in parts, still packed."""
+    wanted = None if tables is None else frozenset(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, table, lines in _members(batches, None, multiline):
-            yield _batch([(path, table, next(lines, ""))], HEADERS_SCHEMA)
+        for batch in batches:
+            for path, value in zip(*batch.columns, strict=True):
+                content = value.as_py()
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member in archive.infolist():
+                        name = member.filename
+                        if not name.endswith(SUFFIX):
+                            continue
+                        if wanted is not None and table_of(name) not in wanted:
+                            continue
+                        if member.compress_type in (zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED):
+                            deflated, packed = _packed(content, member)
+                        else:
+                            deflated, packed = False, archive.read(member)
+                        for part, at in enumerate(range(0, max(len(packed), 1), PART_BYTES)):
+                            row = (path.as_py(), name, part, deflated, packed[at : at + PART_BYTES])
+                            types = (pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.binary())
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([v], t) for v, t in zip(row, types, strict=True)],
+                                names=["archive", "member", "part", "deflated", "bytes"],
+                            )
+
+    return archives.select("path", "content").mapInArrow(run, MEMBERS_SCHEMA)
 
-    return archives.select("path", "content").mapInArrow(run, HEADERS_SCHEMA)
+
+class _Unpacked(io.RawIOBase):
+    """The text of a member out of its packed parts, a little at a time."""
+
+    def __init__(self, parts: Iterator[tuple[bool, bytes]]):
+        self.parts = parts
+        self.inflate = zlib.decompressobj(-zlib.MAX_WBITS)
+        self.packed, self.plain = b"", b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.plain:
+            if self.packed:
+                self.plain = self.inflate.decompress(self.packed, len(buffer))
+                self.packed = self.inflate.unconsumed_tail
+                continue
+            deflated, data = next(self.parts, (None, b""))
+            if deflated is None:
+                self.plain = self.inflate.flush()
+                if not self.plain:
+                    return 0
+            elif deflated:
+                self.packed = data
+            else:
+                self.plain = data
+        size = min(len(buffer), len(self.plain))
+        buffer[:size] = self.plain[:size]
+        self.plain = self.plain[size:]
+        return size
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [part.split()[0] for part in LINES_SCHEMA.split(", ")]
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
 
 
 def expand_archives(
@@ -100,25 +160,50 @@ def expand_archives(
 ) -> DataFrame:
     """(path, content) to one row per data line of the wanted tables, text as it stands.
 
-    Lines leave in batches, never a whole archive; blank lines are none.  `multiline`
-    keeps line breaks inside quoted fields in one row.
+    Members are dealt to tasks of their own and leave in batches of lines, never whole;
+    blank lines are none.  Each member also gives one row without a line, for its header.
+    `multiline` keeps line breaks inside quoted fields in one row.
     """
-    wanted = None if tables is None else frozenset(tables)
+
+    def parts_of(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                archive, member, _, deflated, data = (v.as_py() for v in row)
+                yield (archive, member), (deflated, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, table, lines in _members(batches, wanted, multiline):
-            header = next(lines, "")
-            pending = []
+        for (archive, member), rows in groupby(parts_of(batches), key=lambda row: row[0]):
+            raw = io.BufferedReader(_Unpacked(part for _, part in rows), 1 << 16)
+            text = io.TextIOWrapper(raw, encoding="utf-8-sig")
+            lines = (line.rstrip("\n") for line in text)
+            lines = _records(lines) if multiline else lines
+            key = archive, table_of(member), next(lines, "")
+            pending = [(*key, None)]
             for line in lines:
                 if line.strip():
-                    pending.append((path, table, header, line))
-                if len(pending) == BATCH_LINES:
-                    yield _batch(pending, LINES_SCHEMA)
+                    pending.append((*key, line))
+                if len(pending) >= BATCH_LINES:
+                    yield _batch(pending)
                     pending = []
             if pending:
-                yield _batch(pending, LINES_SCHEMA)
+                yield _batch(pending)
+
+    return (
+        archive_members(archives, tables)
+        .repartition("archive", "member")
+        .sortWithinPartitions("archive", "member", "part")
+        .mapInArrow(run, LINES_SCHEMA)
+    )
+
 
-    return archives.select("path", "content").mapInArrow(run, LINES_SCHEMA)
+def stored_lines(archives: DataFrame, multiline: bool = False) -> DataFrame:
+    """Lines of all tables, written once by table name: each table reads its own folder."""
+    spark = archives.sparkSession
+    folder = scratch.new_folder(spark, "archive-lines")
+    lines = expand_archives(archives, None, multiline)
+    lines.write.partitionBy("table_name").parquet(folder)
+    # An archive without tables leaves no folder to find the name in.
+    return spark.read.schema(lines.schema).parquet(folder)
 
 
 def archive_table(
@@ -129,7 +214,7 @@ def archive_table(
     `headers` are the header lines that occur; where they differ, a column that a file
     lacks is NULL.  Empty text and missing marks are NULL.  `columns` picks some.
     """
-    own = lines.filter(F.col("table_name") == table)
+    own = lines.filter((F.col("table_name") == table) & F.col("line").isNotNull())
     parts = []
     for header in dict.fromkeys(headers):
         names = next(csv.reader([header]))
@@ -156,23 +241,26 @@ def load_archives(
 ) -> dict[str, DataFrame]:
     """Every text table of the zips a glob names, as `load_timetable` gives the files of a folder.
 
-    Each table reads its own member of each zip only.  `multiline` takes line breaks
-    inside quoted fields.
+    All tables come from one pass over the archives.  `multiline` takes line breaks inside
+    quoted fields.
     """
-    archives = read_archives(spark, pattern)
+    return archive_tables(read_archives(spark, pattern), types, multiline)
+
+
+def archive_tables(
+    archives: DataFrame,
+    types: Mapping[str, T.StructType] | None = None,
+    multiline: bool = False,
+) -> dict[str, DataFrame]:
+    """Every text table of (path, content) rows, by name."""
+    lines = stored_lines(archives, multiline)
     # One row per distinct header of a table.
     found: dict[str, list[str]] = {}
-    headers = archive_headers(archives, multiline).select("table_name", "header").distinct()
+    headers = lines.filter(F.col("line").isNull()).select("table_name", "header").distinct()
     for row in headers.collect():
         found.setdefault(row.table_name, []).append(row.header)
     return {
-        name: finished(
-            archive_table(
-                expand_archives(archives, [name], multiline), name, sorted(own)
-            ).drop("archive"),
-            name,
-            types,
-        )
+        name: finished(archive_table(lines, name, sorted(own)).drop("archive"), name, types)
         for name, own in sorted(found.items())
         if any(own)
     }
