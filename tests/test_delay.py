@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import DAY, as_events, at, brute_force, feed, plan
-from tramline.operators import delay
+from tramline.operators import delay, questions
 
 PLAN = [("A", 1, "s1", 36000), ("A", 2, "s2", 36600), ("A", 3, "s3", 37200)]
 
@@ -225,3 +225,27 @@ def test_interval(spark):
     (row,) = delay.delay_intervals(feed(spark, rows), plan(spark, PLAN)).collect()
     assert row.delay_duration == dt.timedelta(minutes=5)
     assert row.local_service_day == dt.date(2025, 9, 12)
+
+
+def test_a_first_stop_repeated_a_million_times(spark):
+    """The averages come from a row per event; only row output repeats them."""
+    feed_rows = feed(spark, [("A", 2, at(9)), ("B", 1, at(8))]).unionByName(
+        spark.range(1_000_000).select(
+            F.lit("A").alias("trip_id"), F.lit(1).alias("stop_sequence"),
+            F.lit(at(8)).cast("timestamp").alias("arrival_dt"),
+        )
+    )
+    timetable = plan(spark, [("A", 1, "s1", 36000), ("A", 2, "s2", 36060), ("B", 1, "s1", 36000)])
+    weighted = delay.weighted_trip_delays(feed_rows, timetable).persist()
+    assert weighted.filter("stop_sequence = 2").count() == 1
+    assert weighted.agg(F.sum("times")).first()[0] == 1_000_000 * 1_000_001 + 1
+    stops = spark.createDataFrame(
+        [("s1", "One", 1.0, 2.0), ("s2", "Two", 1.0, 2.0)],
+        "stop_id string, stop_name string, stop_lat double, stop_lon double",
+    )
+    found = questions.average_delay_by_stop(weighted, stops).collect()
+    assert [(r.stop_id, r.avg_delay_min) for r in found] == [("s2", 59.0), ("s1", 0.0)]
+    rate = questions.punctuality_rate(weighted).first()
+    assert (rate.total_events, rate.on_time_events) == (1_000_000 * 1_000_001 + 1, 10**12 + 1)
+    assert delay.expanded(weighted.filter("stop_sequence = 2")).count() == 1_000_000
+    weighted.unpersist()

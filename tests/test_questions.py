@@ -1,10 +1,11 @@
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from tests.helpers import DAY, at, delay_events
-from tramline.operators import history, questions, ranking, tables
+from tramline.operators import delay, history, questions, ranking, tables
 
 EVENTS = [
     ("A", 1, "s1", at(8), 0),
@@ -128,6 +129,73 @@ def test_vehicle_positions_meet_every_event_of_the_trip(spark):
     ]
 
 
+def hot_trip(spark):
+    """One trip has a third of the events and of the vehicles, these all in one second."""
+    chance = random.Random(11)
+    events = [
+        ("hot" if i % 3 == 0 else f"t{chance.randrange(40)}", i, "s", at(8), chance.randrange(-600, 600))
+        for i in range(600)
+    ]
+    given = [
+        ("hot" if i % 3 == 0 else f"t{chance.randrange(50)}" if i % 50 else None, f"r{i}",
+         1757700800 if i % 3 == 0 else 1757700000 + chance.randrange(2000) if i % 7 else None)
+        for i in range(400)
+    ]
+    return events, given
+
+
+def test_positions_are_paired_once_and_in_order(spark):
+    events, given = hot_trip(spark)
+    delays, positions = delay_events(spark, events), vehicles(spark, given)
+    found = questions.position_bus_vehicles(positions, delays, pairs_per_range=1500)
+    by_trip = {}
+    for trip, _, _, _, late in events:
+        by_trip.setdefault(trip, []).append(round(late / 60, 2) + 0.0)
+    expected = [(r, d) for t, r, _ in given for d in by_trip.get(t, [None])]
+    pairs = [(r.route_id, r.delay_min) for r in found.collect()]
+    assert sorted(pairs, key=str) == sorted(expected, key=str)
+    rows_ = found.collect()
+    keys = [
+        (r.timestamp_paris is None, -(r.timestamp_paris or dt.datetime.min).timestamp()
+         if r.timestamp_paris else 0, r.trip_id or "", r.route_id, r.delay_min is not None, r.delay_min or 0)
+        for r in rows_
+    ]
+    assert keys == sorted(keys)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in plan
+    assert len(re.findall(r"Join.*range", plan)) == 1
+    sizes = sorted(r[1] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) > 10
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_weighted_events_give_the_same_answers(spark):
+    chance = random.Random(5)
+    rows_ = [
+        (f"t{chance.randrange(8)}", i, f"s{i % 5}", at(8) if i % 6 else None, chance.randrange(-600, 600))
+        for i in range(120)
+    ]
+    weighted = delay_events(spark, rows_).withColumn("times", F.col("stop_sequence") % 4 + 1)
+    weighted = weighted.withColumn("times", F.col("times").cast("long"))
+    plain = delay.expanded(weighted)
+    assert plain.count() == sum(i % 4 + 1 for i in range(120))
+    stops = spark.createDataFrame(
+        [(f"s{i}", f"S{i}", 1.0, 2.0) for i in range(7)], "stop_id string, stop_name string, stop_lat double, stop_lon double"
+    )
+    trips = spark.createDataFrame([(f"t{i}", f"r{i % 3}") for i in range(6)], "trip_id string, route_id string")
+    for ask in (
+        questions.average_delay_by_minute,
+        lambda d: questions.average_delay_by_stop(d, stops),
+        lambda d: questions.average_delay_by_route(d, trips),
+        lambda d: questions.route_delay_with_counts(d, trips),
+        questions.punctuality_rate,
+        questions.delay_summary,
+    ):
+        assert rows(ask(weighted)) == rows(ask(plain))
+    none = weighted.limit(0)
+    assert rows(questions.punctuality_rate(none)) == rows(questions.punctuality_rate(delay.expanded(none)))
+
+
 def test_vehicle_routes_equal_the_joined_pairs(spark):
     chance = random.Random(3)
     events = [

@@ -18,16 +18,20 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * 100.0, whole.cast("double"))
 
 
-def delay_totals(micros: Column) -> list[Column]:
+def delay_totals(micros: Column, times: Column | None = None) -> list[Column]:
     """Aggregates that add up exactly in any order, so they may be combined in steps.
 
+    `times` counts a row that often.
+
     Seconds and the remainder are summed apart: a bigint of microseconds would
     overflow after about 10^10 events a quarter of an hour late.
     """
+    weight = F.lit(1) if times is None else times
+    counted = F.sum(F.when(micros.isNotNull(), weight).otherwise(0))
     return [
-        F.sum(F.call_function("div", micros, F.lit(MICROS_PER_SECOND))).alias("sum_sec"),
-        F.sum(micros % MICROS_PER_SECOND).alias("sum_us"),
-        F.count(micros).alias("n_delay"),
+        F.sum(F.call_function("div", micros, F.lit(MICROS_PER_SECOND)) * weight).alias("sum_sec"),
+        F.sum(micros % MICROS_PER_SECOND * weight).alias("sum_us"),
+        (F.count(micros) if times is None else F.coalesce(counted, F.lit(0))).alias("n_delay"),
     ]
 
 

@@ -5,6 +5,9 @@ Both operators take
   stop_times:    trip_id, stop_sequence, stop_id, arrival_time_sec
 and return
   trip_id, stop_sequence, stop_id, arrival_dt_utc, scheduled_ts_utc, delay_min
+
+Weighted events carry a column `times` as well: a row stands for that many equal ones.
+The averages in `questions` take either form.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from tramline.functions.clock import (
 )
 
 EVENT_KEY = ["trip_id", "stop_sequence"]
+# Rows one step of `expanded` makes of one row.
+REPEATS = 1024
 
 
 def delay_micros() -> Column:
@@ -44,12 +49,34 @@ def _scheduled(observed: DataFrame, stop_times: DataFrame) -> DataFrame:
     return observed.join(planned.select(*EVENT_KEY, "stop_id", "arrival_time_sec"), EVENT_KEY)
 
 
+def expanded(events: DataFrame) -> DataFrame:
+    """Weighted events as one row each.
+
+    Rows are made in two steps, so no list gets as long as the repeats.
+    """
+    times = F.col("times")
+    last = F.call_function("div", times - 1, F.lit(REPEATS))
+    left = F.least(F.lit(REPEATS).cast("long"), times - F.col("step") * REPEATS)
+    return (
+        events.filter("times > 0")
+        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+        .drop("step", "repeat", "times")
+    )
+
+
 def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
+    """The events of `weighted_trip_delays`, one row each."""
+    return expanded(weighted_trip_delays(trips_updates, stop_times))
+
+
+def weighted_trip_delays(trips_updates: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Delay against the timetable shifted to the trip's first observed arrival.
 
     A trip whose first observed stop lacks an arrival or a timetable row is left
     out whole; a later stop without an arrival stays, with NULL delay.
-    Duplicate rows are not removed.
+    Duplicate rows are not removed.  Where a first stop repeats, each event of the trip occurs
+    as often: it stays one row per distinct origin, with the count in `times`.
 
     Events are joined on (trip_id, stop_sequence), which spreads a long trip over
     many tasks.  Only the origin, the instant in microseconds of the trip's
@@ -80,7 +107,6 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
     scheduled_us = F.col("origin_us") + F.col("arrival_time_sec") * MICROS_PER_SECOND
     return (
         scheduled.join(origins, "trip_id")
-        .withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
         .withColumn("scheduled_ts_utc", F.timestamp_micros(scheduled_us))
         .select(
             *EVENT_KEY,
@@ -88,6 +114,7 @@ def trip_relative_delays(trips_updates: DataFrame, stop_times: DataFrame) -> Dat
             "arrival_dt_utc",
             "scheduled_ts_utc",
             (delay_micros() / float(MICROS_PER_MINUTE)).alias("delay_min"),
+            "times",
         )
     )
 

@@ -1,4 +1,7 @@
-"""Questions over delay events.  `delays` is the result of an operator in `delay`."""
+"""Questions over delay events.  `delays` is the result of an operator in `delay`.
+
+The averages take weighted events too, which carry `times`.
+"""
 
 from __future__ import annotations
 
@@ -22,9 +25,26 @@ from tramline.functions.numbers import (
     round2,
 )
 from tramline.operators.delay import delay_micros
+from tramline.scratch import written
 
 STOP_COLUMNS = ["stop_id", "stop_name", "stop_lat", "stop_lon"]
 ON_TIME_MINUTES = 5
+# Pairs of a vehicle and an event that one task should make.
+PAIRS_PER_RANGE = 500_000
+# Steps in which a range is measured out.
+STEPS_PER_RANGE = 50
+
+
+def _totals(delays: DataFrame) -> list[Column]:
+    times = F.col("times") if "times" in delays.columns else None
+    return delay_totals(delay_micros(), times)
+
+
+def _events(delays: DataFrame) -> Column:
+    """How many events there are, with or without a delay."""
+    if "times" in delays.columns:
+        return F.coalesce(F.sum("times"), F.lit(0))
+    return F.count(F.lit(1))
 
 
 def _average() -> Column:
@@ -39,22 +59,26 @@ def _descending(*ties: str) -> list[Column]:
 def minute_totals(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sums of the delays per UTC minute of arrival; they add up exactly in any order."""
     minute = start_of(F.unix_micros("arrival_dt_utc"), MICROS_PER_MINUTE)
-    return delays.groupBy(*by, minute.alias("utc_minute")).agg(*delay_totals(delay_micros()))
-
+    return delays.groupBy(*by, minute.alias("utc_minute")).agg(*_totals(delays))
 
-def averages_of_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean delay per Paris minute from totals of UTC minutes, which may come in parts.
 
-    Two UTC minutes are behind a repeated autumn minute.
-    """
+def paris_minute_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Totals per Paris minute from totals of UTC minutes."""
     return (
         totals.withColumn("minute_ts", paris_wall_clock(F.timestamp_micros("utc_minute")))
         .groupBy(*by, "minute_ts")
         .agg(*combine_totals())
-        .select(*by, "minute_ts", _average())
     )
 
 
+def averages_of_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mean delay per Paris minute from totals of UTC minutes, which may come in parts.
+
+    Two UTC minutes are behind a repeated autumn minute.
+    """
+    return paris_minute_totals(totals, by).select(*by, "minute_ts", _average())
+
+
 def minute_averages(delays: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean delay per Paris minute of arrival, unsorted, apart for each value of `by`.
 
@@ -78,7 +102,7 @@ def stop_averages(delays: DataFrame, stops: DataFrame, by: Sequence[str] = ()) -
     with very many events costs one partial sum per task.
     """
     keys = ["stop_id", *by]
-    per_stop = delays.groupBy(*keys).agg(*delay_totals(delay_micros()))
+    per_stop = delays.groupBy(*keys).agg(*_totals(delays))
     return (
         stops.select(*by, *STOP_COLUMNS)
         .join(per_stop, keys, "left")
@@ -106,9 +130,7 @@ def average_delay_by_stop_on(delays: DataFrame, stops: DataFrame, day: dt.date |
 
 def _per_trip(delays: DataFrame) -> DataFrame:
     """Delay totals per trip, and how many events each has with or without a delay."""
-    return delays.groupBy("trip_id").agg(
-        *delay_totals(delay_micros()), F.count(F.lit(1)).alias("n_events")
-    )
+    return delays.groupBy("trip_id").agg(*_totals(delays), _events(delays).alias("n_events"))
 
 
 def average_delay_by_route(delays: DataFrame, trips: DataFrame) -> DataFrame:
@@ -137,9 +159,13 @@ def route_delay_with_counts(delays: DataFrame, trips: DataFrame) -> DataFrame:
 
 def punctuality_rate(delays: DataFrame) -> DataFrame:
     """Events, events at most five minutes late (early ones too), and their percentage."""
+    if "times" in delays.columns:
+        counted = F.sum(F.when(F.col("delay_min") <= ON_TIME_MINUTES, F.col("times")).otherwise(0))
+        on_time = F.coalesce(counted, F.lit(0))
+    else:
+        on_time = F.count_if(F.col("delay_min") <= ON_TIME_MINUTES)
     return delays.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_if(F.col("delay_min") <= ON_TIME_MINUTES).alias("on_time_events"),
+        _events(delays).alias("total_events"), on_time.alias("on_time_events")
     ).withColumn("pct_on_time", round2(percent(F.col("on_time_events"), F.col("total_events"))))
 
 
@@ -148,7 +174,7 @@ def delay_summary(delays: DataFrame) -> DataFrame:
     return delays.agg(
         F.min("delay_min").alias("min_delay"),
         F.max("delay_min").alias("max_delay"),
-        *delay_totals(delay_micros()),
+        *_totals(delays),
     ).select("min_delay", "max_delay", mean_minutes().alias("avg_delay"))
 
 
@@ -163,32 +189,65 @@ def vehicles_with_time(vehicle_positions: DataFrame) -> DataFrame:
     )
 
 
-def position_bus_vehicles(vehicle_positions: DataFrame, delays: DataFrame) -> DataFrame:
+def _dealt_by_time(
+    vehicles: DataFrame, events: DataFrame, order: Sequence[Column], pairs_per_range: int
+) -> tuple[DataFrame, int]:
+    """Vehicles with the number of their range, and how many ranges there are.
+
+    Ranges follow the order and hold about as many pairs each.  Bounds come from the
+    vehicles alone: each counts by the events of its trip, in steps of a fixed share of a range.
+    """
+    counts = events.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n_events"))
+    weighted = vehicles.join(counts, "trip_id", "left").withColumn(
+        "weight", F.coalesce("n_events", F.lit(1))
+    )
+    total = weighted.agg(F.sum("weight")).first()[0] or 0
+    # A single partition would not be kept as it is dealt.
+    ranges = max(2, -(-total // pairs_per_range))
+    step = max(1, total // (ranges * STEPS_PER_RANGE))
+    steps = F.call_function("div", F.col("weight") + (step - 1), F.lit(step))
+    dealt = (
+        weighted.withColumn("step", F.explode(F.sequence(F.lit(1).cast("long"), steps)))
+        .repartitionByRange(ranges, *order)
+        .withColumn("range", F.spark_partition_id())
+        .filter("step = 1")
+    )
+    # Both sides of the pairs take the range from here, so it is drawn once.
+    return written(dealt.select(*vehicles.columns, "range"), "vehicle-ranges"), ranges
+
+
+def position_bus_vehicles(
+    vehicle_positions: DataFrame, delays: DataFrame, pairs_per_range: int = PAIRS_PER_RANGE
+) -> DataFrame:
     """Each vehicle position with each delay of its trip, latest first.
 
-    The result is vehicles times stop events per trip.  The left join is taken as
-    matched and unmatched vehicles: an inner join can be split on either side when
-    a trip is hot, a left join only on the left.  Vehicles without a trip go past the
-    joins, so both joins ask for the same rows and share one exchange.  Sorting on all
-    columns keeps positions of one second apart, so no range partition grows without bound.
+    The result is vehicles times stop events per trip, so it is neither shuffled nor
+    sampled: vehicles are dealt to ranges of time that hold about as many pairs each, the events
+    of a trip go to every range that has a vehicle of it, and the pairs are made once and
+    sorted where they are.  A hot trip is spread over as many ranges as its pairs need.  Sorting on
+    all columns keeps positions of one second apart.
     """
-    every = vehicles_with_time(vehicle_positions)
-    vehicles = every.filter(F.col("trip_id").isNotNull())
-    events = delays.select("trip_id", "delay_min")
-    matched = vehicles.join(events, "trip_id")
-    unmatched = vehicles.join(events.select("trip_id").distinct(), "trip_id", "left_anti")
-    joined = matched.unionByName(unmatched, allowMissingColumns=True).unionByName(
-        every.filter(F.col("trip_id").isNull()), allowMissingColumns=True
+    places = [F.asc_nulls_first(c) for c in ("trip_id", "route_id", "latitude", "longitude")]
+    order = [F.desc_nulls_last("ts_utc"), *places]
+    events = delays.filter(F.col("trip_id").isNotNull()).select("trip_id", "delay_min")
+    dealt, ranges = _dealt_by_time(
+        vehicles_with_time(vehicle_positions), events, order, pairs_per_range
     )
-    return joined.orderBy(
-        F.desc_nulls_last("ts_utc"), "trip_id", "route_id", "latitude", "longitude", "delay_min"
-    ).select(
-        "trip_id",
-        "route_id",
-        "latitude",
-        "longitude",
-        paris_wall_clock(F.col("ts_utc")).alias("timestamp_paris"),
-        round2(F.col("delay_min")).alias("delay_min"),
+    needed = dealt.filter(F.col("trip_id").isNotNull()).select("range", "trip_id").distinct()
+    # The number of the partition is the range, so partitions follow the order.
+    vehicles = dealt.repartitionById(ranges, "range")
+    sent = needed.join(events, "trip_id").repartitionById(ranges, "range")
+    return (
+        vehicles.join(sent, ["range", "trip_id"], "left")
+        .sortWithinPartitions(*order, "delay_min")
+        .select(
+            "trip_id",
+            "route_id",
+            "latitude",
+            "longitude",
+            paris_wall_clock(F.col("ts_utc")).alias("timestamp_paris"),
+            round2(F.col("delay_min")).alias("delay_min"),
+        )
     )
 
 

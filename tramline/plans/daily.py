@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tramline import schemas
 from tramline.functions.clock import stamp as run_stamp
 from tramline.operators import history, questions, tables
-from tramline.operators.delay import trip_relative_delays
+from tramline.operators.delay import expanded, weighted_trip_delays
 from tramline.sinks import export
 from tramline.sources.archives import load_archives
 from tramline.sources.feeds import with_update_times, with_vehicle_time
@@ -20,6 +20,7 @@ from tramline.sources.snapshots import read_snapshots
 from tramline.sources.timetable import TYPED_TABLES, load_timetable
 
 BY_MINUTE = "avg_delay_by_minute"
+BY_MINUTE_TOTALS = "avg_delay_by_minute_totals"
 BY_STOP = "avg_delay_by_stop"
 
 
@@ -63,7 +64,9 @@ def load_warehouse(
     loaded = {
         name: export.replace_table(df, warehouse, name) for name, df in sources.items()
     }
-    delays = trip_relative_delays(loaded["trips_updates"], loaded["stop_times"])
+    weighted = weighted_trip_delays(loaded["trips_updates"], loaded["stop_times"])
+    loaded["weighted_delays"] = export.replace_table(weighted, warehouse, "weighted_delays")
+    delays = expanded(loaded["weighted_delays"])
     loaded["delays"] = export.replace_table(delays, warehouse, "delays_with_support_columns")
     return loaded
 
@@ -75,15 +78,19 @@ def answer_questions(
     as_of: dt.datetime | str | None = None,
     watched_stops: tuple[str, ...] | None = history.WATCHED_STOPS,
     earlier: Mapping[str, Sequence[str]] | None = None,
+    weighted_heatmap: bool = False,
 ) -> dict[str, DataFrame]:
     """Write each question as a stamped CSV snapshot and return the results as written.
 
     The minute and stop averages come first: the heatmap and the evolution read
     the history those two have just extended, and the files that the globs in
     `earlier` name for either of them.  Each question is computed once; what is returned
-    reads the files just written, in no order.
+    reads the files just written, in no order.  The totals behind the minute averages are
+    written beside them; `weighted_heatmap` takes the mean over events by them.  The averages read
+    weighted delays where the warehouse has them.
     """
     delays = warehouse["delays"]
+    events = warehouse.get("weighted_delays", delays)
 
     def save(name: str, result: DataFrame) -> DataFrame:
         written = export.write_snapshot(result, run.export_dir, name, run.stamp)
@@ -96,19 +103,25 @@ def answer_questions(
     trips, stops = warehouse["trips"], warehouse["stops"]
     vehicles = warehouse["vehicle_positions"]
     results = {
-        BY_MINUTE: save(BY_MINUTE, questions.average_delay_by_minute(delays)),
-        BY_STOP: save(BY_STOP, questions.average_delay_by_stop(delays, stops)),
+        BY_MINUTE: save(BY_MINUTE, questions.average_delay_by_minute(events)),
+        BY_STOP: save(BY_STOP, questions.average_delay_by_stop(events, stops)),
         "position_bus_vehicles": save(
             "position_bus_vehicles", questions.position_bus_vehicles(vehicles, delays)
         ),
         "avg_delay_by_route": save(
-            "avg_delay_by_route", questions.average_delay_by_route(delays, trips)
+            "avg_delay_by_route", questions.average_delay_by_route(events, trips)
         ),
-        "punctuality_rate": save("punctuality_rate", questions.punctuality_rate(delays)),
+        "punctuality_rate": save("punctuality_rate", questions.punctuality_rate(events)),
     }
+    totals = questions.paris_minute_totals(questions.minute_totals(events))
+    save(BY_MINUTE_TOTALS, totals)
+    minutes = past(BY_MINUTE, schemas.MINUTE_SNAPSHOT, True)
+    if weighted_heatmap:
+        kept = past(BY_MINUTE_TOTALS, schemas.MINUTE_TOTALS, True)
+        minutes = history.weighted_minutes(minutes, kept)
     results["avg_delay_heatmap_Q5"] = save(
         "avg_delay_heatmap_Q5",
-        history.delay_heatmap(past(BY_MINUTE, schemas.MINUTE_SNAPSHOT, True), as_of),
+        history.delay_heatmap(minutes, as_of, weighted=weighted_heatmap),
     )
     results["evolution_delay_by_stop_Q7"] = save(
         "evolution_delay_by_stop_Q7",
@@ -134,16 +147,20 @@ def run_daily(
     watched_stops: tuple[str, ...] | None = history.WATCHED_STOPS,
     earlier: Mapping[str, Sequence[str]] | None = None,
     multiline: bool = False,
+    weighted_heatmap: bool = False,
 ) -> dict[str, DataFrame]:
     """Load and answer.  Give `stamp` and `as_of` to repeat an earlier run.
 
     "Now" is taken once, for the label and for the heatmap.  `earlier` names snapshot
     files from elsewhere by question, such as `{BY_MINUTE: ["old/avg_delay_by_minute_*.csv"]}`.
-    `multiline` takes line breaks inside quoted fields of the timetable.
+    `multiline` takes line breaks inside quoted fields of the timetable; `weighted_heatmap`
+    weighs minutes by their events in all runs that kept their totals.
     """
     now = dt.datetime.now(dt.timezone.utc)
     run = DailyRun(warehouse_dir, export_dir, stamp or run_stamp(now))
     loaded = load_warehouse(
         spark, timetable, trip_updates, vehicle_positions, run.tables, multiline
     )
-    return answer_questions(spark, loaded, run, as_of or now, watched_stops, earlier)
+    return answer_questions(
+        spark, loaded, run, as_of or now, watched_stops, earlier, weighted_heatmap
+    )

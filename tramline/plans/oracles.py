@@ -12,24 +12,28 @@ from tramline.plans.roles import STAMPS
 
 _VISITS = """
 visits AS (
-  SELECT l_orderkey AS trip_id, l_linenumber AS stop_sequence,
+  SELECT sign * l_orderkey AS trip_id, l_linenumber AS stop_sequence,
          MIN(l_suppkey) AS stop_id, MIN(l_partkey) AS part,
          CAST(82800 + (l_linenumber - 1) * 1800 AS BIGINT) AS sec
-  FROM lineitem GROUP BY l_orderkey, l_linenumber
+  FROM lineitem CROSS JOIN (VALUES (1), (-1)) g(sign)
+  WHERE sign = 1 OR l_orderkey % 13 = 0
+  GROUP BY sign, l_orderkey, l_linenumber
 )"""
 
 _SEEN = (
     _VISITS
     + """,
 seen AS (
-  SELECT v.*, o.o_custkey AS route_id, CAST(o.o_orderkey % 2 AS INTEGER) AS direction_id,
+  SELECT v.*, shift, o.o_custkey AS route_id, CAST(o.o_orderkey % 2 AS INTEGER) AS direction_id,
          CAST(EPOCH(DATE_TRUNC('week', o.o_orderdate)) AS BIGINT) + v.sec + v.part % 1800 - 600 AS at_sec,
          v.part % 17 <> 0 AS has_arrival, v.part % 13 <> 0 AS has_departure
-  FROM visits v JOIN orders o ON o.o_orderkey = v.trip_id
-  CROSS JOIN (VALUES (1), (2)) c(copy) WHERE copy = 1 OR v.part % 37 = 0
+  FROM visits v JOIN orders o ON o.o_orderkey = abs(v.trip_id)
+  CROSS JOIN (VALUES (1), (2)) c(copy) CROSS JOIN (VALUES (0), (50), (-50)) s(shift)
+  WHERE (copy = 1 OR v.part % 37 = 0)
+    AND (shift = 0 OR v.part % 23 = 0 AND shift = CASE WHEN v.part % 46 = 0 THEN -50 ELSE 50 END)
 ),
 feed AS (
-  SELECT trip_id, route_id, direction_id, stop_id, stop_sequence, sec,
+  SELECT trip_id, route_id, direction_id, stop_id, stop_sequence + shift AS stop_sequence, sec,
          CASE WHEN has_arrival THEN at_sec END AS arrival_time,
          CASE WHEN has_departure THEN at_sec + 30 END AS departure_time
   FROM seen
@@ -40,7 +44,7 @@ _TIMES = """
 timetable AS (
   SELECT trip_id, stop_sequence, stop_id, CASE WHEN COALESCE(part, 1) % 29 <> 0 THEN sec END AS sec
   FROM visits CROSS JOIN (VALUES (1), (2)) c(copy)
-  WHERE COALESCE(part, 1) % 23 <> 0 AND (copy = 1 OR part % 31 = 0)
+  WHERE copy = 1 OR part % 31 = 0
 )"""
 
 _RELATIVE = (
@@ -109,7 +113,7 @@ places AS (
 _TRIPS = """
 trips AS (
   SELECT o_orderkey AS trip_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS route_id
-  FROM orders WHERE o_orderkey % 13 <> 0
+  FROM orders
 )"""
 
 _ROUTES = """
@@ -135,7 +139,7 @@ _RUN_EVENTS = (
     + f""",
 runs(covered, stamp) AS (VALUES {_RUNS}),
 run_events AS (
-  SELECT r.stamp, e.* FROM events_sec e JOIN runs r ON r.covered = e.trip_id % {len(STAMPS)}
+  SELECT r.stamp, e.* FROM events_sec e JOIN runs r ON r.covered = (e.trip_id % {len(STAMPS)} + {len(STAMPS)}) % {len(STAMPS)}
 )"""
 )
 _RUN_MINUTES = (
@@ -198,7 +202,22 @@ times AS (
 ) SELECT {columns} FROM times"""
 
 
+# Queries that take another way to the same rows.
+_SAME = {
+    "avg_delay_by_minute_weighted": "avg_delay_by_minute",
+    "avg_delay_by_stop_weighted": "avg_delay_by_stop",
+    "route_delay_with_counts_weighted": "route_delay_with_counts",
+    "punctuality_rate_weighted": "punctuality_rate",
+    "one_row_preview": "punctuality_rate",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    found = _statements()
+    return found | {name: found[same] for name, same in _SAME.items()}
+
+
+def _statements() -> dict[str, str]:
     return {
         "hhmmss_to_seconds_column": f"""
 WITH texts AS (
@@ -384,6 +403,32 @@ WITH {_RUN_MINUTES}
         "delay_heatmap_selected_runs": f"""
 WITH {_RUN_MINUTES}
 {_HEATMAP.format(rows=_SELECTED)}""",
+        "delay_heatmap_weighted": f"""
+WITH {_RUN_EVENTS}, minutes AS (
+  SELECT stamp, {_MINUTE} AS minute_ts, {_AVG}, SUM(late) AS late, COUNT(late) AS n
+  FROM run_events GROUP BY 1, 2
+), weighed AS (
+  SELECT minute_ts,
+    CASE WHEN stamp = '{STAMPS[0]}' THEN CAST(CAST(avg_delay_min AS VARCHAR) AS DECIMAL(38, 18)) * 60
+         ELSE CAST(late AS DECIMAL(38, 18)) END AS late,
+    CASE WHEN stamp = '{STAMPS[0]}' THEN CAST(avg_delay_min IS NOT NULL AS BIGINT) ELSE n END AS n
+  FROM minutes WHERE minute_ts IS NOT NULL AND {_BEFORE_AS_OF}
+)
+SELECT strftime(minute_ts, '%Y-%m-%d') AS jour_date, strftime(minute_ts, '%H') AS heure,
+  ROUND(CAST(SUM(late) AS DOUBLE) / NULLIF(SUM(n), 0) / 60.0, 2) AS avg_delay_min,
+  CAST(SUM(n) AS BIGINT) AS nb_events
+FROM weighed GROUP BY 1, 2""",
+        "table_columns": """
+SELECT * FROM (VALUES ('trip_id', 'bigint'), ('route_id', 'bigint'), ('direction_id', 'int'),
+  ('stop_id', 'bigint'), ('stop_sequence', 'int'), ('arrival_time', 'bigint'),
+  ('departure_time', 'bigint'), ('arrival_dt', 'timestamp'), ('departure_dt', 'timestamp')
+) t("column", "type")""",
+        "typed_routes_load": f"""
+WITH {_ROUTES.strip()}
+SELECT CAST(route_id AS VARCHAR) AS route_id, route_short_name, route_long_name FROM routes""",
+        "typed_trips_load": f"""
+WITH {_TRIPS.strip()}
+SELECT CAST(trip_id AS VARCHAR) AS trip_id, CAST(route_id AS VARCHAR) AS route_id FROM trips""",
         "snapshot_union": f"""
 WITH {_RUN_MINUTES}
 SELECT minute_ts, avg_delay_min, strptime(stamp, '%Y%m%d_%H%M%S') AS snapshot_ts_temps

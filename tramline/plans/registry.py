@@ -121,6 +121,27 @@ def avg_delay_by_minute(r: Roles) -> DataFrame:
     return questions.average_delay_by_minute(r.delays)
 
 
+@query
+def avg_delay_by_minute_weighted(r: Roles) -> DataFrame:
+    """From events that carry how often they occur; so are the next three."""
+    return questions.average_delay_by_minute(r.weighted_delays)
+
+
+@query
+def avg_delay_by_stop_weighted(r: Roles) -> DataFrame:
+    return questions.average_delay_by_stop(r.weighted_delays, r.stops)
+
+
+@query
+def route_delay_with_counts_weighted(r: Roles) -> DataFrame:
+    return questions.route_delay_with_counts(r.weighted_delays, r.trips)
+
+
+@query
+def punctuality_rate_weighted(r: Roles) -> DataFrame:
+    return questions.punctuality_rate(r.weighted_delays)
+
+
 @query
 def avg_delay_by_minute_service_day(r: Roles) -> DataFrame:
     return questions.average_delay_by_minute(r.day_delays)
@@ -233,6 +254,22 @@ def table_row_count(r: Roles) -> DataFrame:
     return catalog.row_count(r.trips_updates)
 
 
+@query
+def table_columns(r: Roles) -> DataFrame:
+    """What the catalog tells of a registered view."""
+    name = "described_trips_updates"
+    catalog.register({name: r.trips_updates})
+    described = catalog.describe(r.spark, name)
+    catalog.drop_view(r.spark, name)
+    return described
+
+
+@query
+def one_row_preview(r: Roles) -> DataFrame:
+    """Preview of a table of one row."""
+    return catalog.preview(questions.punctuality_rate(r.delays))
+
+
 # -- loads: written as text in the shared folder, then read with the library's readers
 
 
@@ -250,6 +287,20 @@ def typed_tables_load(r: Roles) -> DataFrame:
     return timetable.load_timetable(r.spark, folder, timetable.TYPED_TABLES)["stops"]
 
 
+@query
+def typed_routes_load(r: Roles) -> DataFrame:
+    folder = scratch.new_folder(r.spark, "timetable")
+    export.export_csv(r.routes, f"{folder}/routes.txt")
+    return timetable.load_timetable(r.spark, folder, timetable.TYPED_TABLES)["routes"]
+
+
+@query
+def typed_trips_load(r: Roles) -> DataFrame:
+    folder = scratch.new_folder(r.spark, "timetable")
+    export.export_csv(r.trips, f"{folder}/trips.txt")
+    return timetable.load_timetable(r.spark, folder, timetable.TYPED_TABLES)["trips"]
+
+
 @query
 def flat_feed_load(r: Roles) -> DataFrame:
     folder = scratch.new_folder(r.spark, "trip_updates")
@@ -313,6 +364,16 @@ def delay_heatmap_selected_runs(r: Roles) -> DataFrame:
     return history.delay_heatmap(first.unionByName(second), include_future=True)
 
 
+@query
+def delay_heatmap_weighted(r: Roles) -> DataFrame:
+    """Mean over events, but over minutes in the run that kept no totals."""
+    totals = snapshots.read_snapshots(
+        r.spark, r.minute_total_snapshots(), schemas.MINUTE_TOTALS, same_header=True
+    )
+    minutes = history.weighted_minutes(_minute_history(r), totals)
+    return history.delay_heatmap(minutes, AS_OF, weighted=True)
+
+
 @query
 def snapshot_union(r: Roles) -> DataFrame:
     first, second = _minute_history(r, STAMP_RANGE), _minute_history(r, "20250922*")

@@ -18,9 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline import scratch
-from tramline.operators.delay import service_day_delays, trip_relative_delays
-from tramline.operators.questions import minute_averages, stop_averages
-from tramline.plans.daily import BY_MINUTE, BY_STOP
+from tramline.operators.delay import expanded, service_day_delays, weighted_trip_delays
+from tramline.operators.questions import (
+    minute_averages,
+    minute_totals,
+    paris_minute_totals,
+    stop_averages,
+)
+from tramline.plans.daily import BY_MINUTE, BY_MINUTE_TOTALS, BY_STOP
 from tramline.session import prepare
 from tramline.sinks.export import replace_table, snapshot_glob, write_snapshots
 from tramline.sinks.versions import newest
@@ -30,6 +35,8 @@ from tramline.sources.timetable import with_stop_seconds
 
 FIRST_SECOND = 23 * 3600
 STEP_SECONDS = 1800
+# What stop numbers of stops outside the timetable differ by.
+UNPLANNED = 50
 
 # Labels of the runs; each sees the trips of two remainders of the trip number.
 STAMPS = (
@@ -112,26 +119,32 @@ class Roles:
 
     @cached_property
     def visits(self) -> DataFrame:
-        """One row per (trip, stop_sequence); the source repeats the pair."""
-        return (
+        """One row per (trip, stop_sequence); the source repeats the pair.
+
+        Trips whose number is divisible by 13 run a second time as extra trips, under the negative
+        number, of which the table of trips knows nothing.
+        """
+        visits = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("trip_id"), F.col("l_linenumber").alias("stop_sequence"))
             .agg(F.min("l_suppkey").alias("stop_id"), F.min("l_partkey").alias("part"))
         )
+        number = F.col("trip_id")
+        runs = F.when(number % 13 == 0, F.array(number, -number)).otherwise(F.array(number))
+        return visits.withColumn("trip_id", F.explode(runs))
 
     @cached_property
     def stop_times(self) -> DataFrame:
         """Timetable with its times as text, hours past 24, and in seconds.
 
-        By part number, some visits are not in it, some have no times, some occur twice.
+        By part number, some visits have no times and some occur twice.
         """
 
         def build() -> DataFrame:
             part = F.col("part")
             planned = F.when(~_part(part, 29), _planned_second(F.col("stop_sequence")))
-            planned_visits = self.visits.filter(~_part(part, 23))
             return with_stop_seconds(
-                _twice_if(planned_visits, _part(part, 31)).select(
+                _twice_if(self.visits, _part(part, 31)).select(
                     "trip_id",
                     _time_text(planned).alias("arrival_time"),
                     _time_text(planned + 30).alias("departure_time"),
@@ -151,13 +164,14 @@ class Roles:
         """Feed with epoch seconds and instants.
 
         No visit is left out; the arrival is blank for part numbers divisible by 17 and the
-        departure for those divisible by 13; those divisible by 37 occur twice.  Trips of one
-        week start on its Monday.
+        departure for those divisible by 13; those divisible by 37 occur twice.  Those
+        divisible by 23 have one more row at a stop that the timetable lacks, after the trip's last
+        stop or, if divisible by 46, before its first.  Trips of one week start on its Monday.
         """
 
         def build() -> DataFrame:
             orders = self.table("orders").select(
-                F.col("o_orderkey").alias("trip_id"),
+                F.col("o_orderkey").alias("order"),
                 F.col("o_custkey").alias("route_id"),
                 (F.col("o_orderkey") % 2).cast("int").alias("direction_id"),
                 F.unix_seconds(F.date_trunc("week", F.col("o_orderdate").cast("timestamp"))).alias(
@@ -167,13 +181,17 @@ class Roles:
             arrival = (
                 F.col("day") + _planned_second(F.col("stop_sequence")) + F.col("part") % 1800 - 600
             )
-            visits = _twice_if(self.visits, _part(F.col("part"), 37))
-            flat = visits.join(orders, "trip_id").select(
+            part = F.col("part")
+            more = F.when(_part(part, 46), -UNPLANNED).when(_part(part, 23), UNPLANNED)
+            visits = _twice_if(self.visits, _part(part, 37)).withColumn(
+                "shift", F.explode(F.array_compact(F.array(F.lit(0), more)))
+            )
+            flat = visits.join(orders, F.abs("trip_id") == F.col("order")).select(
                 "trip_id",
                 "route_id",
                 "direction_id",
                 "stop_id",
-                "stop_sequence",
+                (F.col("stop_sequence") + F.col("shift")).alias("stop_sequence"),
                 F.when(F.col("part") % 17 != 0, arrival).alias("arrival_time"),
                 F.when(F.col("part") % 13 != 0, arrival + 30).alias("departure_time"),
             )
@@ -212,15 +230,11 @@ class Roles:
 
     @cached_property
     def trips(self) -> DataFrame:
-        """Trips; some that the feed has are missing, and some have no route."""
+        """Trips, some without a route; the extra trips are not among them."""
         number = F.col("o_orderkey")
-        return (
-            self.table("orders")
-            .filter(number % 13 != 0)
-            .select(
-                number.alias("trip_id"),
-                F.when(number % 11 != 0, F.col("o_custkey")).alias("route_id"),
-            )
+        return self.table("orders").select(
+            number.alias("trip_id"),
+            F.when(number % 11 != 0, F.col("o_custkey")).alias("route_id"),
         )
 
     @cached_property
@@ -252,8 +266,12 @@ class Roles:
 
     @cached_property
     def delays(self) -> DataFrame:
+        return self._loaded("delays", lambda: expanded(self.weighted_delays))
+
+    @cached_property
+    def weighted_delays(self) -> DataFrame:
         return self._loaded(
-            "delays", lambda: trip_relative_delays(self.trips_updates, self.stop_times)
+            "weighted_delays", lambda: weighted_trip_delays(self.trips_updates, self.stop_times)
         )
 
     @cached_property
@@ -288,6 +306,15 @@ class Roles:
         folder = self._history(BY_MINUTE, lambda: minute_averages(self.run_delays, ["stamp"]))
         return snapshot_glob(folder, BY_MINUTE, stamps)
 
+    def minute_total_snapshots(self) -> str:
+        """Glob over the totals behind them, which the first run has not kept."""
+
+        def build() -> DataFrame:
+            kept = self.run_delays.filter(F.col("stamp") != STAMPS[0])
+            return paris_minute_totals(minute_totals(kept, ["stamp"]), ["stamp"])
+
+        return snapshot_glob(self._history(BY_MINUTE_TOTALS, build), BY_MINUTE_TOTALS)
+
     def _stop_runs(self) -> DataFrame:
         return stop_averages(self.run_delays, self.run_stops, ["stamp"])
 

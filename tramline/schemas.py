@@ -71,6 +71,7 @@ VEHICLE_FEED = _struct(
 
 # Exported snapshots that later questions read back.
 MINUTE_SNAPSHOT = _struct(minute_ts=LOCAL_TIME, avg_delay_min=DOUBLE)
+MINUTE_TOTALS = _struct(minute_ts=LOCAL_TIME, sum_sec=LONG, sum_us=LONG, n_delay=LONG)
 STOP_SNAPSHOT = _struct(
     stop_id=TEXT, stop_name=TEXT, stop_lat=DOUBLE, stop_lon=DOUBLE, avg_delay_min=DOUBLE
 )

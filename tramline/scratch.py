@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -33,3 +33,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return path
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """`frame` written once below the shared root and read back."""
+    spark = frame.sparkSession
+    path = new_folder(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
