@@ -147,7 +147,11 @@ def _classes(rows: DataFrame) -> DataFrame:
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     """(token, node, weight): postings of each class without its longest lists."""
     postings = classes.select("node", F.explode("tokens").alias("token"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
+    # Written first, so that the join below can split a token of very many classes.
+    shared = stored(
+        postings.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1"),
+        "shared-tokens",
+    )
     found = F.array_sort(F.collect_list(F.struct("times", "token")))
     return (
         postings.join(shared, "token")
@@ -161,10 +165,11 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
 
 def _met(postings: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of short lists, and pairs of a long list's most central class with the others."""
-    lists = (
+    lists = stored(
         postings.groupBy("token")
         .agg(F.count("*").alias("members"), F.max(F.struct("weight", "node")).alias("centre"))
-        .filter("members > 1")
+        .filter("members > 1"),
+        "posting-lists",
     )
     known = postings.select("token", "node").join(lists, "token")
     short = (
