@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import AWKWARD, collected, documents
@@ -71,3 +72,25 @@ def test_awkward_rows_through_every_stage(spark):
             result = stage(name)(spark, docs, TABLES)
             assert name == "bpe" or result.columns == docs.columns
             assert result.count() <= len(AWKWARD)
+
+
+# Names that stages use for helper columns.
+CLASHES = (
+    "version deleted document row times place window fingerprint content clean bits root node"
+    " same__doc_id same__document same__version same__times same__text component_id term score"
+).split()
+
+
+def test_every_other_column_goes_through_unchanged(spark):
+    docs = read_table(spark, TABLES, "documents").limit(200).cache()
+    given = docs.union(docs.limit(3)).select(
+        "*", *(F.concat(F.lit(f"{name} "), F.col("doc_id")).alias(name) for name in CLASHES)
+    )
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        result = stage(name)(spark, given, TABLES)
+        assert result.columns == given.columns
+        rows = result.collect()
+        assert len(rows) > 20
+        for row in rows:
+            assert all(row[c] == f"{c} {row.doc_id}" for c in CLASHES)
+    docs.unpersist()

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.tables import join_same, stored
+from tramline.llm.tables import field, join_same, packed, stored, unpacked
 
 MIN_WORDS = 50
 
@@ -114,29 +114,30 @@ def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text, n_lines, n_deleted): each row's text without its repeated runs."""
-    n_lines, n_deleted = F.size(_lines(F.col("text"))), F.size("deleted")
+    text = field("text")
+    n_lines, n_deleted = F.size(_lines(text)), F.size("deleted")
     return _with_deletions(documents.select("doc_id", "text"), min_words).select(
-        "doc_id",
-        _clean(F.col("text")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
+        field("doc_id").alias("doc_id"),
+        _clean(text).alias("text"),
+        F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
         F.when(F.col("deleted").isNull(), 0).otherwise(n_deleted).cast("long").alias("n_deleted"),
     )
 
 
 def without_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows with all their columns; `text` is cleaned and `n_chars`, if any, follows it."""
-    clean = _with_deletions(documents, min_words).withColumn("text", _clean(F.col("text")))
+    clean = _with_deletions(documents, min_words).withColumn("clean", _clean(field("text")))
+    changed = {"text": F.col("clean")}
     if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        changed = F.when(F.col("deleted").isNotNull(), F.length("text").cast(kind))
-        clean = clean.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return clean.select(*documents.columns)
+        length = F.length("clean").cast(documents.schema["n_chars"].dataType)
+        after = F.when(F.col("deleted").isNotNull(), length)
+        changed["n_chars"] = F.coalesce(after, field("n_chars"))
+    return unpacked(clean, documents, **changed)
 
 
 def _with_deletions(rows: DataFrame, min_words: int) -> DataFrame:
-    found = repeated_lines(rows, min_words).withColumnRenamed("document", "doc_id")
-    keyed = rows.withColumn("version", F.xxhash64("text"))
-    return join_same(keyed, found, ["doc_id", "version"], "left")
+    keyed = packed(rows, document=F.col("doc_id"), version=F.xxhash64("text"))
+    return join_same(keyed, repeated_lines(rows, min_words), list(KEYS), "left")
 
 
 def _clean(text: Column) -> Column:

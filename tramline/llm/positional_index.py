@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.tables import join_same, stored
+from tramline.llm.tables import join_same, packed, stored, unpacked
 
 WINDOW = 13
 BLOCK = 50_000
@@ -298,6 +298,6 @@ def contamination(
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
     found = contamination(documents, benchmark).filter("contaminated").select("doc_id", "version")
-    bad = found.distinct().withColumnRenamed("version", "same__text")
-    keyed = documents.withColumn("same__text", F.xxhash64("text"))
-    return join_same(keyed, bad, ["doc_id", "same__text"], "left_anti").select(*documents.columns)
+    bad = found.distinct().withColumnRenamed("doc_id", "document")
+    keyed = packed(documents, document=F.col("doc_id"), version=F.xxhash64("text"))
+    return unpacked(join_same(keyed, bad, ["document", "version"], "left_anti"), documents)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.components import components
-from tramline.llm.tables import join_same, stored
+from tramline.llm.tables import field, join_same, packed, stored, unpacked
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -256,11 +256,13 @@ def one_of_each(
     classes = near_duplicates(documents, shingle, max_bits)
     keep = (
         classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("same__times"))
+        .groupBy(F.col("doc_id").alias("document"))
+        .agg(F.count("*").alias("times"))
     )
-    kept = join_same(documents, keep, ["doc_id"], "inner")
+    kept = join_same(packed(documents, document=F.col("doc_id")), keep, ["document"], "inner")
     # Few ids occur in several rows; only those are shuffled again.
-    once = kept.filter("same__times = 1")
-    several = kept.filter("same__times > 1").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several).select(*documents.columns)
+    once = kept.filter("times = 1").withColumn("text", F.lit(None).cast("string"))
+    several = kept.filter("times > 1").withColumn("text", field("text"))
+    return unpacked(
+        once.unionByName(several.dropDuplicates(["document", "text"])), documents
+    )
