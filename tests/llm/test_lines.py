@@ -68,6 +68,34 @@ def test_every_line_of_a_later_run_goes(spark):
     assert cleaned(spark, texts) == [texts[0], "other tail", "x", texts[3]]
 
 
+def test_a_very_common_line_in_and_around_runs(spark):
+    """One line is in every text, again and again; runs differ in the lines beside it."""
+    chance = random.Random(3)
+    pool = [f"own {n} text" for n in range(30)]
+    texts = [
+        "\n".join("the common line" if chance.random() < 0.6 else chance.choice(pool) for _ in range(12))
+        for _ in range(120)
+    ]
+    assert cleaned(spark, texts, 9) == brute_force(texts, 9)
+
+
+def test_windows_leave_few_places_and_share_them(spark):
+    shared = [f"{n} shared words here" for n in range(40)]
+    texts = ["\n".join(["head of it", *shared]), "\n".join([*shared, "another tail"])]
+    windows = line_winnowing.runs(line_winnowing.line_table(documents(spark, texts)), 20)
+    places = line_winnowing.fingerprints(windows).collect()
+    assert sum(len(p.windows) for p in places) == windows.count()
+    assert len(places) < windows.count() / 3
+    by_document = {}
+    for place in places:
+        by_document.setdefault(place.document, set()).add(place.fingerprint)
+    contents = {}
+    for w in windows.collect():
+        contents.setdefault(w.content, set()).add(w.selected.hash)
+    assert all(len(hashes) == 1 for hashes in contents.values())
+    assert len(by_document[0] & by_document[1]) >= 40 * 4 // 20
+
+
 def test_one_long_line_is_a_run(spark):
     passage = " ".join(f"w{n}" for n in range(60))
     short = " ".join(f"w{n}" for n in range(49))

@@ -1,21 +1,26 @@
 """Line dedup: winnowed runs of line hashes, later repeats deleted.
 
 A run is a stretch of consecutive non-blank lines. Every line opens the shortest run of at
-least `min_words` words that starts with it and closes the shortest one that ends with it.
-Two equal stretches of at least `min_words` words hold equal windows, so none can be missed. All
-windows are kept and joined by content, a digest of their line hashes; the smallest line hash, the
-fingerprint, is part of the key but selects nothing, as joining selected minima would pair all
-places of a common line. The windows that start and end at each line of a match cover a repeated
-stretch from its first line to its last.
+least `min_words` words that starts with it and closes the shortest one that ends with it: its
+windows. Two equal stretches of at least `min_words` words hold equal windows, so none can be missed.
+
+* Winnowing: each window selects its smallest line hash, the first of equal ones, as its
+  fingerprint. Equal windows select the same line of theirs, so a repeated stretch is guaranteed to
+  leave a fingerprint that occurs at several places. Neighbouring windows mostly select the same
+  line; a place that was selected is one row, with the windows it stands for.
+* Places are joined with the fingerprints that several places have. All others are done.
+* Places that share a fingerprint are not compared pair by pair, as a common line has very many:
+  each of their windows, by a digest of all its line hashes, meets the earliest equal one.
+* Matches extend both ways line by line, as the windows that start and that end at each line
+  of a repeated stretch reach from its first line to its last.
 
 A window is a repeat if an equal one came before it, by doc_id and then by line, and if the
 two do not overlap inside one document. All lines of repeats are deleted, with blank lines
 inside them; each deleted line so keeps an equal line further up. Everything runs as SQL
-functions: no window is compared with all others, groups of any size shrink to one earliest
-row before they are joined.
+functions; groups of any size shrink to one earliest row before they are joined.
 
 Defined cases: a null text stays null and has no lines; an empty text has one blank line and
-stays; lines are split at line feeds only; rows that agree in doc_id and text are one document
+stays; a very long text is one row until its lines are cut, which are split at line feeds only; rows that agree in doc_id and text are one document
 and get the same result; a null doc_id sorts first; an empty table gives an empty result.
 """
 
@@ -57,7 +62,10 @@ def line_table(documents: DataFrame) -> DataFrame:
 
 
 def runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Each line's two windows: (document, version, first, last, fingerprint, content)."""
+    """Each line's windows: (document, version, first, last, content, selected).
+
+    `selected` is the smallest line hash of the window and where it is.
+    """
     document = Window.partitionBy(*KEYS)
     counted = lines.withColumn(
         "through", F.sum("words").over(document.orderBy("line_no"))
@@ -70,7 +78,7 @@ def runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             F.min("line_no").over(frame).alias("first"),
             F.max("line_no").over(frame).alias("last"),
             F.sum("words").over(frame).alias("total"),
-            F.min("hash").over(frame).alias("fingerprint"),
+            F.min(F.struct("hash", "line_no")).over(frame).alias("selected"),
             F.xxhash64(F.collect_list("hash").over(frame)).alias("content"),
         )
 
@@ -86,9 +94,26 @@ def runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return either.select(*KEYS, "window.*").filter(F.col("total") >= min_words).drop("total")
 
 
+def fingerprints(windows: DataFrame) -> DataFrame:
+    """(document, version, fingerprint, line_no, windows): every selected place, once."""
+    return windows.groupBy(
+        *KEYS, F.col("selected.hash").alias("fingerprint"), F.col("selected.line_no")
+    ).agg(F.collect_list(F.struct("first", "last", "content")).alias("windows"))
+
+
+def matched(places: DataFrame) -> DataFrame:
+    """Windows of the places whose fingerprint several places have."""
+    shared = stored(
+        places.groupBy("fingerprint").agg(F.count("*").alias("times")).filter("times > 1"),
+        "line-fingerprints",
+    )
+    return places.join(shared, "fingerprint").select(*KEYS, "fingerprint", F.inline("windows"))
+
+
 def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(document, version, deleted): line numbers of every later repeat, by document."""
-    found = stored(runs(line_table(documents), min_words), "line-windows")
+    places = stored(fingerprints(runs(line_table(documents), min_words)), "line-places")
+    found = stored(matched(places), "line-windows")
     key = ("fingerprint", "content")
     earliest = stored(
         found.groupBy(*key)
