@@ -52,3 +52,27 @@ def test_nothing_to_learn_from(spark):
     model = language_id.fit(docs.limit(0))
     assert model.predict("text") == ("und", 0.0)
     assert language_id.predict(docs.limit(0), model).count() == 0
+
+
+def test_only_letters_make_a_language(spark):
+    model = language_id.fit(read_table(spark, TABLES, "documents"))
+    for text in ("½ ² ①", "٣ 12", "_ - €", "\u0301"):
+        assert model.predict(text) == ("und", 1.0)
+    assert model.predict("½ a")[0] != "und"
+
+
+def test_layout_of_the_table_does_not_matter(spark):
+    docs = read_table(spark, TABLES, "documents").select("doc_id", "text", "lang")
+    found = [
+        {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, language_id.fit(d, 30)).collect()}
+        for d in (docs, docs.repartition(7, "text"))
+    ]
+    assert found[0] == found[1]
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    docs = read_table(spark, TABLES, "documents")
+    model = language_id.fit(docs)
+    most = docs.filter(~language_id.held_out()).groupBy("lang").count().orderBy("count").collect()[-2:]
+    assert sorted(x for m in model.members.values() for x in m) == sorted(r.lang for r in most)

@@ -6,17 +6,19 @@ multinomial model; the family with the highest chance is predicted. Languages of
 are told apart by one-versus-one linear support vector machines over the logarithms of the
 counts; each pair votes, and the mean margin of a language's pairs breaks ties.
 
-Bound of the sample that the machines are fitted on: `SAMPLE` texts of each language, dealt by
-a hash of doc_id, each with at most `SAMPLE_BYTES` bytes. The counts cover all training texts.
-
-Defined cases: a text that is null or has no letter is `und` with score 1; a language without a
-known family is one of its own; if nothing can be learned, every text with letters is `und` with
-score 0.
+Bound of the sample that the machines are fitted on: `SAMPLE` texts of each language, those with
+the smallest hashes of doc_id, each with at most `SAMPLE_BYTES` bytes. The counts cover all training
+texts. At most `LANGUAGES` languages are learned, those with the most texts, as their counts and
+machines are held by the driver and every task. The table is read twice, whatever languages it has.
+
+Defined cases: a text that is null or has no letter (of a Unicode category L) is `und` with score 1; a
+language without a known family is one of its own; if nothing can be learned, or the table is empty,
+every text with letters is `und` with score 0; very long texts are counted whole, a stretch at a time;
+repeated rows count, and may be sampled, again; other columns than doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -33,6 +35,7 @@ PLACE_BITS = 16
 PLACES = 1 << PLACE_BITS
 SAMPLE = 600
 SAMPLE_BYTES = 50_000
+LANGUAGES = 256
 SMOOTHING = 0.5
 COST = 10.0
 FOLDS, HELD_OUT_FOLD = 4, 2
@@ -47,14 +50,13 @@ FAMILIES = {
     "indic": ("hi", "bn", "mr", "ur", "pa", "gu"),
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
 _BYTE = np.arange(256, dtype=np.uint32)
 _BYTE[:97], _BYTE[123:128] = 32, 32
 _STRETCH = 1 << 20
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def family_of(language: str) -> str:
@@ -155,9 +157,11 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
         .agg(F.sum("n").alias("n")),
         "language-ngrams",
     )
+    texts = sums.filter(F.col("place") == PLACES).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    learned = [row["lang"] for row in texts.collect()]
     # At most PLACES + 1 rows for each language.
     counts: dict[str, np.ndarray] = {}
-    found = sums.toArrow()
+    found = sums.filter(F.col("lang").isin(learned)).toArrow()
     langs = found["lang"].to_numpy()
     for lang in sorted(set(langs)):
         own = langs == lang
@@ -182,17 +186,23 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def _sampled(train: DataFrame, sizes: dict[str, float], sample: int) -> dict[str, list]:
-    """Vectors of about `sample` texts of each language, and never more."""
-    vectors = {}
+    """Vectors of about `sample` texts of each language, and never more, however rows lie."""
+    vectors: dict[str, list] = {lang: [] for lang in sizes}
+    if not sizes:
+        return vectors
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    limit = F.lit(0.0)
     for lang, size in sizes.items():
-        chosen = train.filter(
-            (F.col("lang") == lang)
-            & (share < 1.2 * sample / size * (1 << 20))
-            & (F.octet_length("text") <= SAMPLE_BYTES)
-        )
-        texts = [row["text"] for row in chosen.select("text").limit(sample).collect()]
-        vectors[lang] = [_vector(ngram_counts(text)) for text in sorted(texts) if has_letter(text)]
+        limit = F.when(F.col("lang") == lang, 1.2 * sample / size * (1 << 20)).otherwise(limit)
+    some = (
+        train.select("doc_id", "lang", "text", share.alias("share"))
+        .filter((F.col("share") < limit) & (F.octet_length("text") <= SAMPLE_BYTES))
+    )
+    place = "row_number() OVER (PARTITION BY lang ORDER BY share, doc_id, text)"
+    chosen = some.withColumn("number", F.expr(place)).filter(F.col("number") <= sample)
+    for row in sorted(chosen.select("lang", "text").collect()):
+        if has_letter(row["text"]):
+            vectors[row["lang"]].append(_vector(ngram_counts(row["text"])))
     return vectors
 
 
