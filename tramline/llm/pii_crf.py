@@ -341,7 +341,9 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Field | None:
     )
     size = max(able.count(), 1)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = able.filter(share < 1.2 * sample / size * (1 << 20)).select("text").limit(sample)
+    some = able.filter(share < 1.2 * sample / size * (1 << 20))
+    # The smallest hashes, however the rows lie.
+    chosen = some.orderBy(share, "doc_id", "text").select("text").limit(sample)
     return train(sorted(row["text"] for row in chosen.collect()))
 
 
