@@ -144,3 +144,103 @@ def test_awkward_rows(spark):
     assert pii_crf.fit(docs.limit(0)) is None
     assert pii_crf.personal_data(docs.limit(0), None).count() == 0
     assert pii_crf.fit(docs) is not None
+
+
+def broken_texts(n, seed):
+    """Texts of which each has whole and broken spans, and numbers that are none: (text, broken)."""
+    chance = random.Random(seed)
+    made = []
+    for _ in range(n):
+        name = chance.choice("annbobcyd") + "".join(chance.choices("aeioulmnrst", k=5))
+        number = "".join(chance.choices("0123456789", k=7))
+        whole = [
+            f"mail {name}@mail.example.com now",
+            f"call +1 (212) {number[:3]}-{number[3:]} now",
+            f"from 10.{chance.randrange(256)}.7.{chance.randrange(256)} here",
+            f"card {chance.randrange(10**15, 10**16)} paid",
+            f"page {number[:2]} of {number[:3]} in {1900 + chance.randrange(120)}",
+        ]
+        broken = [
+            ("write {} soon", f"{name}@mail", "email"),
+            ("ask {} again", name, "email"),
+            ("dial {} first", f"212-{number[:3]}-{number[3:]}", "phone"),
+            ("host {} down", f"10.{chance.randrange(256)}.{chance.randrange(300, 900)}.4", "ip"),
+        ]
+        picked = chance.sample(broken, 2)
+        if any(text == name for _, text, _ in picked):
+            whole = whole[:1] + chance.sample(whole[1:], 2)
+        else:
+            whole = chance.sample(whole, 3)
+        if any(kind == "phone" for _, _, kind in picked):
+            whole = [w for w in whole if not w.startswith("call")] + [
+                f"call +1 (212) {number[:3]}-{number[3:]} now"
+            ]
+        parts = [*whole, *(frame.format(text) for frame, text, _ in picked)]
+        chance.shuffle(parts)
+        made.append((" filler ".join(parts), [(text, kind) for _, text, kind in picked]))
+    return made
+
+
+def recovered(field, made):
+    """(share of broken spans found, share of added spans that are broken ones)."""
+    hit = total = added = 0
+    for text, broken in made:
+        base, spans = pii_crf.find_spans(text, field)
+        more = [(text[s:e], kind) for kind, s, e in spans if kind.startswith("like_")]
+        known = {(t, f"like_{k}") for t, k in broken}
+        # A card without a valid check digit is a broken span as well.
+        added += sum(m not in known and m[1] != "like_card" for m in more)
+        hit += sum(k in more for k in known)
+        total += len(known)
+        assert set(base) <= set(spans)
+    return hit / total, hit / max(hit + added, 1)
+
+
+def test_the_field_finds_broken_spans():
+    trained = field()
+    made = broken_texts(200, 9)
+    found, right = recovered(trained, made)
+    assert found >= 0.5 and right >= 0.9
+
+
+def test_links_tell_numbers_apart_that_look_alike():
+    """Bare digits are a phone number again, or an order number, by what else the document holds."""
+    chance = random.Random(4)
+
+    def made(n):
+        for _ in range(n):
+            number = "".join(chance.choices("0123456789", k=7))
+            order = "".join(chance.choices("123456789", k=11))
+            call = f"call +1 (212) {number[:3]}-{number[3:]} now"
+            yield f"{call} filler about order {order} sent", f"1212{number}", order
+
+    trained = pii_crf.train([text for text, _, _ in made(300)])
+    without = pii_crf.Field(trained.shapes, trained.chain, 0 * trained.skip, trained.sure)
+    shares = []
+    for used in (trained, without):
+        found = wrong = 0
+        for text, again, order in made(100):
+            text = f"{text} or dial {again} again"
+            spans = pii_crf.find_spans(text, used)[1]
+            added = [text[s:e] for kind, s, e in spans if kind == "like_phone"]
+            found += again in added
+            wrong += order in added
+        shares.append((found, wrong))
+    assert shares[0][0] >= 80 and shares[0][1] <= 8
+    assert shares[1][0] <= 50
+
+
+def test_damaged_texts_keep_their_spans():
+    chance = random.Random(2)
+    text = "a joe@x.example.com b +1 (212) 555-0187 c 10.2.3.4 d 4539578763621486 e"
+    base = pii_crf.base_spans(text)
+    assert [kind for kind, _, _ in base] == ["email", "phone", "ip", "card"]
+    for _ in range(50):
+        other, spans = pii_crf.damaged(text, base, chance, 0.7)
+        assert other.startswith("a joe") and " e" in other
+        assert 4 <= len(spans) <= 6
+        for kind, start, end in spans:
+            assert other[start:end].strip() == other[start:end] != ""
+    assert pii_crf.damaged(text, base, chance, 0.0) == (text, base)
+    # A sample that nothing can be measured on adds nothing.
+    assert pii_crf.train(["page 12 of 13"] * 9).sure > 1
