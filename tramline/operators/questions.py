@@ -31,6 +31,7 @@ STOP_COLUMNS = ["stop_id", "stop_name", "stop_lat", "stop_lon"]
 ON_TIME_MINUTES = 5
 # Pairs of a vehicle and an event that one task should make.
 PAIRS_PER_RANGE = 500_000
+LEAST_PAIRS = 10_000
 # Steps in which a range is measured out.
 STEPS_PER_RANGE = 50
 
@@ -202,8 +203,9 @@ def _dealt_by_time(
         "weight", F.coalesce("n_events", F.lit(1))
     )
     total = weighted.agg(F.sum("weight")).first()[0] or 0
-    # A single partition would not be kept as it is dealt.
-    ranges = max(2, -(-total // pairs_per_range))
+    # Smaller ranges where cores would be idle; a single partition would not be kept as dealt.
+    idle = min(vehicles.sparkSession.sparkContext.defaultParallelism, total // LEAST_PAIRS)
+    ranges = max(2, idle, -(-total // pairs_per_range))
     step = max(1, total // (ranges * STEPS_PER_RANGE))
     steps = F.call_function("div", F.col("weight") + (step - 1), F.lit(step))
     dealt = (
