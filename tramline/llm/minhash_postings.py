@@ -175,8 +175,8 @@ def _met(postings: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
     short = (
         known.filter(F.col("members") <= crowd)
         # Dealt again, so that the join before may split a long list.
-        .repartition("token")
-        .groupBy("token")
+        .repartition("members", "token")
+        .groupBy("members", "token")
         .agg(F.array_sort(F.collect_list("node")).alias("nodes"))
         .select("nodes", F.posexplode("nodes").alias("at", "a"))
         .select("a", F.explode(F.slice("nodes", F.col("at") + 2, F.size("nodes"))).alias("b"))
