@@ -12,7 +12,9 @@ Encoded words are kept in a bounded cache for the batches that follow in the sam
 
 Defined cases: a null text is an empty one; a text without words has no ids and decodes to an
 empty string; strings of the
-special tokens in a text become those tokens; repeated rows each get their result.
+special tokens in a text become those tokens; repeated rows each get their result; a very long text
+is encoded whole in one task, in a trie of its own; an empty table gives an empty result; columns
+other than doc_id and text are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ and comments are left out, by the names of the elements around them; of a page w
 
 Defined cases: a null or empty page has an empty text; a page without a host takes part in no
 template; tags that are never closed, or cut off by the end of the page, end with the page;
-repeated pages each get their result; an empty table gives an empty result.
+repeated pages each get their result; an empty table gives an empty result; a very long page is parsed
+whole in one task; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations

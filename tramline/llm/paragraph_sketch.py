@@ -16,7 +16,8 @@ more than one task, and no task reads more than a range.
 
 Defined cases: a null text is empty; an empty text has an all-zero fingerprint, and two of them
 are alike with 1; rows of one doc_id follow each other by text; rows without doc_id come last; a
-table of one row has itself as the next one; an empty table gives an empty result.
+table of one row has itself as the next one; an empty table gives an empty result; a very long text is
+cut into its pieces in one task; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ matches grow with the documents and are joined by shuffles only.
 
 Defined cases: a null or empty text has no words and no hits; an item without words is no
 window; repeated rows each get their result; rows that share a doc_id but not the text are told
-apart by the text; an empty benchmark leaves every document clean.
+apart by the text; an empty benchmark leaves every document clean, and an empty table of documents
+gives an empty result; a very long text is one list of words in one task; other columns are not
+read, and `decontaminate` hands them on as they are, whatever their names.
 """
 
 from __future__ import annotations

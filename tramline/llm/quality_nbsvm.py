@@ -13,7 +13,9 @@ Bound of the sample: `SAMPLE` texts of each class, dealt by a hash of doc_id, no
 
 Defined cases: a null or empty text has no features and gets the score of the bias; labels that
 are null, or contradict each other evenly for one doc_id, are left out; with labels of one class
-only, or none, every score is that class's share, with 0.5 for none.
+only, or none, every score is that class's share, with 0.5 for none, so an empty table of documents or
+labels is no error. A very long text is counted whole, a stretch at a time; repeated rows count
+again in training and get the same score; columns other than those named are not read.
 """
 
 from __future__ import annotations

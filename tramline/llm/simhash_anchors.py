@@ -15,7 +15,9 @@ that share one are within two bits, so linking each to the smallest is exact and
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero and is linked
 like any other; fewer words than the shingle length make one shingle of all; equal rows share a
-class; a row without doc_id takes part in links but never names a class unless its class has no id.
+class; a row without doc_id takes part in links but never names a class unless its class has no id;
+very long texts are hashed a block of shingles at a time; an empty table gives an empty result; other
+columns are not read, and `one_of_each` hands them on as they are, whatever their names.
 """
 
 from __future__ import annotations

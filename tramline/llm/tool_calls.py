@@ -16,7 +16,8 @@ a null identifier links to nothing. Of calls that share an identifier the first
 call and the others are "duplicate"; all results of an identifier are listed by turn. Dependencies
 that name no call are ignored; calls on a cycle have level -1 and come last. Arguments that are
 no JSON object, or break the schema, leave `valid` false; a tool without schema accepts any
-object. Empty tables give an empty result.
+object. Empty tables give an empty result. Very long arguments and results are held whole with their
+call; other columns are not read.
 """
 
 from __future__ import annotations
