@@ -1,4 +1,10 @@
-"""Documents from the raw table to token ids: reject, clean, thin out, decontaminate, encode."""
+"""Documents from the raw table to token ids: reject, clean, thin out, decontaminate, encode.
+
+Every stage but the last returns the columns of the rows it is given, unchanged but for `text` and
+`n_chars` after line dedup, whatever their names are. A null or empty text goes through all stages that
+do not reject it; an empty table gives an empty one. The docstrings of the operators' modules state
+what they do with very long texts, ties and repeated rows.
+"""
 
 from __future__ import annotations
 
@@ -15,23 +21,26 @@ from tramline.llm.tables import read_table, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; repeated rows share their fate."""
     labels = read_table(spark, sf_dir, "labels")
     return quality_nbsvm.accepted(docs, quality_nbsvm.fit(docs, labels))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without runs of lines that came before."""
+    """All documents, without runs of lines that came before; a null text stays null."""
     return line_winnowing.without_repeated_lines(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: that of the smallest id, once if it repeats.
+
+    Texts without words are a class, so one of them stays.
+    """
     return simhash_anchors.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not repeat the benchmark."""
+    """Documents that do not repeat the benchmark; all stay if it is empty."""
     return positional_index.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
