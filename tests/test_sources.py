@@ -115,6 +115,13 @@ def test_feed_csv_with_decimal_epochs(spark, tmp_path):
     ) == [("A", "r", "s1", 1, 1757700800, None), ("B", None, None, 2, None, 1757700800)]
 
 
+def test_whole_numbers_in_decimal_text(spark):
+    given = [("1757700800.0",), ("12.7",), ("9007199254740993.0",), ("-3.00",), ("1e3",), ("x",), ("7",), (None,)]
+    text = spark.createDataFrame(given, "t string")
+    found = text.select(feeds._number(F.col("t"), schemas.LONG)).collect()
+    assert [r[0] for r in found] == [1757700800, None, 9007199254740993, -3, 1000, None, 7, None]
+
+
 def test_vehicle_csv(spark, tmp_path):
     path = tmp_path / "vehicles.csv"
     path.write_text(

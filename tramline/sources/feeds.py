@@ -79,10 +79,14 @@ OPTIONAL_VEHICLE_COLUMNS = ("route_id", "stop_id", "bearing", "speed")
 
 
 def _number(text: Column, kind: T.DataType) -> Column:
-    """Whole or decimal text; number columns with gaps reach CSV with a decimal part."""
+    """Whole or decimal text; whole-number columns with gaps reach CSV with a decimal part.
+
+    That part has to be zero: what is no whole number is NULL in a column of whole numbers.
+    """
     plain = text.try_cast(kind)
     if isinstance(kind, T.IntegralType):
-        return F.coalesce(plain, text.try_cast("double").try_cast(kind))
+        exact = text.try_cast("decimal(38,18)")
+        return F.coalesce(plain, F.when(exact == F.floor(exact), exact.try_cast(kind)))
     return plain
 
 
