@@ -91,8 +91,10 @@ def test_a_thousand_batches_are_read_from_few_files(spark, tmp_path):
         F.col("id").alias("batch"),
     )
     totals.repartition(8, "batch").write.partitionBy("batch").mode("append").parquet(table)
+    marks = tmp_path / versions.MARKS / minutes.BATCHES
+    marks.mkdir(parents=True)
     for number in range(1000):
-        versions.commit(spark, table, minutes.BATCHES, f"{number:012d}", [])
+        (marks / f"{number:012d}.json").write_text("{}")
     known = averages(spark, table)
     assert len(known) == 7
     assert minutes.merge_batches(spark, table) == 1000

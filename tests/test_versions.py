@@ -126,28 +126,23 @@ def test_remembered_headers_of_files_from_elsewhere(spark, tmp_path, monkeypatch
     assert more.filter("stop_id = 7").first().avg_delay_min == 9.0
 
 
-def test_ten_thousand_small_files(spark, tmp_path, monkeypatch):
-    """Two headers, 250 runs of some 45 files."""
-    monkeypatch.setattr(export, "FILES_PER_RUN", 100)
-    settings = {
-        "spark.sql.shuffle.partitions": "64",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    runs = spark.range(40_000).select(
-        F.date_format(F.timestamp_seconds((F.col("id") % 250) * 60 + 1_750_000_000), "yyyyMMdd_HHmmss").alias("stamp"),
-        F.col("id").cast("string").alias("stop_id"),
-        F.lit("n").alias("stop_name"),
-        (F.col("id") / 8).alias("avg_delay_min"),
-    )
-    early = F.col("stamp") < "20250615_170000"
-    export.write_snapshots(runs.filter(early), str(tmp_path), "s")
-    export.write_snapshots(runs.filter(~early).select(*reversed(runs.columns)), str(tmp_path), "s")
-    for key, value in before.items():
-        spark.conf.set(key, value)
-    assert len(list(tmp_path.glob("s/*/*/*.csv"))) > 10_000
+def test_ten_thousand_small_files(spark, tmp_path):
+    """Two writes with headers of their own, 250 runs of 40 files."""
+    headers = ["stop_id,stop_name,avg_delay_min", "avg_delay_min,note,stop_id"]
+    rows_ = ["{id},n,{delay}\n", "{delay},x,{id}\n"]
+    writes = []
+    for header in headers:
+        writes.append(versions.new_write(spark, str(tmp_path), "s"))
+        versions.commit(spark, str(tmp_path), "s", writes[-1], header.split(","))
+    for n in range(10_000):
+        run, late = n % 250, n % 250 % 2
+        folder = tmp_path / "s" / f"stamp=20250912_{run // 60:02d}{run % 60:02d}00" / f"write={writes[late]}"
+        folder.mkdir(parents=True, exist_ok=True)
+        lines = [rows_[late].format(id=4 * n + k, delay=(4 * n + k) / 8) for k in range(4)]
+        (folder / f"part-{n}.csv").write_text(headers[late] + "\n" + "".join(lines))
     found = snapshots.read_snapshots(spark, export.snapshot_glob(str(tmp_path), "s"), schemas.STOP_SNAPSHOT)
-    total = found.agg(F.count("*"), F.sum("avg_delay_min"), F.count_distinct("snapshot_ts_temps")).first()
-    assert tuple(total) == (40_000, 40_000 * 39_999 / 16, 250)
+    total = found.agg(
+        F.count("*"), F.sum("avg_delay_min"), F.count_distinct("stop_id"), F.count_distinct("snapshot_ts_temps"),
+        F.count("note"),
+    ).first()
+    assert tuple(total) == (40_000, 40_000 * 39_999 / 16, 40_000, 250, 20_000)
