@@ -3,10 +3,12 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from tests.llm.helpers import AWKWARD, collected, documents
+from tramline.llm import components as linking
 from tramline.llm import queries, simhash_anchors
 from tramline.llm.components import components
 
@@ -104,6 +106,45 @@ def test_components_of_long_chains(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("hubs", [2, 40])
+def test_hubs_and_other_nodes_keep_their_links(spark, monkeypatch, hubs):
+    monkeypatch.setattr(linking, "HUBS", hubs)
+    chance = random.Random(hubs)
+    # Two hubs of leaves, joined by a path, beside small groups.
+    links = [(1000, n) for n in range(300)] + [(1001, n) for n in range(400, 700)]
+    links += [(299, 800), (800, 801), (801, 400)]
+    links += [(2000 + 3 * n + k, 2000 + 3 * n) for n in range(30) for k in (1, 2)]
+    chance.shuffle(links)
+    found = components(spark.createDataFrame(links, "a long, b long").repartition(6))
+    expected = {n: 0 for pair in links for n in pair if 0 < n < 2000}
+    expected |= {2000 + 3 * n + k: 2000 + 3 * n for n in range(30) for k in (1, 2)}
+    assert {r.node: r.root for r in found.collect()} == expected
+
+
+def test_full_tables_of_nodes_are_handed_on(monkeypatch):
+    chance = random.Random(3)
+    links = [(chance.randrange(200), chance.randrange(200)) for _ in range(150)]
+    batches = [
+        pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links[at : at + 10]])
+        for at in range(0, len(links), 10)
+    ]
+    monkeypatch.setattr(linking, "NODES", 15)
+    stars = [
+        pair for batch in linking._contract(iter(batches))
+        for pair in zip(*(column.to_pylist() for column in batch.columns), strict=True)
+    ]
+
+    def classes(pairs):
+        top = {n: n for n in range(200)}
+        for _ in range(200):
+            for a, b in pairs:
+                top[a] = top[b] = min(top[a], top[b])
+        return top
+
+    assert classes(stars) == classes(links)
+    assert len(stars) <= len(links)
+
+
 def test_awkward_rows(spark):
     docs = documents(spark, [*AWKWARD, "two words", "TWO words", "é" * 10], first_id=10)
     found = collected(simhash_anchors.near_duplicates(docs))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.components import components
+from tramline.llm.components import components, join_hubs
 from tramline.llm.tables import field, join_same, packed, stored, unpacked
 
 SHINGLE = 3
@@ -242,8 +242,12 @@ def near_duplicates(
     labelled = distinct.join(roots, distinct["bits"] == roots["node"], "left").select(
         "bits", "smallest", F.coalesce("root", "bits").alias("class")
     )
-    names = labelled.groupBy("class").agg(F.min("smallest").alias("component_id"))
-    classes = stored(labelled.join(names, "class").select("bits", "component_id"), "classes")
+    names = labelled.groupBy("class").agg(
+        F.min("smallest").alias("component_id"), F.count("*").alias("times")
+    )
+    classes = stored(
+        join_hubs(labelled, names, "class", distinct.count()).select("bits", "component_id"), "classes"
+    )
     return rows.join(classes, "bits").select(
         "doc_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
