@@ -89,6 +89,13 @@ def test_one_twentieth_is_enough(spark):
     assert [found[n][3] for n in (0, 1)] == [True, False]
 
 
+def test_a_long_text_that_repeats_a_window(spark):
+    item = " ".join(f"w{n}" for n in range(13))
+    docs = documents(spark, [f"{item} " * 100_000, f"w5 w6 {item}"])
+    found = answers(positional_index.contamination(docs, items_table(spark, [(5, item)])))
+    assert found == {0: (1_300_000, 1_300_000, ["5"], True), 1: (15, 13, ["5"], True)}
+
+
 def test_proximity(spark):
     texts = ["far a b c d rare1 e rare2", "rare1 x x x rare2", "rare1 rare2", "rare2 y y rare1"]
     docs = documents(spark, [*texts, *["a b c d e"] * 5])

@@ -221,15 +221,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_words, n_hit, matched = [], [], []
         for text, candidates in zip(batch.column(2), batch.column(3), strict=True):
             words = words_of(text.as_py())
-            covered, windows = set(), set()
-            for candidate in candidates.as_py() or ():
-                phrase = candidate["phrase"].encode().split(b" ")
-                start = candidate["start"]
-                if words[start : start + len(phrase)] == phrase:
-                    covered.update(range(start, start + len(phrase)))
-                    windows.add(candidate["window"])
+            covered, windows = np.zeros(len(words), bool), []
+            for candidate in candidates if candidates.is_valid else ():
+                phrase = candidate["phrase"].as_py().encode().split(b" ")
+                size, met = len(phrase), False
+                for start in candidate["starts"].values.to_numpy():
+                    if words[start : start + size] == phrase:
+                        covered[start : start + size] = met = True
+                if met:
+                    windows.append(candidate["window"].as_py())
             n_words.append(len(words))
-            n_hit.append(len(covered))
+            n_hit.append(int(covered.sum()))
             matched.append(sorted(windows))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()),
@@ -265,11 +267,12 @@ def contamination(
         candidates = spark.createDataFrame(
             [], f"document {kinds[0]}, version {kinds[1]}, window long, start int"
         )
+    # A window's words stand once beside the places where it may start in a document.
+    places = candidates.groupBy(*KEYS, "window").agg(F.collect_set("start").alias("starts"))
     per_document = (
-        candidates.distinct()
-        .join(windows, "window")
+        places.join(windows, "window")
         .groupBy(*KEYS)
-        .agg(F.collect_list(F.struct("start", "window", "phrase")).alias("candidates"))
+        .agg(F.collect_list(F.struct("starts", "window", "phrase")).alias("candidates"))
     )
     checked = join_same(texts, per_document, [*KEYS], "left")
     checked = checked.select(*KEYS, "text", "candidates")
