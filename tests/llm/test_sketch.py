@@ -3,6 +3,7 @@ import random
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, EXTRA, documents
 from tramline.llm import paragraph_sketch, queries
@@ -81,6 +82,26 @@ def test_any_number_of_ranges(spark):
         assert sorted(map(answer, found.collect())) == expected
 
 
+def test_ranges_follow_the_size_and_are_tasks_of_their_own(spark, monkeypatch):
+    docs = documents(spark, ["some words " * 40] * 200)
+    sizes = {}
+    for size in (8_000, 2_000):
+        monkeypatch.setattr(paragraph_sketch, "RANGE_BYTES", size)
+        rows, _ = paragraph_sketch.with_next(docs)
+        by_task = rows.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.count_distinct("range").alias("ranges")
+        )
+        tasks = by_task.collect()
+        assert {r.ranges for r in tasks} == {1}
+        sizes[size] = (len(tasks), max(r.n for r in tasks))
+    assert sizes[8_000][0] == 2 + 88_000 // 8_000
+    assert sizes[2_000][0] == 2 + 88_000 // 2_000
+    assert sizes[2_000][1] <= 7
+    monkeypatch.setattr(paragraph_sketch, "MOST_RANGES", 3)
+    found = paragraph_sketch.fingerprints(docs).collect()
+    assert sorted(r.doc_id for r in found) == list(range(200))
+
+
 def test_one_row_no_row_and_missing_ids(spark):
     one = documents(spark, ["alone\nhere"])
     (row,) = paragraph_sketch.fingerprints(one).collect()

@@ -11,8 +11,9 @@ The fingerprint is the smallest sketch as hexadecimal digits: equal texts have e
 Likeness is shared paragraphs over all distinct paragraphs of both.
 
 To meet its neighbour, each document goes to a range of doc_ids, in descending order, and the
-first document of a range also goes to the range before it, as a guest; so no range is read by
-more than one task, and no task reads more than a range.
+first document of a range also goes to the range before it, as a guest. Each range is a task of its
+own. There are as many as the texts have stretches of `RANGE_BYTES`, so tasks do not grow with
+the table until `MOST_RANGES`; beyond it they do, as a task sorts on disk and holds two texts at once.
 
 Defined cases: a null text is empty; an empty text has an all-zero fingerprint, and two of them
 are alike with 1; rows of one doc_id follow each other by text; rows without doc_id come last; a
@@ -37,6 +38,9 @@ PARAGRAPH = 80
 CELLS = 15
 GROWTH = 4
 THIRDS = 3
+RANGE_BYTES = 16 << 20
+# The bounds of all ranges pass through the driver.
+MOST_RANGES = 10_000
 
 _PIECE = re.compile(rf"[^\n]{{1,{PARAGRAPH}}}\S*")
 _MASK = (1 << 64) - 1
@@ -179,10 +183,15 @@ def _dealt(bounds: np.ndarray, guests: dict[int, list[int]]):
     return run
 
 
+def _ranges(documents: DataFrame) -> int:
+    total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_RANGES, 2 + total // RANGE_BYTES)
+
+
 def with_next(documents: DataFrame, ranges: int | None = None) -> tuple[DataFrame, str]:
     """Rows (range, guest, doc_id, text) in an order in which each is followed by its next one."""
     spark = documents.sparkSession
-    parts = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = ranges or _ranges(documents)
     kind = documents.schema["doc_id"].dataType.simpleString()
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
     shares = [n / parts for n in range(1, parts)] or [0.5]
@@ -209,7 +218,7 @@ def with_next(documents: DataFrame, ranges: int | None = None) -> tuple[DataFram
         _dealt(bounds, guests), schema
     )
     return (
-        dealt.repartition(parts, "range").sortWithinPartitions(
+        dealt.repartitionById(len(bounds) + 2, "range").sortWithinPartitions(
             "range", "guest", F.desc("doc_id"), F.xxhash64("text"), "text"
         ),
         kind,
