@@ -189,6 +189,24 @@ def test_feed_and_timetable_are_shuffled_once(spark):
     assert "Window" not in executed
 
 
+def test_small_partitions_are_joined_without_sorts(spark):
+    feed_rows = [(f"t{n}", n % 3, at(8)) for n in range(300)]
+    plan_rows = [(f"t{n}", n % 3, "s1", 28800) for n in range(300)]
+    delays = delay.service_day_delays(feed(spark, feed_rows), plan(spark, plan_rows))
+    kept = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in kept}
+    for key in kept:
+        spark.conf.set(key, "-1")
+    try:
+        assert len(delays.collect()) == 300
+        executed = delays._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    final = executed.split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
 def test_repeats_of_a_first_stop_are_not_gathered(spark):
     feed_rows = [("A", 0, at(8, n % 3)) for n in range(30)] + [("A", 0, None), ("A", 1, at(9))]
     plan_rows = [("A", 0, "s1", 28800), ("A", 0, "s2", 28800), ("A", 0, "s3", 28860), ("A", 1, "s4", 32400)]

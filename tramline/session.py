@@ -13,6 +13,10 @@ RUNTIME_SETTINGS = {
     # Runtime re-planning: partition counts from real sizes, hot join partitions split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Compressed bytes a task takes of a shuffle or a file: its rows are about ten times that in a
+    # sort or a hash table, and a stage holds several of them, so larger ones spill.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot trip even when that costs one more exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
