@@ -11,6 +11,7 @@ from __spark_entry__ import entry
 from tests.check import connect, differences
 from tramline.plans.oracles import oracle_sql
 from tramline.plans.registry import queries
+from tramline.plans.roles import Roles
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -32,6 +33,12 @@ def test_every_query_has_sql():
     assert set(bench.HEADLINE) <= set(queries())
 
 
+def test_stop_runs_are_averaged_once(spark):
+    runs = Roles(spark, SMALL)._stop_runs()
+    assert "Aggregate" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    assert runs.groupBy("stamp", "stop_id").count().filter("count > 1").isEmpty()
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["route_id", "avg_delay_min"]
 

@@ -316,7 +316,11 @@ class Roles:
         return snapshot_glob(self._history(BY_MINUTE_TOTALS, build), BY_MINUTE_TOTALS)
 
     def _stop_runs(self) -> DataFrame:
-        return stop_averages(self.run_delays, self.run_stops, ["stamp"])
+        def build() -> DataFrame:
+            return stop_averages(self.run_delays, self.run_stops, ["stamp"])
+
+        # Written once for all the exports, each of which would scan the events again.
+        return self._loaded("stop_runs", build)
 
     def stop_snapshots(self) -> str:
         """Glob over the runs' averages per stop."""
