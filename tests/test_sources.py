@@ -187,6 +187,33 @@ def test_many_archive_lines_leave_in_batches(spark):
     )
 
 
+def test_lines_cut_out_of_blocks_are_those_of_the_text(monkeypatch):
+    monkeypatch.setattr(archives, "BLOCK_CHARS", 3)
+    for end in ("\n", "\r\n", "\r"):
+        for text in ("", "a", "a\n", "\n\na", "long line\n\nb\n \n", "é\x0bb\u2028c\nd\n\n"):
+            content = text.replace("\n", end).encode("utf-8-sig")
+
+            def opened(content=content):
+                return io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig")
+
+            assert list(archives._lines(opened())) == [line.rstrip("\n") for line in opened()]
+
+
+def test_lines_are_written_by_table_without_a_sort(spark, tmp_path):
+    lines = [(f"a{n}.zip", f"t{n % 7}", "id", str(n)) for n in range(100)]
+    table = spark.createDataFrame(lines, archives.LINES_SCHEMA)
+    table.createOrReplaceTempView("lines_to_write")
+    spark.sql("CREATE TABLE lines_by_table (archive string, header string, line string, table_name string)"
+              f" USING parquet PARTITIONED BY (table_name) LOCATION '{tmp_path}'")
+    try:
+        plan = spark.sql(
+            "EXPLAIN INSERT INTO lines_by_table SELECT archive, header, line, table_name FROM lines_to_write"
+        ).first()[0]
+    finally:
+        spark.sql("DROP TABLE lines_by_table")
+    assert "Sort" not in plan
+
+
 def test_seven_tables_read_each_archive_once(spark, tmp_path):
     """What the file source gives is noted for each archive that a task asks for."""
     names = [f"t{n}" for n in range(7)]

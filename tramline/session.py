@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot trip even when that costs one more exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Files of as many folders at once, before a task that writes them has to sort its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Hash instead of sort where every shuffled partition of a side is measured to be small; a
     # hash table cannot spill, so the bound leaves room for one per core in a small executor.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",

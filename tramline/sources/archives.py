@@ -13,7 +13,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
-from itertools import groupby
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,7 @@ from tramline.sources.timetable import SUFFIX, finished
 MEMBERS_SCHEMA = "archive string, member string, part int, deflated boolean, bytes binary"
 LINES_SCHEMA = "archive string, table_name string, header string, line string"
 BATCH_LINES = 10_000
+BLOCK_CHARS = 1 << 16
 # Packed bytes of one row.
 PART_BYTES = 1 << 22
 # Length of a member's own header without its name and extra field, and where their lengths are.
@@ -149,10 +150,24 @@ class _Unpacked(io.RawIOBase):
         return size
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def _lines(text: io.TextIOBase) -> Iterator[str]:
+    """Lines without their ends, cut out of blocks."""
+    parts: list[str] = []
+    while block := text.read(BLOCK_CHARS):
+        first, *more = block.split("\n")
+        parts.append(first)
+        if more:
+            yield "".join(parts)
+            yield from more[:-1]
+            parts = more[-1:]
+    if any(parts):
+        yield "".join(parts)
+
+
+def _batch(key: tuple[str, str, str], lines: list[str | None]) -> pa.RecordBatch:
     names = [part.split()[0] for part in LINES_SCHEMA.split(", ")]
-    columns = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
+    same = [pa.repeat(pa.scalar(value, pa.string()), len(lines)) for value in key]
+    return pa.RecordBatch.from_arrays([*same, pa.array(lines, pa.string())], names=names)
 
 
 def expand_archives(
@@ -174,19 +189,13 @@ def expand_archives(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (archive, member), rows in groupby(parts_of(batches), key=lambda row: row[0]):
             raw = io.BufferedReader(_Unpacked(part for _, part in rows), 1 << 16)
-            text = io.TextIOWrapper(raw, encoding="utf-8-sig")
-            lines = (line.rstrip("\n") for line in text)
+            lines = _lines(io.TextIOWrapper(raw, encoding="utf-8-sig"))
             lines = _records(lines) if multiline else lines
             key = archive, table_of(member), next(lines, "")
-            pending = [(*key, None)]
-            for line in lines:
-                if line.strip():
-                    pending.append((*key, line))
-                if len(pending) >= BATCH_LINES:
-                    yield _batch(pending)
-                    pending = []
-            if pending:
-                yield _batch(pending)
+            yield _batch(key, [None])
+            filled = (line for line in lines if line and not line.isspace())
+            while pending := list(islice(filled, BATCH_LINES)):
+                yield _batch(key, pending)
 
     return (
         archive_members(archives, tables)
