@@ -42,6 +42,15 @@ def test_time_text(spark):
     assert values(spark, "string", cases, hhmmss_to_seconds) == list(cases.values())
 
 
+def test_time_text_with_more_or_other_colons(spark):
+    cases = {"1::3": None, ":": None, "::": None, "1:2:3:": None, "é:1:2": None, "1：2:3": None}
+    cases |= {"1:\t2:3 ": 3723, "9223372036854775807:0:0": None}
+    assert values(spark, "string", cases, hhmmss_to_seconds) == list(cases.values())
+    texts = spark.createDataFrame([("1:2:3",)], "t string").repartition(2)
+    plan = texts.select(hhmmss_to_seconds(F.col("t")))._jdf.queryExecution().optimizedPlan()
+    assert "split(" not in plan.toString()
+
+
 def test_epoch_text(spark):
     moment = dt.datetime(2025, 9, 12, 18, 13, 20)
     cases = {

@@ -19,12 +19,18 @@ LAST_EPOCH_SECOND = 253_402_300_799
 
 def hhmmss_to_seconds(text: Column) -> Column:
     """'H:M:S' to seconds after midnight; hours may pass 24, other text gives NULL."""
-    parts = F.split(text, ":")
-    hours, minutes, seconds = (F.get(parts, F.lit(i)).try_cast("bigint") for i in range(3))
+    # Cut out as bytes: a split makes a list of each text and takes twice as long.
+    texts = (
+        F.substring_index(text, ":", 1),
+        F.substring_index(F.substring_index(text, ":", 2), ":", -1),
+        F.substring_index(text, ":", -1),
+    )
+    hours, minutes, seconds = (part.try_cast("bigint") for part in texts)
+    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
     total = F.try_add(
         F.try_multiply(hours, F.lit(3600)), F.try_add(F.try_multiply(minutes, F.lit(60)), seconds)
     )
-    return F.when(F.size(parts) == 3, total)
+    return F.when(colons == 2, total)
 
 
 def epoch_to_timestamp(epoch: Column, integral: bool = False) -> Column:
