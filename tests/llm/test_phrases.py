@@ -1,9 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tests.llm.helpers import AWKWARD, documents
@@ -72,6 +74,48 @@ def random_rows(n=400):
     return rows
 
 
+def test_small_bands_and_slices(spark, monkeypatch):
+    for name, value in (("BAND", 7), ("ROWS", 3), ("PART", 64), ("TOKENS", 90)):
+        monkeypatch.setattr(phrase_subtrees, name, value)
+    rows = random_rows(60)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([g or "und" for g, _ in rows]), pa.array([t.encode() for _, t in rows])],
+        names=["lang", "text"],
+    )
+    docs, runs = documents(spark, ["a b c"]), []
+    given = phrase_subtrees._texts(docs)
+
+    class Kept:
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+            return given.mapInArrow(run, schema)
+
+    monkeypatch.setattr(phrase_subtrees, "_texts", lambda _: Kept())
+    every = phrase_subtrees.Sieve(np.full(16, -1, np.int64).view(np.uint64))
+    none = np.zeros(0, np.uint64)
+    phrase_subtrees.pair_counts(docs, every, 1)
+    phrase_subtrees.suffixes(docs, every, (none, none), 8, 5)
+    pairs, suffixes = Counter(), Counter()
+    for part in runs[0](iter([batch])):
+        assert len(part) <= 3
+        for row in part.to_pylist():
+            pairs[row["lang"], row["phrase"]] += row["f"]
+    for part in runs[1](iter([batch])):
+        for row in part.to_pylist():
+            words = [w for w in (row["p"], row["w4"], row["w5"]) if w is not None]
+            suffixes[row["lang"], " ".join(words)] += row["n"]
+    known_pairs, known_suffixes = Counter(), Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.replace("O", "o")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for i in range(len(words) - 1):
+                known_pairs[lang or "und", " ".join(words[i : i + 2])] += 1
+            for i in range(len(words) - 2):
+                known_suffixes[lang or "und", " ".join(words[i : i + 5])] += 1
+    assert pairs == known_pairs
+    assert suffixes == known_suffixes
+
+
 @pytest.mark.parametrize(
     "settings",
     [
@@ -116,6 +160,66 @@ def test_small_parts_cut_only_at_marks(spark, monkeypatch):
     assert pieces == known
 
 
+@pytest.mark.parametrize("step", ["words", "pairs", "suffixes"])
+def test_workers_hold_little_of_a_full_chunk(spark, monkeypatch, step):
+    """Beside a chunk's words, what a worker holds is bounded by parts and bands."""
+    chance = np.random.default_rng(3)
+    letters = chance.integers(97, 123, (1 << 16, 5)).astype(np.uint8)
+    known = [bytes(word) for word in letters]
+    texts = [b" ".join(known[k] for k in chance.integers(0, len(known), 340)) for _ in range(9000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"]
+    )
+    assert 340 * len(texts) > phrase_subtrees.TOKENS
+    docs = documents(spark, ["a b c"])
+    given, runs = phrase_subtrees._texts(docs), []
+
+    class Kept:
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+            return given.mapInArrow(run, schema)
+
+    monkeypatch.setattr(phrase_subtrees, "_texts", lambda _: Kept())
+    every = phrase_subtrees.Sieve(np.full(1 << 10, -1, np.int64).view(np.uint64))
+    none = np.zeros(0, np.uint64)
+    if step == "words":
+        phrase_subtrees.word_counts(docs)
+    elif step == "pairs":
+        phrase_subtrees.pair_counts(docs, every, 1)
+    else:
+        phrase_subtrees.suffixes(docs, every, (none, none), 8, 5)
+    tracemalloc.start()
+    try:
+        total = sum(pc.sum(b.column(b.num_columns - 1)).as_py() for b in runs[0](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == len(texts) * {"words": 340, "pairs": 339, "suffixes": 338}[step]
+    assert peak < (48 if step == "words" else 88) << 20
+
+
+def test_bands_keep_words_together(monkeypatch):
+    monkeypatch.setattr(phrase_subtrees, "BAND", 10)
+    codes = np.array([3, 0, -1, 1, 3, 2, 7] * 9 + [5] * 40, np.int32)
+    at = np.flatnonzero(codes >= 0).astype(np.int32)
+    bands = list(phrase_subtrees._bands(codes, at))
+    assert len(bands) > 3 and max(map(len, bands)) < 50
+    assert sorted(np.concatenate(bands)) == list(at)
+    words = [set(codes[band]) for band in bands]
+    assert all(max(a) < min(b) for a, b in zip(words, words[1:], strict=False))
+    assert list(phrase_subtrees._bands(codes, at[:0])) == []
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1 << 20, (1 << 31) - 2])
+def test_packed_columns_sort_alike(size):
+    chance = np.random.default_rng(size)
+    few = np.append(chance.integers(-1, size, 3), [-1, size - 1])
+    columns = [chance.choice(few, 500).astype(np.int32) for _ in range(5)]
+    packed = phrase_subtrees._packed(columns, size)
+    assert np.array_equal(np.lexsort(packed[::-1]), np.lexsort(columns[::-1]))
+    assert len(set(zip(*packed, strict=True))) == len(set(zip(*columns, strict=True)))
+
+
 def test_sieve_refuses_none_of_its_own(spark):
     phrases = [("en", f"w{n} v{n}") for n in range(500)] + [("fr", "é à")]
     frame = spark.createDataFrame(phrases, "lang string, phrase string")

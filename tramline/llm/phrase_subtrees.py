@@ -19,7 +19,9 @@ is never built whole:
    are those of step 1.
 
 Everything is per language; a null lang is `und`, a null text is empty. A text of any length is taken
-piece after piece: only a single piece without a separator is held whole. Repeated rows count again,
+piece after piece: only a single piece without a separator is held whole. A task numbers the words of about
+`TOKENS` tokens and compares their phrases in bands by first word, so beside four bytes a token and a few
+for positions it holds what a band takes, and texts only of the rows it sends on. Repeated rows count again,
 an empty table gives no phrases, columns other than text and lang are not read.
 Sums and products are exact: scores are computed as decimals of 38 digits.
 """
@@ -48,8 +50,11 @@ GROUPS = 1 << 14
 SIEVE_BITS = 1 << 25
 SIEVE_HASHES = 4
 # Bytes of text that are encoded at once, and tokens that are counted together.
-PART = 1 << 22
+PART = 1 << 20
 TOKENS = 1 << 21
+# Positions whose phrases are compared with each other at once, and rows sent on at once.
+BAND = 1 << 18
+ROWS = 1 << 16
 SALTS = 64
 
 # Separators of pieces become one mark.
@@ -92,10 +97,10 @@ class Words:
     def __init__(self, encoded: list[pa.DictionaryArray]):
         together = pa.chunked_array(encoded).unify_dictionaries()
         self.words = together.chunk(0).dictionary
-        codes = np.concatenate([c.indices.to_numpy() for c in together.chunks])
         mark = pc.index(self.words, _MARK).as_py()
         #: -1 at the end of a piece.
-        self.codes = np.where(codes == mark, -1, codes).astype(np.int64)
+        self.codes = np.concatenate([c.indices.to_numpy() for c in together.chunks])
+        self.codes[self.codes == mark] = -1
 
     def hashes(self, seed: int) -> np.ndarray:
         """A hash of each word."""
@@ -104,14 +109,22 @@ class Words:
 
     def at(self, codes: np.ndarray) -> pa.Array:
         """Words by number as text, null for -1."""
-        return self.words.take(pa.array(codes, pa.int64(), mask=codes < 0)).cast(pa.string())
+        return self.words.take(pa.array(codes, mask=codes < 0)).cast(pa.string())
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `PART` bytes."""
+    for batch in batches:
+        step = max(1, len(batch) * PART // max(1, batch.nbytes))
+        for at in range(0, len(batch), step):
+            yield batch.slice(at, step)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
     """Words of the texts, language by language, at most about `TOKENS` tokens at once."""
     held: dict[str, list[pa.DictionaryArray]] = {}
     sizes: dict[str, int] = {}
-    for batch in batches:
+    for batch in _slices(batches):
         for lang in pc.unique(batch.column(0)).to_pylist():
             texts = batch.filter(pc.equal(batch.column(0), lang)).column(1).to_pylist()
             for part in _parts(texts, PART):
@@ -199,10 +212,21 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
-def _rows(names: list[str], columns: list) -> Iterator[pa.RecordBatch]:
-    table = pa.RecordBatch.from_arrays(columns, names=names)
-    for at in range(0, len(table), 100_000):
-        yield table.slice(at, 100_000)
+def _bands(codes: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """The positions in bands of about `BAND`, in the order of their words; a word is in one band."""
+    word = codes[at]
+    ends = np.cumsum(np.bincount(word))
+    band = ((ends - 1) // BAND).astype(np.uint16)[word]
+    order = np.argsort(band, kind="stable").astype(np.int32)
+    sizes = np.bincount(band)
+    for end, size in zip(np.cumsum(sizes), sizes, strict=True):
+        if size:
+            yield at[order[end - size : end]]
+
+
+def _cut(size: int) -> Iterator[slice]:
+    """Slices of `ROWS` rows."""
+    return (slice(at, at + ROWS) for at in range(0, size, ROWS))
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -212,8 +236,9 @@ def word_counts(documents: DataFrame) -> DataFrame:
         for lang, found in _words(batches):
             times = np.bincount(found.codes[found.codes >= 0], minlength=len(found.words))
             used = np.flatnonzero(times)
-            columns = [pa.array([lang] * len(used)), found.at(used), pa.array(times[used])]
-            yield from _rows(["lang", "phrase", "f"], columns)
+            for some in map(used.__getitem__, _cut(len(used))):
+                columns = [pa.array([lang] * len(some)), found.at(some), pa.array(times[some])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
 
     counted = _texts(documents).mapInArrow(run, "lang string, phrase string, f long")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -222,7 +247,33 @@ def word_counts(documents: DataFrame) -> DataFrame:
 def _followers(codes: np.ndarray, allowed: np.ndarray) -> np.ndarray:
     """Positions whose word and next word are allowed and in one piece."""
     good = np.concatenate([allowed, [False]])[codes]
-    return np.flatnonzero(good[:-1] & good[1:])
+    return np.flatnonzero(good[:-1] & good[1:]).astype(np.int32)
+
+
+def _passing(codes: np.ndarray, hashes: np.ndarray, pairs: Sieve) -> np.ndarray:
+    """Of each position, whether its word and the next are in one piece and pass as a pair."""
+    passing = np.zeros(len(codes), bool)
+    for at in range(0, len(codes), BAND):
+        block = codes[at : at + BAND + 1]
+        good = _followers(block, np.ones(len(hashes), bool))
+        passed = pairs.passes(_joint(hashes[block[good]], hashes[block[good + 1]]))
+        passing[at + good] = passed
+    return passing
+
+
+def _packed(columns: list[np.ndarray], size: int) -> list[np.ndarray]:
+    """Columns of numbers below `size`, or -1, as fewer columns that sort alike."""
+    bits = int(size).bit_length()
+    each = max(1, 63 // bits)
+    packed = []
+    for at in range(0, len(columns), each):
+        key = np.zeros(len(columns[0]), np.int64)
+        for column in columns[at : at + each]:
+            key <<= bits
+            key += column
+            key += 1
+        packed.append(key)
+    return packed
 
 
 def pair_counts(documents: DataFrame, words: Sieve, least: int) -> DataFrame:
@@ -233,11 +284,14 @@ def pair_counts(documents: DataFrame, words: Sieve, least: int) -> DataFrame:
         for lang, found in _words(batches):
             size = len(found.words)
             at = _followers(found.codes, sieve.value.passes(found.hashes(_seed(lang))))
-            keys = found.codes[at] * size + found.codes[at + 1]
-            pairs, times = np.unique(keys, return_counts=True)
-            text = pc.binary_join_element_wise(found.at(pairs // size), found.at(pairs % size), " ")
-            columns = [pa.array([lang] * len(pairs)), text, pa.array(times)]
-            yield from _rows(["lang", "phrase", "f"], columns)
+            for own in _bands(found.codes, at):
+                keys = found.codes[own].astype(np.int64) * size + found.codes[own + 1]
+                pairs, times = np.unique(keys, return_counts=True)
+                for some in _cut(len(pairs)):
+                    first, second = map(found.at, np.divmod(pairs[some], size))
+                    text = pc.binary_join_element_wise(first, second, " ")
+                    columns = [pa.array([lang] * len(text)), text, pa.array(times[some])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
 
     counted = _texts(documents).mapInArrow(run, "lang string, phrase string, f long")
     totals = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -280,43 +334,37 @@ def suffixes(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in _words(batches):
-            codes, hashes = found.codes, found.hashes(_seed(lang))
-            at = _followers(codes, np.ones(len(found.words), bool))
-            keys, place = np.unique(
-                codes[at] * len(found.words) + codes[at + 1], return_inverse=True
-            )
-            first, second = np.divmod(keys, len(found.words))
-            passed = sieve.value.passes(_joint(hashes[first], hashes[second]))
-            follows = np.zeros(len(codes) + longest, bool)
-            follows[at] = passed[place]
-            starts = np.flatnonzero(follows[:-1] & follows[1:])
-            padded = np.concatenate([codes, np.full(longest, -1)])
-            columns = [padded[starts], padded[starts + 1], padded[starts + 2]]
-            alive = np.ones(len(starts), bool)
-            for k in range(3, longest):
-                alive &= follows[starts + k - 1]
-                columns.append(np.where(alive, padded[starts + k], -1))
-            # Equal suffixes lie side by side in this order.
-            order = np.lexsort(columns[::-1])
-            columns = [c[order] for c in columns]
-            new = np.ones(len(order), bool)
-            if len(order):
-                new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-            edges = np.flatnonzero(new)
-            times = np.diff(np.append(edges, len(order)))
-            columns = [c[edges] for c in columns]
-            three = [hashes[c] for c in columns[:3]]
-            text = pc.binary_join_element_wise(*(found.at(c) for c in columns[:3]), " ")
-            yield from _rows(
-                ["part", "lang", "p", *tail, "n"],
-                [
-                    pa.array(_group_of(three, extended.value, groups)),
-                    pa.array([lang] * len(edges)),
-                    text,
-                    *(found.at(c) for c in columns[3:]),
-                    pa.array(times),
-                ],
-            )
+            hashes = found.hashes(_seed(lang))
+            passing = np.pad(_passing(found.codes, hashes, sieve.value), (0, longest))
+            codes = np.pad(found.codes, (0, longest), constant_values=-1)
+            starts = np.flatnonzero(passing[:-1] & passing[1:]).astype(np.int32)
+            for own in _bands(codes, starts):
+                columns = [codes[own + k] for k in range(3)]
+                alive = np.ones(len(own), bool)
+                for k in range(3, longest):
+                    alive &= passing[own + k - 1]
+                    columns.append(np.where(alive, codes[own + k], -1))
+                # Equal suffixes lie side by side in this order.
+                keys = _packed(columns, len(found.words))
+                order = np.lexsort(keys[::-1])
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([np.diff(key[order]) != 0 for key in keys], axis=0)
+                edges = np.flatnonzero(new)
+                times = np.diff(np.append(edges, len(order)))
+                for some in _cut(len(edges)):
+                    rows = [c[order[edges[some]]] for c in columns]
+                    three = [hashes[c] for c in rows[:3]]
+                    text = pc.binary_join_element_wise(*(found.at(c) for c in rows[:3]), " ")
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(_group_of(three, extended.value, groups)),
+                            pa.array([lang] * len(text)),
+                            text,
+                            *(found.at(c) for c in rows[3:]),
+                            pa.array(times[some]),
+                        ],
+                        names=["part", "lang", "p", *tail, "n"],
+                    )
 
     return _texts(documents).mapInArrow(run, schema)
 
